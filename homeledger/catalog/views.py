@@ -207,6 +207,28 @@ def pages_sql(e: Engine) -> str:
         f"WHEN 2 THEN '{{{{\"data\":[' || {ad} || ']}}}}' ELSE '{{{{\"ads\":[]}}}}' END AS page FROM {{orders}}")
 
 
+# ---- scoring requests, from orders --------------------------------------------------
+
+def requests_sql(e: Engine) -> str:
+    """Form submissions, all text, with blanks, bad numbers and impossible dates."""
+    fields = {
+        "row_id": "o_orderkey",
+        "area": pick("o_orderkey", ["70", " 55.5 ", "", "abc", None, "1e2", "1_20"]),
+        "floor_count": pick("o_custkey", ["15", "", "12"]),
+        "frontage_width": "''", "house_depth": "''", "road_width": pick("o_custkey", ["", "4.5"]),
+        "bedrooms": text("1 + o_orderkey % 4"), "bathrooms": pick("o_custkey", ["2", "1", None]),
+        "property_type": pick("o_orderkey", KINDS), "province": pick("o_orderkey + o_custkey", PROVINCES),
+        "district": pick("o_custkey", DISTRICTS), "ward": pick("o_custkey", WARDS),
+        "street": pick("o_custkey", ["", "  Lê   Lợi "]), "project_name": pick("o_custkey", ["The Marq", ""]),
+        "house_direction": pick("o_custkey", DIRECTIONS),
+        "balcony_direction": pick("o_orderkey", DIRECTIONS),
+        "published_year": text("year(o_orderdate)"),
+        "published_month": pick("o_orderkey", ["2", "5", "", "13", "11"]),
+        "published_day": pick("o_custkey", ["30", "1", "x", "25"]),
+    }
+    return "SELECT " + ", ".join(f"{v} AS {k}" for k, v in fields.items()) + " FROM {orders}"
+
+
 # ---- running them -------------------------------------------------------------------
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -143,8 +143,13 @@ def format_vnd(c: Column) -> Column:
     return F.concat(F.format_number(c, 0), F.lit(" VND"))
 
 
+def fixed(c: Column, digits: int) -> Column:
+    """A number with fixed digits and no grouping, rounded by its exact binary value."""
+    return F.replace(F.format_number(c, digits), F.lit(","), F.lit(""))
+
+
 def format_billion(c: Column) -> Column:
-    return F.when(c.isNotNull(), F.format_string("%.3f tỷ VNĐ", c / BILLION))
+    return F.concat(fixed(c / BILLION, 3), F.lit(" tỷ VNĐ"))
 
 
 def log_target(c: Column) -> Column:

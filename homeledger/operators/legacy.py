@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from homeledger.functions import dates, numbers, text
-from homeledger.operators.standardize import first_existing
+from homeledger.operators.standardize import evaluate_once, first_existing
 
 # --- fixed values: column names that older files use, in order of preference ---
 DATE_FALLBACKS = ["CrawlDate", "crawl_date", "created_at", "date"]
@@ -74,7 +74,11 @@ def resolve_aliases(df: DataFrame, date_column: str = "NgayDang") -> DataFrame:
         c = first_existing(df.columns, names)
         out[target] = text.normalize_text(F.col(c).cast("string")) if c else F.lit(None).cast("string")
     rest = [c for c in df.columns if c not in out]
-    resolved = df.select(*rest, *[v.alias(k) for k, v in out.items()])
+    parsed = {c: out.pop(c) for c in ("NgayDang", "PriceVND", "AreaM2")}
+    typed = F.struct(*[v.alias(f"_{k}") for k, v in parsed.items()])
+    resolved = evaluate_once(df, {"_parsed": typed})
+    resolved = resolved.select(*rest, *[F.col(f"_parsed._{c}").alias(c) for c in parsed],
+                               *[v.alias(k) for k, v in out.items()])
     return resolved.withColumns({"PostedYear": F.year("NgayDang"), "PostedMonth": F.month("NgayDang")})
 
 

@@ -104,5 +104,5 @@ def score_requests(requests: DataFrame, model: PriceModel, metrics: DataFrame |
         known = {c: row[c] for c in ("MAE_VND", "RMSE_VND", "R2")}
     scored = scored.withColumns({
         "mae_vnd": numbers.format_vnd(known["MAE_VND"]), "rmse_vnd": numbers.format_vnd(known["RMSE_VND"]),
-        "r2": F.when(known["R2"].isNotNull(), F.format_string("%.3f", known["R2"]))})
+        "r2": numbers.fixed(known["R2"], 3)})
     return format_answer(band_columns(scored, known["MAE_VND"]))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from homeledger import schema as S
 from homeledger.functions import dates, numbers, text
@@ -28,6 +28,20 @@ def first_existing(columns: Iterable[str], candidates: Sequence[str]) -> str | N
     return next((c for c in candidates if c in present), None)
 
 
+def evaluate_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add or replace columns parsed from text, as the output of a one-element ``inline``.
+
+    A filter on a projected column is pushed below the projection, with a copy of its
+    expression per comparison. For long parsing rules that repeats the work and outgrows
+    the code generator's method limit. A filter does not move below a generator, so each
+    rule runs once per row. Typed columns stay outside: their filters reach the scan.
+    """
+    if not columns:
+        return df
+    parsed = F.inline(F.array(F.struct(*[e.alias(c) for c, e in columns.items()])))
+    return df.select(*[c for c in df.columns if c not in columns], parsed)
+
+
 def _number(df: DataFrame, column: str) -> Column:
     if numbers.is_numeric(df.schema[column].dataType):
         return numbers.nan_to_null(F.col(column).cast("double"))
@@ -45,10 +59,10 @@ def standardize(df: DataFrame, source: str | None, variant: str = "fixed",
     df = complete_schema(df)
     extra = [c for c in df.columns if c not in S.COMMON_COLUMNS]
     types = {f.name: f.dataType for f in df.schema.fields}
-    numeric_price = numbers.is_numeric(types["price"])
-    if variant == "fixed" and not numeric_price:
+    textual = [c for c in ("price", "area", "published_at") if isinstance(types[c], T.StringType)]
+    if variant == "fixed" and "price" in textual:
         # one projection for the rewritten text, which the price rules read several times
-        df = df.withColumn("price", numbers.money_text(F.col("price").cast("string")))
+        df = df.withColumn("price", numbers.money_text(F.col("price")))
 
     out: dict[str, Column] = {c: text.clean_text(F.col(c).cast("string")) for c in S.TEXT_COLUMNS}
     out["province_name"] = text.normalize_province(F.col("province_name"), variant)
@@ -60,18 +74,17 @@ def standardize(df: DataFrame, source: str | None, variant: str = "fixed",
         out[c] = _number(df, c)
     if variant == "fixed":
         out["price"] = (
-            numbers.positive(F.col("price")) if numeric_price
-            else numbers.price_of_money_text(F.col("price"))
-        )
-        out["area"] = numbers.parse_area_m2(F.col("area"), numbers.is_numeric(types["area"]))
+            numbers.price_of_money_text(F.col("price")) if "price" in textual
+            else numbers.positive(F.col("price")))
+        out["area"] = numbers.parse_area_m2(F.col("area"), "area" not in textual)
     else:
         out["price"], out["area"] = _number(df, "price"), _number(df, "area")
     out["published_at"] = dates.published_at_of(
         F.col("published_at"), types["published_at"],
-        day_first=variant == "fixed" and source in DAY_FIRST_SOURCES, strict_format=strict_format,
-    )
+        day_first=variant == "fixed" and source in DAY_FIRST_SOURCES, strict_format=strict_format)
     out["source"] = F.col("source") if source is None else F.lit(source)
-    return df.select(*[out[c].alias(c) for c in S.COMMON_COLUMNS], *extra)
+    df = evaluate_once(df, {c: out.pop(c) for c in textual})
+    return df.select(*[out.get(c, F.col(c)).alias(c) for c in S.COMMON_COLUMNS], *extra)
 
 
 def keep_columns(df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:

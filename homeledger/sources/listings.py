@@ -104,6 +104,7 @@ def scan_listing_csv(spark: SparkSession, path: str, variant: str = "fixed", pri
 
     ``price`` says how money and area are stored: ``number``, ``text``, or ``infer``,
     which looks at the whole column first. ``missing`` is ``empty`` or ``error``.
+    ``row_id`` is the place in the file, which settles which duplicate came first.
     """
     def read() -> DataFrame:
         raw = read_headered_csv(spark, path, multi_line)
@@ -114,6 +115,7 @@ def scan_listing_csv(spark: SparkSession, path: str, variant: str = "fixed", pri
             money = []
         # ListTimeRaw and the ids stay text: they are provenance
         raw = type_numbers(raw, [*money, "BedRooms", "BathRooms", "Floor"])
+        raw = raw.withColumn("row_id", F.monotonically_increasing_id())
         return standardize(map_ad_columns(raw), "chotot", variant)
 
     return _or_empty(read, spark, missing)
@@ -123,9 +125,10 @@ def read_ragged_csv(spark: SparkSession, path: str) -> DataFrame:
     """Headerless CSV with 13 text columns; a row of another width is kept whole in
     ``_corrupt_record``."""
     schema = T.StructType([*S.POSITIONAL_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
-    return (spark.read.schema(schema).option("header", False).option("multiLine", True)
-            .option("escape", '"').option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+    raw = (spark.read.schema(schema).option("header", False).option("multiLine", True)
+           .option("escape", '"').option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+    return raw.withColumn("row_id", F.monotonically_increasing_id())
 
 
 def ragged_valid(raw: DataFrame) -> DataFrame:
@@ -201,9 +204,12 @@ def scan_clean_cache(spark: SparkSession, path: str, variant: str = "fixed") ->
 
 
 def profile_schema(df: DataFrame) -> DataFrame:
-    """Column position, name and type, as a DataFrame."""
-    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(rows, "position int, column string, type string")
+    """Position, name, type and values present of each column, in one pass."""
+    counts = df.agg(*[F.count(c).alias(c) for c in df.columns])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column"),
+                 F.lit(f.dataType.simpleString()).alias("type"), F.col(f.name).alias("filled"))
+        for i, f in enumerate(df.schema.fields)])))
 
 
 def sample_rows(df: DataFrame, n: int = 20, columns: list[str] | None = None) -> DataFrame:
