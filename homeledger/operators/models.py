@@ -126,12 +126,11 @@ def prepare_features(df: DataFrame, spec: FeatureSpec, training: bool = False,
 def encoding_stages(spec: FeatureSpec, output: str = "features") -> list:
     """Index, one-hot and assemble. An unseen category is the dropped last slot: all zero."""
     cats = spec.categorical
-    index = StringIndexerModel.from_arrays_of_labels(
-        [spec.labels(c) for c in cats], [f"f_{c}" for c in cats], [f"i_{c}" for c in cats], "keep")
+    index = [StringIndexerModel.from_labels(spec.labels(c), f"f_{c}", f"i_{c}", "keep") for c in cats]
     hot = OneHotEncoder(inputCols=[f"i_{c}" for c in cats], outputCols=[f"h_{c}" for c in cats], dropLast=True)
     joined = VectorAssembler(inputCols=[f"f_{c}" for c in spec.numeric] + [f"h_{c}" for c in cats],
                              outputCol=output)
-    return [index, hot, joined]
+    return [*index, hot, joined]
 
 
 @dataclass

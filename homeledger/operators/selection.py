@@ -55,12 +55,13 @@ def _ranked(df: DataFrame, value: str, probs: Sequence[float], group: list[str],
                 F.lit(float(p)).alias("prob"),
                 side.alias("side"),
                 F.when(side == 0, F.col("_v")).alias("v"),
+                F.col("_v").alias("raw"),
             )
         )
     counted = (
         joined.select(*group, F.explode(F.array(*sides)).alias("_s"))
         .groupBy(*group, "_s.prob", "_s.side", "_s.v")
-        .agg(F.count("*").alias("c"))
+        .agg(F.count("*").alias("c"), F.min("_s.raw").alias("least"), F.max("_s.raw").alias("most"))
     )
     per = Window.partitionBy(*group, "prob")
     order = per.orderBy("side", "v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -72,10 +73,20 @@ def _ranked(df: DataFrame, value: str, probs: Sequence[float], group: list[str],
 
 
 def _value_at(rank: Column) -> Column:
-    """The value whose rank range holds zero-based ``rank``; fails on a missed bracket."""
+    """The value whose rank range holds zero-based ``rank``.
+
+    A sketch names one rank where an interpolated quantile needs two, so the rank may be
+    the last one below the bracket or the first above; each side keeps that value. Any
+    other rank outside means a broken bracket, and fails.
+    """
     holds = (F.col("below") <= rank) & (rank < F.col("upto"))
-    missed = F.raise_error(F.lit("rank outside its bracket"))
-    return F.max(F.when(holds, F.when(F.col("side") == 0, F.col("v")).otherwise(missed)))
+    value = (
+        F.when(F.col("side") == 0, F.col("v"))
+        .when((F.col("side") == 1) & (rank == F.col("below")), F.col("least"))
+        .when((F.col("side") == -1) & (rank == F.col("upto") - 1), F.col("most"))
+        .otherwise(F.raise_error(F.lit("rank outside its bracket")))
+    )
+    return F.max(F.when(holds, value))
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
@@ -91,7 +102,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     low, high = F.floor(at), F.ceil(at)
     return (
         _ranked(df, value, probs, group, few_groups)
-        .withColumn("v", F.col("v").cast("double"))
+        .withColumns({c: F.col(c).cast("double") for c in ("v", "least", "most")})
         .groupBy(*group, "prob")
         .agg(_value_at(low).alias("_lo"), _value_at(high).alias("_hi"),
              F.max("n").alias("n"), F.max(at - low).alias("_f"))
@@ -115,11 +126,11 @@ def kth_value(df: DataFrame, key: str, k: int, n: int) -> DataFrame:
         raise ValueError(f"rank {k} is not within 1..{n}")
     rank = F.lit(k - 1)
     holds = (F.col("below") <= rank) & (rank < F.col("upto"))
+    # a single rank lies inside its bracket, never at the edge of a side
+    inside = F.when(F.col("side") == 0, F.struct(F.col("v").alias("value"), "below"))
+    inside = inside.otherwise(F.raise_error(F.lit("rank outside its bracket")))
     prob = (k - 1) / (n - 1) if n > 1 else 0.0
-    return (
-        _ranked(df, key, [prob], [])
-        .agg(_value_at(rank).alias("value"), F.max(F.when(holds, F.col("below"))).alias("below"))
-    )
+    return _ranked(df, key, [prob], []).agg(F.max(F.when(holds, inside)).alias("at")).select("at.*")
 
 
 def first_rows(df: DataFrame, key: str, n: int) -> DataFrame:
