@@ -11,8 +11,8 @@ MILLION = 1_000_000.0
 
 # --- fixed values: units and number shapes ---
 _NUMBER = r"\d+(?:[,.]\d+)?"
-_BILLIONS = rf"(?sU)({_NUMBER}){WS}*tỷ(.*)\z"
-_MILLIONS = rf"(?U)({_NUMBER}){WS}*tri\u1ec7u"
+_BILLIONS = rf"(?s)({_NUMBER}){WS}*tỷ(.*)\z"
+_MILLIONS = rf"({_NUMBER}){WS}*tri\u1ec7u"
 MONEY_REWRITES = [
     ("tỉ", "tỷ"), ("ty", "tỷ"),
     ("tri\u00ea\u0323u", "tri\u1ec7u"),  # half-decomposed spelling
@@ -23,7 +23,7 @@ AREA_UNITS = ["m²", "m2", "㎡"]
 LEGACY_UNITS = ["m²", "m2", "triệu", "trieu", "tỷ", "ty"]
 # --- end of fixed values ---
 
-_FLOAT_SHAPE = r"(?i)^[+-]?(?:\d+\.?\d*(?:e[+-]?\d+)?|\.\d+(?:e[+-]?\d+)?|inf(?:inity)?)\z"
+_FLOAT_SHAPE = r"(?i)\A[+-]?(?:\d+\.?\d*(?:e[+-]?\d+)?|\.\d+(?:e[+-]?\d+)?|inf(?:inity)?)\z"
 
 
 def is_numeric(dtype: T.DataType) -> bool:
@@ -36,8 +36,8 @@ def nan_to_null(c: Column) -> Column:
 
 def try_number(c: Column) -> Column:
     """Text to double; anything that is not wholly a number is null, and so is NaN."""
-    t = strip_edges(c.cast("string"))
-    return F.when(t.rlike(_FLOAT_SHAPE), t.try_cast("double"))
+    # no match is an empty text, and that is no number either
+    return F.regexp_extract(strip_edges(c.cast("string")), _FLOAT_SHAPE, 0).try_cast("double")
 
 
 def positive(c: Column) -> Column:
@@ -57,7 +57,7 @@ def _comma_decimal(c: Column) -> Column:
 
 def _captured(c: Column, pattern: str, group: int) -> Column:
     """A captured number with at most one separator, null when the pattern is absent."""
-    return _comma_decimal(F.nullif(F.regexp_extract(c, pattern, group), F.lit("")))
+    return _comma_decimal(F.regexp_extract(c, pattern, group))
 
 
 def parse_number_vn(c: Column) -> Column:
@@ -75,16 +75,22 @@ def money_text(c: Column) -> Column:
     return s
 
 
-def price_of_money_text(s: Column) -> Column:
-    """VND of a text already passed through ``money_text``.
+def money_parts(s: Column) -> dict[str, Column]:
+    """The numbers of a text already passed through ``money_text``."""
+    return {
+        "billions": _captured(s, _BILLIONS, 1),
+        "rest": _captured(F.regexp_extract(s, _BILLIONS, 2), _MILLIONS, 1),
+        "millions": _captured(s, _MILLIONS, 1),
+        "bare": _captured(s, _NUMBER, 0),
+    }
+
+
+def price_of_parts(billions: Column, rest: Column, millions: Column, bare: Column) -> Column:
+    """VND from the numbers of a money text.
 
     Billions, with the millions after them, come before millions alone; a bare number
     counts as VND from 1e8, as billions below 1000, and is ambiguous between.
     """
-    billions = _captured(s, _BILLIONS, 1)
-    rest = _captured(F.regexp_extract(s, _BILLIONS, 2), _MILLIONS, 1)
-    millions = _captured(s, _MILLIONS, 1)
-    bare = _captured(s, _NUMBER, 0)
     total = billions * BILLION + F.coalesce(rest * MILLION, F.lit(0.0))
     return (
         F.when(billions.isNotNull(), F.when(total > 0, total))
@@ -96,7 +102,7 @@ def price_of_money_text(s: Column) -> Column:
 
 def parse_price_vnd(c: Column, numeric: bool = False) -> Column:
     """Price in VND. A numeric column is kept where positive, text is parsed."""
-    return positive(c) if numeric else price_of_money_text(money_text(c))
+    return positive(c) if numeric else price_of_parts(**money_parts(money_text(c)))
 
 
 def parse_float_vn(c: Column, numeric: bool = False) -> Column:
@@ -104,7 +110,7 @@ def parse_float_vn(c: Column, numeric: bool = False) -> Column:
     if numeric:
         return nan_to_null(c.cast("double"))
     t = F.replace(_drop(F.lower(c), LEGACY_UNITS), F.lit("/"), F.lit(" "))
-    num = F.nullif(F.regexp_extract(t, r"[-+]?\d[\d.,]*", 0), F.lit(""))
+    num = F.regexp_extract(t, r"[-+]?\d[\d.,]*", 0)
     ungrouped = F.when(num.contains(","), F.replace(num, F.lit("."), F.lit(""))).otherwise(num)
     return _comma_decimal(ungrouped)
 
@@ -135,8 +141,8 @@ def parse_or_default(c: Column, kind: str = "double", default: float | int | Non
     """Form field to number: blank, null or bad text gives the default."""
     # an underscore between digits is accepted, as in a Python number
     t = F.regexp_replace(strip_edges(c), r"(?<=\d)_(?=\d)", "")
-    shape = r"^[+-]?\d+\z" if kind == "int" else _FLOAT_SHAPE
-    return F.coalesce(F.when(t.rlike(shape), t.try_cast(kind)), F.lit(default).cast(kind))
+    shape = r"\A[+-]?\d+\z" if kind == "int" else _FLOAT_SHAPE
+    return F.coalesce(F.regexp_extract(t, shape, 0).try_cast(kind), F.lit(default).cast(kind))
 
 
 def format_vnd(c: Column) -> Column:

@@ -15,14 +15,14 @@ def _quote(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _chain(x: str, steps: list[tuple[str, str]], function: str = "replace") -> str:
+def _chain(x: str, steps: list[tuple[str, str]]) -> str:
     for old, new in steps:
-        x = f"{function}({x}, {_quote(old)}, {_quote(new)})"
+        x = f"replace({x}, {_quote(old)}, {_quote(new)})"
     return x
 
 
 def _prefixes(x: str, prefixes: list[str]) -> str:
-    stripped = _chain(x, [(rf"(?s)^{p} *(.*?) *\z", "$1") for p in prefixes], "regexp_replace")
+    stripped = f"regexp_replace({x}, {_quote(X._prefix_pattern(prefixes))}, '$1')"
     return f"coalesce(nullif({stripped}, ''), '{S.UNKNOWN}')"
 
 
@@ -32,7 +32,7 @@ def _in(values: list[str]) -> str:
 
 def _functions() -> list[tuple[str, str, str]]:
     """(signature, return type, body), callees first."""
-    spaces = _quote(rf"(?U){X.WS}+")
+    spaces = _quote(rf"{X.WS}+")
     no_brackets = f"trim(regexp_replace(clean_text(x), {_quote(r' *\(.*?\) *')}, ''))"
     captured = "try_cast(replace(nullif(regexp_extract({0}, {1}, {2}), ''), ',', '.') AS DOUBLE)"
 

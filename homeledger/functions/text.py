@@ -12,8 +12,13 @@ from pyspark.sql import Column, functions as F
 
 from homeledger.schema import HCMC, UNKNOWN
 
-WS = r"[\s\x1c-\x1f]"
-_EDGES = rf"(?U)^{WS}+|{WS}+\z"
+# Whitespace as Python understands it, written out: faster than the regex engine's
+# Unicode mode. BLANK is all of it but the plain space.
+BLANK = r"\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+WS = rf"[ {BLANK}]"
+# Only runs that are not already one plain space, so that clean text is left untouched.
+_RUNS = rf"(?: {{2}}|[{BLANK}]| [{BLANK}]){WS}*"
+_EDGES = rf"^{WS}+|{WS}+\z"
 
 # --- fixed values: spellings that must match the source data ---
 PROVINCE_ALIASES = {
@@ -56,24 +61,36 @@ def _check_variant(variant: str) -> None:
         raise ValueError(f"variant must be one of {VARIANTS}, not {variant!r}")
 
 
+# Rules refer to their input once wherever they can: a second reference would be a
+# second run of every pattern below it.
+
+
 def strip_edges(c: Column) -> Column:
     return F.regexp_replace(c, _EDGES, "")
 
 
+def _squeeze(c: Column) -> Column:
+    return F.trim(F.regexp_replace(c, _RUNS, " "))
+
+
 def normalize_text(c: Column) -> Column:
     """Single spaces, no outer whitespace; empty becomes null."""
-    return F.nullif(F.trim(F.regexp_replace(c, rf"(?U){WS}+", " ")), F.lit(""))
+    return F.nullif(_squeeze(c), F.lit(""))
+
+
+def _or_default(x: Column, default: str = UNKNOWN, words: str = "") -> Column:
+    """The default in place of null, empty and the given words."""
+    return F.coalesce(F.regexp_replace(x, rf"\A(?:{words})\z", default), F.lit(default))
 
 
 def clean_text(c: Column, default: str = UNKNOWN) -> Column:
-    """``normalize_text`` with a default in place of null."""
-    return F.coalesce(normalize_text(c), F.lit(default))
+    """Single spaces, no outer whitespace; null and empty become the default."""
+    return _or_default(_squeeze(c), default)
 
 
 def fill_category(c: Column) -> Column:
     """Outer whitespace off, inner kept; null, empty and the text ``nan`` are unknown."""
-    t = strip_edges(c)
-    return F.when(c.isNull() | t.isin("", "nan"), F.lit(UNKNOWN)).otherwise(t)
+    return _or_default(strip_edges(c), words="|nan")
 
 
 def filter_text(c: Column) -> Column:
@@ -113,15 +130,25 @@ def normalize_province(c: Column, variant: str = "fixed") -> Column:
     x = clean_text(c)
     if variant == "merge":
         x = F.replace(x, F.lit("TP."), F.lit("TP"))
-    return lookup(x, {alias: HCMC for alias in PROVINCE_ALIASES[variant]})
+    aliases = "|".join(a.replace(".", r"\.") for a in PROVINCE_ALIASES[variant])
+    return F.regexp_replace(x, rf"\A(?:{aliases})\z", HCMC)
+
+
+def _prefix_pattern(prefixes: list[str]) -> str:
+    """Prefixes that go in turn, as one pattern.
+
+    Any of them may come first; each later one may follow if text remains behind it.
+    """
+    starts = []
+    for i, first in enumerate(prefixes):
+        later = "".join(rf"(?:{p} *(?=[^ ]))?" for p in prefixes[i + 1:])
+        starts.append(rf"{first} *{later}")
+    return rf"\A(?:{'|'.join(starts)})(.*?) *\z"
 
 
 def _strip_prefixes(x: Column, prefixes: list[str]) -> Column:
-    # One pattern per prefix, applied in turn, so that several may go. Only a value
-    # that carried the prefix is trimmed again.
-    for prefix in prefixes:
-        x = F.regexp_replace(x, rf"(?s)^{prefix} *(.*?) *\z", "$1")
-    return F.coalesce(F.nullif(x, F.lit("")), F.lit(UNKNOWN))
+    # only a value that carried a prefix is trimmed again
+    return _or_default(F.regexp_replace(x, _prefix_pattern(prefixes), "$1"))
 
 
 def _drop_brackets(x: Column) -> Column:
@@ -151,9 +178,8 @@ def normalize_direction(c: Column, variant: str = "fixed") -> Column:
     _check_variant(variant)
     x = clean_text(c)
     if variant == "merge":
-        blank = x.rlike(r"(?U)^\d+(\.0)?\z") | F.lower(x).isin("nan", "none", "")
-        return F.when(blank, F.lit(UNKNOWN)).otherwise(x)
-    return F.when(x.isin(COMPASS), x).otherwise(F.lit(UNKNOWN))
+        return _or_default(x, words=r"\d+(?:\.0)?|(?i:nan|none)")
+    return _or_default(F.regexp_extract(x, rf"\A(?:{'|'.join(COMPASS)})\z", 0))
 
 
 def extract_district(c: Column) -> Column:

@@ -60,10 +60,6 @@ def standardize(df: DataFrame, source: str | None, variant: str = "fixed",
     extra = [c for c in df.columns if c not in S.COMMON_COLUMNS]
     types = {f.name: f.dataType for f in df.schema.fields}
     textual = [c for c in ("price", "area", "published_at") if isinstance(types[c], T.StringType)]
-    if variant == "fixed" and "price" in textual:
-        # one projection for the rewritten text, which the price rules read several times
-        df = df.withColumn("price", numbers.money_text(F.col("price")))
-
     out: dict[str, Column] = {c: text.clean_text(F.col(c).cast("string")) for c in S.TEXT_COLUMNS}
     out["province_name"] = text.normalize_province(F.col("province_name"), variant)
     out["district_name"] = text.normalize_district(F.col("district_name"), variant)
@@ -73,9 +69,7 @@ def standardize(df: DataFrame, source: str | None, variant: str = "fixed",
     for c in S.NUMERIC_COLUMNS:
         out[c] = _number(df, c)
     if variant == "fixed":
-        out["price"] = (
-            numbers.price_of_money_text(F.col("price")) if "price" in textual
-            else numbers.positive(F.col("price")))
+        out["price"] = numbers.positive(F.col("price"))
         out["area"] = numbers.parse_area_m2(F.col("area"), "area" not in textual)
     else:
         out["price"], out["area"] = _number(df, "price"), _number(df, "area")
@@ -83,7 +77,15 @@ def standardize(df: DataFrame, source: str | None, variant: str = "fixed",
         F.col("published_at"), types["published_at"],
         day_first=variant == "fixed" and source in DAY_FIRST_SOURCES, strict_format=strict_format)
     out["source"] = F.col("source") if source is None else F.lit(source)
-    df = evaluate_once(df, {c: out.pop(c) for c in textual})
+    if variant == "fixed" and "price" in textual:
+        # the patterns run once; the price itself is then cheap to repeat in filters
+        df = df.withColumn("price", numbers.money_text(F.col("price")))
+        parts = {f"_{k}": c for k, c in numbers.money_parts(F.col("price")).items()}
+        rules = {c: out.pop(c) for c in textual if c != "price"}
+        df = evaluate_once(df, {**rules, **parts})
+        out["price"] = numbers.price_of_parts(*[F.col(k) for k in parts])
+    else:
+        df = evaluate_once(df, {c: out.pop(c) for c in textual})
     return df.select(*[out.get(c, F.col(c)).alias(c) for c in S.COMMON_COLUMNS], *extra)
 
 
