@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from homeledger.session import configure
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -15,7 +17,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def add(run: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name!r} is registered twice")
-        QUERIES[name] = run
+        QUERIES[name] = lambda spark, sf_dir: run(configure(spark), sf_dir)
         if sql is not None:
             ORACLES[name] = sql
         return run

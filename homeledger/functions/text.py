@@ -12,13 +12,8 @@ from pyspark.sql import Column, functions as F
 
 from homeledger.schema import HCMC, UNKNOWN
 
-# Whitespace as Python understands it, written out: faster than the regex engine's
-# Unicode mode. BLANK is all of it but the plain space.
-BLANK = r"\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-WS = rf"[ {BLANK}]"
-# Only runs that are not already one plain space, so that clean text is left untouched.
-_RUNS = rf"(?: {{2}}|[{BLANK}]| [{BLANK}]){WS}*"
-_EDGES = rf"^{WS}+|{WS}+\z"
+WS = r"[\s\x1c-\x1f]"  # with the Unicode flag (?U)
+_EDGES = rf"(?U)\A{WS}+|{WS}+\z"
 
 # --- fixed values: spellings that must match the source data ---
 PROVINCE_ALIASES = {
@@ -70,7 +65,7 @@ def strip_edges(c: Column) -> Column:
 
 
 def _squeeze(c: Column) -> Column:
-    return F.trim(F.regexp_replace(c, _RUNS, " "))
+    return F.trim(F.regexp_replace(c, rf"(?U){WS}+", " "))
 
 
 def normalize_text(c: Column) -> Column:

@@ -42,3 +42,19 @@ def cut_lineage(df: DataFrame, label: str = "step") -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# Settings that matter for the generated code, unless the user has chosen otherwise.
+# The JVM never compiles a method above 8000 bytes of bytecode; a whole-stage method of
+# that size runs interpreted, several times slower than the same plan with one method
+# per expression, which is what Spark falls back to at this limit.
+TUNING = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+_DEFAULTS = {"spark.sql.codegen.hugeMethodLimit": "65535"}
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the settings the wide text projections want, where they are at default."""
+    for key, value in TUNING.items():
+        if spark.conf.get(key, _DEFAULTS[key]) == _DEFAULTS[key]:
+            spark.conf.set(key, value)
+    return spark
