@@ -123,13 +123,13 @@ def prepare_features(df: DataFrame, spec: FeatureSpec, training: bool = False,
     return out
 
 
-def encoding_stages(spec: FeatureSpec, output: str = "features") -> list:
+def encoding_stages(spec: FeatureSpec, output: str = "features", skip: Sequence[str] = ()) -> list:
     """Index, one-hot and assemble. An unseen category is the dropped last slot: all zero."""
-    cats = spec.categorical
+    cats = [c for c in spec.categorical if c not in skip]
     index = [StringIndexerModel.from_labels(spec.labels(c), f"f_{c}", f"i_{c}", "keep") for c in cats]
     hot = OneHotEncoder(inputCols=[f"i_{c}" for c in cats], outputCols=[f"h_{c}" for c in cats], dropLast=True)
-    joined = VectorAssembler(inputCols=[f"f_{c}" for c in spec.numeric] + [f"h_{c}" for c in cats],
-                             outputCol=output)
+    joined = VectorAssembler(inputCols=[f"f_{c}" for c in spec.numeric if c not in skip]
+                             + [f"h_{c}" for c in cats], outputCol=output)
     return [*index, hot, joined]
 
 
@@ -191,17 +191,21 @@ def train_ridge(train: DataFrame, spec: FeatureSpec | None = None, alpha: float
     """
     spec = spec or fit_features(train)
     frame = _training_frame(train, spec)
-    facts = frame.agg(F.count("*").alias("n"), F.stddev_pop("label").alias("pop"),
-                      F.stddev_samp("label").alias("samp")).first()
+    facts = frame.agg(
+        F.count("*").alias("n"), F.stddev_pop("label").alias("pop"), F.stddev_samp("label").alias("samp"),
+        *[(F.min(f"f_{c}") == F.max(f"f_{c}")).alias(c) for c in spec.numeric + spec.categorical]).first()
     n = facts["n"]
+    # What never varies has weight zero whatever the penalty; left in, it would make the
+    # exact solver's matrix singular.
+    constant = [c for c in spec.numeric + spec.categorical if facts[c]]
     exact = spec.width <= NORMAL_SOLVER_WIDTH
     spread = facts["pop"] if exact else facts["samp"]
     scaler = StandardScaler(withMean=False, withStd=True, inputCol="raw_features", outputCol="features")
     ridge = LinearRegression(
         featuresCol="features", labelCol="label", elasticNetParam=0.0, standardization=False,
         solver="normal" if exact else "l-bfgs",
-        regParam=alpha * (n - 1) / n * (spread or 0.0) / n, maxIter=1 if exact else 500, tol=1e-9)
-    stages = Pipeline(stages=[*encoding_stages(spec, "raw_features"), scaler, ridge]).fit(frame)
+        regParam=alpha * (n - 1) / n * (spread or 0.0) / n, maxIter=1000, tol=1e-12)
+    stages = Pipeline(stages=[*encoding_stages(spec, "raw_features", constant), scaler, ridge]).fit(frame)
     return PriceModel(M.RIDGE, spec, stages)
 
 

@@ -117,9 +117,9 @@ def exact_median(df: DataFrame, value: str) -> DataFrame:
 
 
 def kth_value(df: DataFrame, key: str, k: int, n: int) -> DataFrame:
-    """The ``k``-th smallest (from 1) of ``n`` non-null keys: columns ``value``, ``below``.
+    """The ``k``-th smallest (from 1) of ``n`` non-null keys: ``value``, ``below``, ``copies``.
 
-    ``below`` counts the keys strictly smaller. Brackets compare as doubles, which keeps
+    ``below`` counts the keys strictly smaller, ``copies`` the equal ones. Brackets compare as doubles, which keeps
     the order of longs; the rank itself is exact for any number.
     """
     if not 1 <= k <= n:
@@ -127,7 +127,7 @@ def kth_value(df: DataFrame, key: str, k: int, n: int) -> DataFrame:
     rank = F.lit(k - 1)
     holds = (F.col("below") <= rank) & (rank < F.col("upto"))
     # a single rank lies inside its bracket, never at the edge of a side
-    inside = F.when(F.col("side") == 0, F.struct(F.col("v").alias("value"), "below"))
+    inside = F.when(F.col("side") == 0, F.struct(F.col("v").alias("value"), "below", F.col("c").alias("copies")))
     inside = inside.otherwise(F.raise_error(F.lit("rank outside its bracket")))
     prob = (k - 1) / (n - 1) if n > 1 else 0.0
     return _ranked(df, key, [prob], []).agg(F.max(F.when(holds, inside)).alias("at")).select("at.*")

@@ -90,23 +90,24 @@ def split_chronological(df: DataFrame, test_size: float = 0.2, check: bool = Tru
     label = f"chronological_last_{test_size:.0%}"
     counts = df.agg(F.count("*").alias("n"), F.count("published_at").alias("timed")).first()
     cut = chronological_cut(counts["n"], test_size)
+    if check:
+        check_split(cut, counts["n"] - cut)
     ts, row_id = F.col("published_at"), F.col("row_id")
     if cut == 0 or cut == counts["n"]:
-        split = (df.where(F.lit(cut > 0)), df.where(F.lit(cut == 0)), label)
-        return _checked(split, check)
+        return df.where(F.lit(cut > 0)), df.where(F.lit(cut == 0)), label
     if cut <= counts["timed"]:
         timed = df.select(micros(ts).alias("t"), "row_id")
         at = kth_value(timed, "t", cut, counts["timed"]).first()
         moment = F.lit(at["value"])
         tied = timed.where(F.col("t") == moment)
-        last = kth_value(tied, "row_id", cut - at["below"], tied.count()).first()["value"]
+        last = kth_value(tied, "row_id", cut - at["below"], at["copies"]).first()["value"]
         before = (micros(ts) < moment) | ((micros(ts) == moment) & (row_id <= F.lit(last)))
         before = F.coalesce(before, F.lit(False))
     else:
         untimed = df.where(ts.isNull()).select("row_id")
         last = kth_value(untimed, "row_id", cut - counts["timed"], counts["n"] - counts["timed"]).first()["value"]
         before = ts.isNotNull() | (row_id <= F.lit(last))
-    return _checked((df.where(before), df.where(~before), label), check)
+    return df.where(before), df.where(~before), label
 
 
 def split_auto(df: DataFrame, test_size: float = 0.2, min_train: int = 500, min_test: int = 200,
