@@ -11,10 +11,10 @@ from homeledger import schema as S
 from homeledger.catalog import duck as D, inputs as I, views as V
 from homeledger.catalog.registry import query
 from homeledger.catalog.source_queries import rounded
-from homeledger.operators import coverage, features, metrics, models, scoring, splits
+from homeledger.operators import metrics, models, scoring, splits
 from homeledger.plans import runs
 from homeledger.session import cut_lineage, scratch_path
-from homeledger.sources import listings, outputs
+from homeledger.sources import outputs
 from homeledger.streaming import jobs
 
 FACTS = V.cte(V.facts_sql)

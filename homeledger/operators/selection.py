@@ -4,8 +4,9 @@ Spark's ``percentile`` keeps every distinct value of a group in one buffer, and
 ordered ``limit`` brings its rows to one task. Both stop working when one group holds
 a third of a very large table. Here a bounded sketch (``percentile_approx``) first
 brackets each wanted rank; a second pass then counts exactly, where everything outside
-the bracket collapses, before the shuffle, into one row per side. What is ranked in the
-end is a few ten-thousandths of the values.
+the bracket collapses, before the shuffle, into one row per side. What one task ranks in
+the end is under a ten-thousandth of the rows, as distinct values with counts, and the
+sort behind it spills.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # The sketch is off by at most 1/ACCURACY of the rows; brackets are four times as wide.
-ACCURACY = 10_000
+ACCURACY = 100_000
 MARGIN = 4.0 / ACCURACY
 
 

@@ -7,9 +7,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from homeledger import schema as S
-from homeledger.operators import cleaning, coverage, dedupe, features, metrics as M, models, splits, standardize as std
+from homeledger.operators import cleaning, dedupe, metrics as M, models, splits, standardize as std
 from homeledger.operators.cleaning import DEFAULT_LIMITS, Limits
-from homeledger.session import cut_lineage, scratch_path
+from homeledger.session import cut_lineage
 from homeledger.sources import listings, outputs
 
 # --- fixed values: texts of the run summary ---

@@ -20,16 +20,17 @@ def ingest_ads(pages: DataFrame, delay: str = "1 day", zone: str = "UTC") -> Dat
 
     Repeats are recognised while they arrive within ``delay`` of the listing time, so
     the state stays bounded; which copy survives is the order of arrival. An ad without
-    a readable time cannot be placed and passes no watermark, so it is left out.
+    a readable time has no place in that state: a stream passes it on unchecked.
     """
     crawl = F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
     flat = ads.flatten_ad(ads.explode_ad_pages(pages), crawl, zone)
-    timed = flat.withColumn("list_time", F.col("NgayDang").try_cast("timestamp"))
-    timed = timed.where(F.col("list_time").isNotNull())
     keys = S.DEDUPE_KEYS["crawl"]
     if not pages.isStreaming:
-        return timed.dropDuplicates(keys)
-    return timed.withWatermark("list_time", delay).dropDuplicatesWithinWatermark(keys)
+        return flat.dropDuplicates(keys)
+    timed = flat.withColumn("list_time", F.col("NgayDang").try_cast("timestamp"))
+    known = F.col("list_time").isNotNull()
+    first = timed.where(known).withWatermark("list_time", delay).dropDuplicatesWithinWatermark(keys)
+    return first.drop("list_time").unionByName(timed.where(~known).drop("list_time"))
 
 
 def daily_coverage(listings: DataFrame, delay: str = "1 day", time: str = "published_at") -> DataFrame:

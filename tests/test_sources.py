@@ -136,6 +136,7 @@ def test_ad_details(spark):
 
 def test_stream_ingest_equals_batch_keys(spark, tmp_path):
     docs = [{"ads": [{"ad_id": i % 30, "list_id": i % 30, "subject": "s", "list_time": 1767225600 + i % 30}]} for i in range(90)]
+    docs.append({"ads": [{"ad_id": 99, "list_id": 99, "subject": "no time"}]})
     (tmp_path / "in").mkdir()
     write(tmp_path / "in" / "p.json", "\n".join(json.dumps(d) for d in docs))
     stream = jobs.ingest_ads(jobs.read_page_stream(spark, str(tmp_path / "in")))
@@ -143,7 +144,7 @@ def test_stream_ingest_equals_batch_keys(spark, tmp_path):
     batch = jobs.ingest_ads(ads.read_ad_pages(spark, str(tmp_path / "in"), multi_line=False))
     keys = S.DEDUPE_KEYS["crawl"]
     streamed = spark.read.parquet(str(tmp_path / "out")).select(*keys).collect()
-    assert len(streamed) == 30 and sorted(streamed) == sorted(batch.select(*keys).collect())
+    assert len(streamed) == 31 and sorted(streamed) == sorted(batch.select(*keys).collect())
 
 
 def test_write_and_read_back(spark, tmp_path):
