@@ -2,7 +2,7 @@
 
 The model learns ``log1p(price)``. Its one-hot width, and so its vocabulary of frequent
 categories, is part of the model and lives on the driver like its weights. The rare
-categories, whose number follows the data, stay a table.
+categories, whose number follows the data, stay in a table.
 """
 
 from __future__ import annotations
@@ -24,7 +24,8 @@ from homeledger.operators import metrics as M
 from homeledger.session import cut_lineage
 
 UNSEEN = "__unseen__"
-BROADCAST_BYTES = 32 * 1024 * 1024  # largest rare-category table sent to every executor
+BROADCAST_BYTES = 32 * 1024 * 1024  # largest category table sent to every executor
+MAX_LITERALS = 5000  # most frequent categories that a plan names one by one
 NORMAL_SOLVER_WIDTH = 4096  # Spark's limit for the exact solver
 REPORT_COLUMNS = [
     "published_at", "source", "property_type_name", "province_name", "district_name",
@@ -48,8 +49,8 @@ class FeatureSpec:
     modes: dict[str, str]
     frequent: dict[str, list[str]]
     rare_rows: dict[str, int]
-    rare_bytes: dict[str, int]
-    rare: DataFrame | None = field(default=None, repr=False)  # feature, category
+    bytes: dict[str, int]
+    categories: DataFrame | None = field(default=None, repr=False)  # feature, category, rare
 
     @property
     def numeric(self) -> list[str]:
@@ -69,7 +70,7 @@ class FeatureSpec:
 
     def to_json(self) -> str:
         return json.dumps({k: getattr(self, k) for k in
-                           ("medians", "modes", "frequent", "rare_rows", "rare_bytes")}, ensure_ascii=False)
+                           ("medians", "modes", "frequent", "rare_rows", "bytes")}, ensure_ascii=False)
 
 
 def fit_features(train: DataFrame, min_frequency: int = feat.MIN_FREQUENCY) -> FeatureSpec:
@@ -82,29 +83,33 @@ def fit_features(train: DataFrame, min_frequency: int = feat.MIN_FREQUENCY) -> F
     frequent: dict[str, list[str]] = {}
     for r in counts.where(F.col("rows") >= min_frequency).orderBy("feature", "category").collect():
         frequent.setdefault(r["feature"], []).append(r["category"])
-    rare = counts.where(F.col("rows") < min_frequency).select("feature", "category")
-    sizes = rare.groupBy("feature").agg(
-        F.count("*").alias("n"), F.sum(F.octet_length("category") + 16).alias("b")).collect()
+    categories = counts.select("feature", "category", (F.col("rows") < min_frequency).alias("rare"))
+    sizes = categories.groupBy("feature").agg(
+        F.count_if("rare").alias("n"), F.sum(F.octet_length("category") + 16).alias("b")).collect()
     return FeatureSpec(medians, modes, frequent, {r["feature"]: r["n"] for r in sizes},
-                       {r["feature"]: r["b"] for r in sizes}, rare)
+                       {r["feature"]: r["b"] for r in sizes}, categories)
 
 
-def _bucket_column(df: DataFrame, spec: FeatureSpec, column: str, training: bool) -> DataFrame:
-    value = F.coalesce(F.col(column), F.lit(spec.modes[column]))
-    frequent = value.isin(spec.frequent.get(column, []))
-    if training:  # every training category was counted, so what is not frequent is rare
+def _bucket_column(df: DataFrame, spec: FeatureSpec, feature: str, column: str, training: bool) -> DataFrame:
+    """Replace ``column`` by itself if frequent, else by the rare or the unseen bucket."""
+    value = F.coalesce(F.col(column), F.lit(spec.modes[feature]))
+    names = spec.frequent.get(feature, [])
+    named = len(names) <= MAX_LITERALS
+    frequent = value.isin(names) if named else F.lit(False)
+    if named and training:  # every training category was counted: what is not frequent is rare
         return df.withColumn(column, F.when(frequent, value).otherwise(F.lit(feat.INFREQUENT)))
-    if not spec.rare_rows.get(column, 0):
+    if named and not spec.rare_rows.get(feature, 0):
         return df.withColumn(column, F.when(frequent, value).otherwise(F.lit(UNSEEN)))
-    # Rows of frequent categories, the hot ones, need no partner: their join key is
-    # spread over many values that no category has.
+    # Rows of frequent categories, the hot ones, need no partner when the plan names
+    # them: their join key is spread over many values that no category has.
     nowhere = F.concat(F.lit("\x00"), F.pmod(F.hash(*df.columns), F.lit(4096)).cast("string"))
-    own = (spec.rare.where(F.col("feature") == column)
-           .select(F.col("category").alias("_key"), F.lit(True).alias("_rare")))
-    if spec.rare_bytes[column] <= BROADCAST_BYTES:
+    own = spec.categories.where((F.col("feature") == feature) & (F.col("rare") | F.lit(not named)))
+    own = own.select(F.col("category").alias("_key"), F.col("rare").alias("_rare"))
+    if spec.bytes[feature] <= BROADCAST_BYTES:
         own = F.broadcast(own)
     joined = df.withColumn("_key", F.when(frequent, nowhere).otherwise(value)).join(own, "_key", "left")
-    bucket = F.when(frequent, value).when(F.col("_rare"), F.lit(feat.INFREQUENT)).otherwise(F.lit(UNSEEN))
+    bucket = (F.when(frequent | ~F.col("_rare"), value).when(F.col("_rare"), F.lit(feat.INFREQUENT))
+              .otherwise(F.lit(UNSEEN)))
     return joined.withColumn(column, bucket).drop("_key", "_rare")
 
 
@@ -114,12 +119,8 @@ def prepare_features(df: DataFrame, spec: FeatureSpec, training: bool = False,
     numbers = [F.coalesce(F.col(c).cast("double"), F.lit(spec.medians[c])).alias(f"f_{c}")
                for c in spec.numeric]
     out = df.select(*keep, *numbers, *[F.col(c).alias(f"f_{c}") for c in spec.categorical])
-    renamed = FeatureSpec(
-        spec.medians, *[{f"f_{k}": v for k, v in d.items()} for d in
-                        (spec.modes, spec.frequent, spec.rare_rows, spec.rare_bytes)],
-        rare=None if spec.rare is None else spec.rare.withColumn("feature", F.concat(F.lit("f_"), "feature")))
     for c in spec.categorical:
-        out = _bucket_column(out, renamed, f"f_{c}", training)
+        out = _bucket_column(out, spec, c, f"f_{c}", training)
     return out
 
 
@@ -150,7 +151,7 @@ class PriceModel:
     def save(self, path: str) -> None:
         spark = SparkSession.active()
         self.stages.write().overwrite().save(f"{path}/stages")
-        self.spec.rare.write.mode("overwrite").parquet(f"{path}/rare")
+        self.spec.categories.write.mode("overwrite").parquet(f"{path}/categories")
         facts = spark.createDataFrame([(self.name, self.spec.to_json())], "name string, spec string")
         facts.coalesce(1).write.mode("overwrite").json(f"{path}/facts")
 
@@ -160,8 +161,8 @@ class PriceModel:
             facts = spark.read.schema("name string, spec string").json(f"{path}/facts").first()
         except AnalysisException as e:
             raise FileNotFoundError(f"no model at {path}") from e
-        rare = spark.read.schema("feature string, category string").parquet(f"{path}/rare")
-        spec = FeatureSpec(**json.loads(facts["spec"]), rare=rare)
+        categories = spark.read.schema("feature string, category string, rare boolean").parquet(f"{path}/categories")
+        spec = FeatureSpec(**json.loads(facts["spec"]), categories=categories)
         return PriceModel(facts["name"], spec, PipelineModel.load(f"{path}/stages"))
 
 

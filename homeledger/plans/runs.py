@@ -165,7 +165,7 @@ def _time_split(df: DataFrame, split: str, test_size: float) -> splits.Split:
 def merge_run(hf: DataFrame, chotot: DataFrame, mode: str = "merged", split: str = "latest_month",
               test_size: float = 0.2, limits: Limits = DEFAULT_LIMITS,
               settings: ModelSettings = ModelSettings(), folder: str | None = None) -> RunResult | DataFrame:
-    """Two sources in one of four modes.
+    """Two standardised sources, ``chotot`` free of its own duplicates, in one of four modes.
 
     ``prepare`` only returns the united clean table; ``hf_only`` trains on the landed
     source, ``external`` tests on the other one, ``merged`` trains on both.

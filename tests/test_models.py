@@ -57,6 +57,12 @@ def test_shuffled_lookup_equals_broadcast(train, ridge, monkeypatch):
     wanted = sorted(models.prepare_features(rows, ridge.spec, keep=["row_id"]).collect())
     monkeypatch.setattr(models, "BROADCAST_BYTES", -1)
     assert sorted(models.prepare_features(rows, ridge.spec, keep=["row_id"]).collect()) == wanted
+    # too many frequent categories to name them in the plan
+    monkeypatch.setattr(models, "MAX_LITERALS", -1)
+    assert sorted(models.prepare_features(rows, ridge.spec, keep=["row_id"]).collect()) == wanted
+    trained = models.prepare_features(train, ridge.spec, keep=["row_id"], training=True).collect()
+    monkeypatch.undo()
+    assert sorted(trained) == sorted(models.prepare_features(train, ridge.spec, keep=["row_id"], training=True).collect())
 
 
 def test_ridge_is_the_closed_form(train, ridge):
