@@ -56,12 +56,12 @@ def url_tokens(url: Column) -> Column:
     labels, steps = F.split(host, r"\."), F.filter(F.split(path, "/"), lambda s: s != "")
     query = F.regexp_extract(url, r"^[^?#]*\?([^#]*)", 1)
     keys = F.array_sort(F.array_distinct(F.transform(F.split(query, "&"), lambda kv: F.substring_index(kv, "=", 1))))
-    last = F.element_at(steps, -1)
+    last = F.get(steps, F.size(steps) - 1)
     values = {
         "scheme": lower_ascii(F.regexp_extract(url, r"^([^:]*)://", 1)),
-        "tld": F.element_at(labels, -1),
+        "tld": F.get(labels, F.size(labels) - 1),
         "site": F.array_join(F.slice(labels, -2, 2), "."),
-        "sub": F.array_join(F.slice(labels, 1, F.size(labels) - 2), "."),
+        "sub": F.array_join(F.slice(labels, 1, F.greatest(F.size(labels) - 2, F.lit(0))), "."),
         "dir": F.get(steps, F.lit(0)),
         "next": F.substring(F.get(steps, F.lit(1)), 1, 1),
         "depth": F.size(steps).cast("string"),
