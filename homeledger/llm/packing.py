@@ -7,7 +7,9 @@ open; when another one is needed, the fullest closes first.
 
 Pieces are dealt to packers by hash, narrow and without their texts, and arrive in an order
 that depends only on their keys, so a task that is run again after the loss of an executor
-packs alike. Memory per packer is the open bins, whatever the input.
+packs alike. Each run of as many arrivals as there are open bins is placed longest first;
+small pieces then fill what long ones leave. Memory per packer is the open bins and one
+Arrow batch, whatever the input.
 
 Null texts are empty; an empty document is its end id alone. Documents longer than a
 sequence are cut from the end: all pieces but the first are full. Repeated rows are
@@ -20,6 +22,7 @@ import zlib
 from collections import defaultdict, deque
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
@@ -28,9 +31,8 @@ from homeledger.llm.bpe import codec
 from homeledger.llm.common import ddl
 
 WINDOW = 2048
-OPEN_BINS = 1024
+OPEN_BINS = 4096
 END_ID = 0
-ROWS = 20_000  # per Arrow batch returned
 
 
 class BestFit:
@@ -103,10 +105,14 @@ def pack_pieces(pieces: DataFrame, key: str = "doc_id", window: int = WINDOW, op
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = BestFit(window, open_bins, TaskContext.get().partitionId() << 40)
         for batch in batches:
-            placed = [packer.place(n) for n in batch.column("length").to_pylist()]
-            sequence, offset = zip(*placed) if placed else ((), ())
+            lengths = batch.column("length").to_numpy()
+            placed = np.empty((len(lengths), 2), dtype=np.int64)
+            for a in range(0, len(lengths), open_bins):
+                run_of = lengths[a:a + open_bins]
+                for i in np.argsort(-run_of, kind="stable").tolist():
+                    placed[a + i] = packer.place(int(run_of[i]))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(sequence, pa.int64()), pa.array(offset, pa.int64())],
+                [*batch.columns, pa.array(placed[:, 0].copy()), pa.array(placed[:, 1].copy())],
                 names=[*batch.schema.names, "sequence_id", "offset"])
 
     order = F.xxhash64(key, "piece")
