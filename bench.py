@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -47,6 +48,7 @@ def main() -> None:
         SparkSession.builder.master(f"local[{cpus}]").appName("bench")
         .config("spark.ui.enabled", "false").config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(parallel))
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="homeledger-bench-"))
         .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
 

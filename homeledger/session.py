@@ -2,30 +2,30 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-@functools.cache
-def _local_dir(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"homeledger-{application}-")
+OWN_DIR = "spark.homeledger.scratch.dir"  # for local sessions, which cannot set the other one later
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+    """The shared folder named in ``spark.checkpoint.dir``.
 
-    Only a local-mode session that names none gets a folder of its own; a cluster
-    without the setting is refused, because executors share no local folder.
+    A session without the setting is refused: executors share no folder that is not named.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    return _local_dir(spark.sparkContext.applicationId)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(OWN_DIR, None)
+    if not named:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors can reach")
+    return named.rstrip("/")
+
+
+def name_shared_dir(spark: SparkSession, folder: str) -> SparkSession:
+    """Name ``folder`` for a local session that names none; a set one stays."""
+    master = spark.sparkContext.master
+    if not spark.conf.get("spark.checkpoint.dir", None) and (master == "local" or master.startswith("local[")):
+        spark.conf.set(OWN_DIR, folder)
+    return spark
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -33,17 +33,26 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame, label: str = "step") -> DataFrame:
+def cut_lineage(df: DataFrame, label: str = "step", path: str | None = None) -> DataFrame:
     """Write ``df`` as parquet in the shared folder and read it back.
 
     Unlike a cache, the written table survives the loss of executors, keeps its file
-    statistics for the optimizer and can be pruned by column.
+    statistics for the optimizer and can be pruned by column. A caller that gives the
+    ``path`` can drop the folder when nothing reads it any more.
     """
-    path = scratch_path(df.sparkSession, label)
+    path = path or scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a scratch folder; one outside the shared folder is refused."""
+    if not folder.startswith(shared_dir(spark) + "/"):
+        raise ValueError(f"{folder} is not in the shared folder")
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 # Settings that matter for the generated code, unless the user has chosen otherwise.
 # The JVM never compiles a method above 8000 bytes of bytecode; a whole-stage method of
 # that size runs interpreted, several times slower than the same plan with one method

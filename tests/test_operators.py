@@ -37,8 +37,37 @@ def test_exact_quantiles_match_numpy(spark, n):
             assert got[g, p] == pytest.approx(np.quantile(vs, p), rel=1e-12, abs=1e-12), (g, p)
 
 
-def test_median_brackets_on_many_rows(spark):
-    """Enough rows for the sketch to be inexact; the result is not."""
+@pytest.mark.parametrize("values", [
+    [1.5] * 900 + [2.5], [0.0, -0.0, 1.0] * 50, [1e308, -1e308, 5e-324, -5e-324, 0.0, float("inf"), float("-inf")] * 9,
+    [1.0 + i * 2.0 ** -52 for i in range(300)], [10.0 ** (i - 150) for i in range(300)], [-(1.01 ** i) for i in range(999)]])
+def test_quantiles_of_hot_and_extreme_values(spark, values):
+    df = spark.createDataFrame([(v,) for v in values] + [(None,), (float("nan"),)], "v double").repartition(3)
+    ranks = [i / (len(values) - 1) for i in (0, len(values) // 3, len(values) // 2, len(values) - 2, len(values) - 1)]
+    got = [r["value"] for r in selection._at_ranks(
+        df, "v", F.array(*[F.lit(round(p * (len(values) - 1))).cast("bigint") for p in ranks]), [], True, "double").orderBy("k").collect()]
+    assert got == sorted({round(p * (len(values) - 1)): sorted(values)[round(p * (len(values) - 1))] for p in ranks}.values())
+
+
+def test_quantiles_of_many_groups_with_a_hot_one(spark):
+    rows = [("hot", float(i % 977)) for i in range(6000)] + [(f"g{i}", float(i * j)) for i in range(40) for j in range(5)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    for few in (True, False):
+        got = {(r["g"], r["prob"]): r["quantile"] for r in selection.exact_quantiles(df, "v", [0.3, 0.5], ["g"], few).collect()}
+        for g in {g for g, _ in rows}:
+            for p in (0.3, 0.5):
+                assert got[g, p] == pytest.approx(np.quantile([v for h, v in rows if h == g], p), rel=1e-12)
+
+
+def test_no_exchange_to_one_task_carries_more_than_bins(spark):
+    data = spark.range(100_000).select((F.col("id") * 1.5).alias("_v"))
+    state = spark.createDataFrame([(0.0, 149_998.5, 0, 100_000, 100_000, [50_000])], selection._STATE.format("double"))
+    out = selection._pass(data, state, [], True, "double")
+    assert out.count() == 1
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "partial_count" in plan and "ObjectHashAggregate" not in plan
+
+
+def test_median_on_many_rows(spark):
     df = spark.range(0, 400_000, 1, 8).select((F.pmod(F.xxhash64("id"), F.lit(10**9)) / 7).alias("v"))
     got = selection.exact_median(df, "v").first()["median"]
     assert got == pytest.approx(df.agg(F.median("v")).first()[0], rel=1e-15)
