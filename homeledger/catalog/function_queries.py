@@ -132,9 +132,9 @@ def _from_ads(name, columns):
         made = {
             **{n: ads.extract_param(ad, keys) for n, keys in ads.AD_PARAMS.items()},
             "Link": ads.build_ad_url(ad),
-            "Ward": ads.truthy_coalesce(ad["ward_name"], ad["ward"]),
-            "District": ads.truthy_coalesce(ad["area_name"], ad["area"]),
-            "ListTimeRaw": ads.truthy_coalesce(ad["list_time"], ad["date_timestamp"], ad["created_at"]),
+            "Ward": ads.first_true(ad, "ward_name", "ward"),
+            "District": ads.first_true(ad, "area_name", "area"),
+            "ListTimeRaw": ads.first_true(ad, "list_time", "date_timestamp", "created_at"),
         }
         return I.ad_objects(spark, sf).select("page_id", *[made[c].alias(c) for c in columns])
 

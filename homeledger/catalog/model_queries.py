@@ -20,7 +20,7 @@ from homeledger.streaming import jobs
 FACTS = V.cte(V.facts_sql)
 LISTINGS = V.cte(V.listings_sql)
 DOUBLED = V.cte(V.doubled_sql)
-SMALL = runs.ModelSettings(trees=5, depth=6)
+SMALL = runs.ModelSettings(trees=20, depth=10)
 
 
 # ---- splits -------------------------------------------------------------------------
@@ -82,7 +82,7 @@ def _auto_sql() -> str:
 
 @query("split_auto", _auto_sql())
 def split_auto(spark, sf):
-    return tagged(splits.split_auto(I.facts(spark, sf)))
+    return tagged(splits.split_auto(I.facts(spark, sf), min_train=500, min_test=200))
 
 
 @query("split_external", _sides_sql("source = 'huggingface'", "source = 'chotot'", "'external_test_hf_train_chotot_test'"))
@@ -91,26 +91,38 @@ def split_external(spark, sf):
 
 
 @query("split_checks", f"""SELECT count(*) FILTER (published_at < {_MONTH}) AS train_rows,
-count(*) FILTER (published_at >= {_MONTH}) AS test_rows,
-CASE WHEN count(*) FILTER (published_at >= {_MONTH}) < 200 THEN 1 ELSE 0 END AS notes FROM ({FACTS})""")
+count(*) FILTER (published_at >= {_MONTH}) AS test_rows, count(*) FILTER (published_at >= {_MONTH}) >= 200 AS enough FROM ({FACTS})""")
 def split_checks(spark, sf):
-    train, test, _ = splits.split_latest_month(I.facts(spark, sf), check=False)
-    counts = splits.side_counts(train, test)
-    notes = splits.check_split(*counts, min_test=200)
-    return train.sparkSession.range(1).select(
-        F.lit(counts[0]).cast("bigint").alias("train_rows"), F.lit(counts[1]).cast("bigint").alias("test_rows"),
-        F.lit(len(notes)).alias("notes"))
-
-
-@query("strategy_label", f"""SELECT 'latest_month_' || strftime({_LAST}, '%Y-%m') AS strategy UNION ALL
-SELECT 'latest_day_' || strftime({_LAST}, '%Y-%m-%d') UNION ALL SELECT 'chronological_last_25%' UNION ALL
-SELECT 'external_test_hf_train_chotot_test' UNION ALL
-SELECT 'fixed_train_1995-01-01_to_1999-12-31__test_2000-01-01_to_2001-12-31'""")
+    sides = tagged(splits.split_latest_month(I.facts(spark, sf)))
+    test = F.count_if(F.col("split") == "Test")
+    return sides.agg(F.count_if(F.col("split") == "Train").alias("train_rows"), test.alias("test_rows"), (test >= 200).alias("enough"))
+
+
+@query("split_candidates", f"""SELECT 'latest_month' AS split, count(*) FILTER (published_at < {_MONTH}) AS train_rows,
+count(*) FILTER (published_at >= {_MONTH}) AS test_rows FROM ({FACTS}) UNION ALL SELECT 'latest_day',
+count(*) FILTER (published_at < {_DAY}), count(*) FILTER (published_at >= {_DAY}) FROM ({FACTS})""")
+def split_candidates(spark, sf):
+    return splits.split_candidates(I.facts(spark, sf))
+
+
+_LABELLED = {
+    f"'latest_month_' || strftime({_LAST}, '%Y-%m')": f"published_at >= {_MONTH}",
+    f"'latest_day_' || strftime({_LAST}, '%Y-%m-%d')": f"published_at >= {_DAY}",
+    "'chronological_last_25%'": "pos > CAST(floor(n * (1 - 0.25::DOUBLE)) AS BIGINT)",
+    "'external_test_hf_train_chotot_test'": "CASE source WHEN 'huggingface' THEN false WHEN 'chotot' THEN true END",
+    "'fixed_train_1995-01-01_to_1999-12-31__test_2000-01-01_to_2001-12-31'":
+        "CASE WHEN published_at < TIMESTAMP '2000-01-01' THEN false WHEN published_at < TIMESTAMP '2002-01-01' THEN true END",
+}
+
+
+@query("strategy_label", " UNION ALL ".join(
+    f"SELECT {label} AS strategy, CASE WHEN t THEN 'Test' ELSE 'Train' END AS split, count(*) AS \"rows\" "
+    f"FROM (SELECT {test} AS t FROM ({_RANKED})) WHERE t IS NOT NULL GROUP BY ALL" for label, test in _LABELLED.items()))
 def strategy_label(spark, sf):
     df = I.facts(spark, sf)
     made = [splits.split_latest_month(df), splits.split_latest_day(df), splits.split_chronological(df, 0.25),
             splits.split_external(df), splits.split_fixed_range(df, "1995-01-01", "1999-12-31", "2000-01-01", "2001-12-31")]
-    return spark.createDataFrame([(label,) for _, _, label in made], "strategy string")
+    return metrics.union_all([tagged(s) for s in made]).groupBy("strategy", "split").agg(F.count("*").alias("rows"))
 
 
 # ---- models -------------------------------------------------------------------------
@@ -151,7 +163,7 @@ def split_listings(spark, sf):
 @query("train_random_forest")
 def train_random_forest(spark, sf):
     train, test = split_listings(spark, sf)
-    model = models.train_random_forest(train, trees=5, depth=6)
+    model = models.train_random_forest(train, trees=SMALL.trees, depth=SMALL.depth)
     return model.predict(test).select("row_id", "price", "predicted_price")
 
 
@@ -164,7 +176,7 @@ def train_ridge(spark, sf):
 @query("compare_models")
 def compare_models(spark, sf):
     train, test = split_listings(spark, sf)
-    return rounded(models.compare_models(train, test, trees=5, depth=6)[0])
+    return rounded(models.compare_models(train, test, trees=SMALL.trees, depth=SMALL.depth)[0])
 
 
 @query("predict_batch")
@@ -193,11 +205,12 @@ def score_requests(spark, sf):
 
 @query("stream_ad_ingest", f"SELECT DISTINCT AdId, ListId, Subject, NgayDang FROM ({D.flat_ads()})")
 def stream_ad_ingest(spark, sf):
-    pages = I.page_texts(spark, sf).select(F.col("page").alias("value"))
+    """Pages land in four batches, newest ads first, the last of them with every page again."""
+    pages = I.page_texts(spark, sf)
     landed, out, state = (scratch_path(spark, n) for n in ("pages", "ads", "state"))
-    pages.unionAll(pages).write.text(landed)  # every page twice
-    ads = jobs.ingest_ads(jobs.read_page_stream(spark, landed))
-    jobs.write_stream(ads, out, state).awaitTermination()
+    for batch in (pages.where("page_id % 3 = 2"), pages.where("page_id % 3 = 1"), pages.where("page_id % 3 = 0"), pages):
+        batch.select(F.col("page").alias("value")).write.mode("append").text(landed)
+        jobs.land_ads(jobs.read_page_stream(spark, landed), out, state).awaitTermination()
     return spark.read.parquet(out).select("AdId", "ListId", "Subject", "NgayDang")
 
 
@@ -264,7 +277,7 @@ def three_source_run(spark, sf):
     landed = I.raw_columns(I.raw(spark, sf)).where(F.col("source") == "huggingface")
     hf = runs.std.standardize(landed, "huggingface")
     result = runs.three_source_run(
-        spark, hf, I.ads_csv(spark, sf), I.ragged_csv(spark, sf), scratch_path(spark, "run"), settings=SMALL,
+        spark, hf, I.ads_csv(spark, sf), I.ragged_csv(spark, sf), scratch_path(spark, "run"), settings=SMALL, multi_line=True,
         train_start="1995-01-01", train_end="1999-12-31", test_start="2000-01-01", test_end="2001-12-31")
     return result.predictions
 
@@ -284,8 +297,7 @@ _run("merged_run", "merged", "latest_month")
 @query("single_source_run")
 def single_source_run(spark, sf):
     landed = I.listings(spark, sf).drop("source")
-    limit = 10**12  # whole table
-    return rounded(runs.single_source_run(landed, max_rows=limit, scan_limit=limit, split="auto", settings=SMALL).metrics)
+    return rounded(runs.single_source_run(landed, split="chronological", settings=SMALL).metrics)
 
 
 @query("prepare_single_source", f"""SELECT row_id, district_name, house_direction,

@@ -48,14 +48,14 @@ def _ragged_sql() -> str:
 
 @query("scan_ragged_csv", _ragged_sql())
 def scan_ragged_csv(spark, sf):
-    return listings.scan_ragged_csv(spark, I.ragged_csv(spark, sf)).drop("row_id")
+    return listings.scan_ragged_csv(spark, I.ragged_csv(spark, sf), multi_line=True).drop("row_id")
 
 
 @query("ragged_profile", "SELECT count(*) FILTER (row_id % 10 > 2) AS valid_rows, "
        "count(*) FILTER (row_id % 10 = 2) AS header_rows, "
        f"count(*) FILTER (row_id % 10 < 2) AS skipped_rows FROM ({RAW})")
 def ragged_profile(spark, sf):
-    return listings.ragged_profile(listings.read_ragged_csv(spark, I.ragged_csv(spark, sf)))
+    return listings.ragged_profile(listings.read_ragged_csv(spark, I.ragged_csv(spark, sf), multi_line=True))
 
 
 @query("map_positional_columns", "SELECT row_id, name, description, property_type_name, province_name, district_name, "

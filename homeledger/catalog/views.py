@@ -178,10 +178,10 @@ def _ad_text(e: Engine) -> str:
     stamp = f"CASE o_orderkey % 2 WHEN 0 THEN {text(secs)} ELSE {text(secs + ' * 1000 + 123')} END"
     size = text("30 + o_custkey % 90")
     details = (
-        f"CASE o_orderkey % 3 WHEN 0 THEN '\"ad_params\":[{{{{\"id\":\"other\",\"value\":1}}}},"
+        f"CASE o_orderkey % 3 WHEN 0 THEN '\"ad_params\":[\"x\",7,null,[1],{{{{\"id\":\"other\",\"value\":1}}}},"
         f"{{{{\"id\":\"Size\",\"value\":' || {size} || '}}}},{{{{\"id\":\"size\",\"value\":999}}}}]' "
         f"WHEN 1 THEN '\"size\":' || {size} || ',\"rooms\":0,\"area\":\"Quận 3\"' "
-        f"ELSE '\"parameters\":[{{{{\"key\":\"rooms\",\"value\":0,\"value_name\":\"2 phòng\"}}}},"
+        f"ELSE '\"parameters\":[{{{{\"key\":\"rooms\",\"value\":false,\"value_name\":\"2 phòng\"}}}},"
         f"{{{{\"label\":\"direction\",\"value\":\"\"}}}}],\"params\":[{{{{\"name\":\"floor\",\"value\":\"7\"}}}}],"
         f"\"area\":' || {size} END")
     links = (
@@ -192,7 +192,7 @@ def _ad_text(e: Engine) -> str:
     return (
         f"'{{{{\"ad_id\":' || {key} || ',\"list_id\":' || {text('o_orderkey * 10')} || ',\"subject\":\"Căn hộ ' || "
         f"{cust} || '\",\"address\":\"' || o_orderpriority || '\",\"ward\":\"P. ' || {text('o_custkey % 20')} || "
-        f"'\",\"ward_name\":\"\",\"region_name\":\"TPHCM\",\"price\":' || "
+        f"'\",\"ward_name\":\"\",\"area_name\":false,\"account_type\":{{{{}}}},\"seller_type\":false,\"region_name\":\"TPHCM\",\"price\":' || "
         f"{text('CAST(floor(o_totalprice) AS BIGINT) * 10000')} || ',\"price_string\":\"x đ\",\"date\":\"hôm qua\",' || "
         f"{details} || ',' || {links} || ',' || {when} || '}}}}'")
 
@@ -231,17 +231,9 @@ def requests_sql(e: Engine) -> str:
 
 # ---- running them -------------------------------------------------------------------
 
-GROWING = {"lineitem", "orders", "events", "documents"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table. One that grows but lies in a single file, as small test data do,
-    is spread over the cores; in many files it is read as it is, without a shuffle."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in GROWING and cores > 1 and len(df.inputFiles()) == 1:
-        return df.repartition(cores)
-    return df
+    """A test table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def view(spark: SparkSession, sf_dir: str, make: Callable[[Engine], str]) -> DataFrame:

@@ -183,14 +183,19 @@ def train_random_forest(train: DataFrame, spec: FeatureSpec | None = None, trees
     return PriceModel(M.FOREST, spec, stages)
 
 
-def train_ridge(train: DataFrame, spec: FeatureSpec | None = None, alpha: float = 1.0) -> PriceModel:
+def train_ridge(train: DataFrame, spec: FeatureSpec | None = None, alpha: float = 1.0, solver: str = "normal") -> PriceModel:
     """Ridge on features divided by their standard deviation.
 
+    ``solver`` is ``normal`` (exact, up to 4096 features) or ``l-bfgs`` (iterative, any width).
+
     Spark divides the penalty by rows and by the label's deviation, and scales by the
     sample deviation; ``regParam`` undoes all three, so that the solution is that of
     penalty ``alpha`` on population-scaled features.
     """
     spec = spec or fit_features(train)
+    exact = solver == "normal"
+    if exact and spec.width > NORMAL_SOLVER_WIDTH:
+        raise ValueError(f"{spec.width} features: the exact solver takes {NORMAL_SOLVER_WIDTH}; choose solver='l-bfgs'")
     frame = _training_frame(train, spec)
     facts = frame.agg(
         F.count("*").alias("n"), F.stddev_pop("label").alias("pop"), F.stddev_samp("label").alias("samp"),
@@ -199,23 +204,23 @@ def train_ridge(train: DataFrame, spec: FeatureSpec | None = None, alpha: float
     # What never varies has weight zero whatever the penalty; left in, it would make the
     # exact solver's matrix singular.
     constant = [c for c in spec.numeric + spec.categorical if facts[c]]
-    exact = spec.width <= NORMAL_SOLVER_WIDTH
     spread = facts["pop"] if exact else facts["samp"]
     scaler = StandardScaler(withMean=False, withStd=True, inputCol="raw_features", outputCol="features")
     ridge = LinearRegression(
         featuresCol="features", labelCol="label", elasticNetParam=0.0, standardization=False,
-        solver="normal" if exact else "l-bfgs",
+        solver=solver,
         regParam=alpha * (n - 1) / n * (spread or 0.0) / n, maxIter=1000, tol=1e-12)
     stages = Pipeline(stages=[*encoding_stages(spec, "raw_features", constant), scaler, ridge]).fit(frame)
     return PriceModel(M.RIDGE, spec, stages)
 
 
 def compare_models(train: DataFrame, test: DataFrame, trees: int = 300, depth: int = 28,
-                   min_leaf: int = 2, alpha: float = 1.0, seed: int = 42) -> tuple[DataFrame, dict[str, PriceModel]]:
+                   min_leaf: int = 2, alpha: float = 1.0, seed: int = 42,
+                   solver: str = "normal") -> tuple[DataFrame, dict[str, PriceModel]]:
     """Fit both models, score the test rows, rank with the median baseline by MAE."""
     spec = fit_features(train)
     fitted = {m.name: m for m in (
-        train_random_forest(train, spec, trees, depth, min_leaf, seed), train_ridge(train, spec, alpha))}
+        train_random_forest(train, spec, trees, depth, min_leaf, seed), train_ridge(train, spec, alpha, solver))}
     scored = {name: model.predict(test) for name, model in fitted.items()}
     scored[M.BASELINE] = M.baseline_median(train, test)
     rows = M.union_all([M.regression_metrics(df, name) for name, df in scored.items()])

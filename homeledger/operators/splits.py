@@ -22,7 +22,10 @@ def micros(c: Column) -> Column:
 
 
 def side_counts(train: DataFrame, test: DataFrame) -> tuple[int, int]:
-    return train.count(), test.count()
+    """Rows on each side, in one job."""
+    sides = train.select(F.lit(True).alias("t")).unionAll(test.select(F.lit(False).alias("t")))
+    row = sides.agg(F.count_if("t").alias("a"), F.count_if(~F.col("t")).alias("b")).first()
+    return row["a"], row["b"]
 
 
 def check_split(train_rows: int, test_rows: int, min_train: int = 0, min_test: int = 0) -> list[str]:
@@ -110,21 +113,27 @@ def split_chronological(df: DataFrame, test_size: float = 0.2, check: bool = Tru
     return df.where(before), df.where(~before), label
 
 
-def split_auto(df: DataFrame, test_size: float = 0.2, min_train: int = 500, min_test: int = 200,
-               check: bool = True) -> Split:
-    """Latest month; if a side is too small the latest day; if still so, chronological."""
+def split_candidates(df: DataFrame) -> DataFrame:
+    """Rows on each side of the latest-month and latest-day splits, in one pass: what a caller
+    needs to choose one."""
     latest = df.agg(F.max("published_at").alias("t"))
-    month = F.date_trunc("month", F.col("t")).cast("timestamp_ntz")
-    day = F.date_trunc("day", F.col("t")).cast("timestamp_ntz")
-    bounds = latest.select(F.struct(month.alias("m"), day.alias("d")).alias("b")).scalar()
+    units = ("month", "day")
+    bounds = latest.select(F.struct(*[F.date_trunc(u, F.col("t")).cast("timestamp_ntz").alias(u) for u in units]).alias("b")).scalar()
     ts = F.col("published_at")
-    seen = df.agg(
-        F.count_if(ts < bounds["m"]).alias("m_train"), F.count_if(ts >= bounds["m"]).alias("m_test"),
-        F.count_if(ts < bounds["d"]).alias("d_train"), F.count_if(ts >= bounds["d"]).alias("d_test"),
-    ).first()
-    if seen["m_train"] >= min_train and seen["m_test"] >= min_test:
+    counts = df.agg(*[F.count_if(test).alias(f"{u}_{side}") for u in units
+                      for side, test in (("train", ts < bounds[u]), ("test", ts >= bounds[u]))])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(f"latest_{u}").alias("split"), F.col(f"{u}_train").alias("train_rows"), F.col(f"{u}_test").alias("test_rows"))
+        for u in units])))
+
+
+def split_auto(df: DataFrame, min_train: int, min_test: int, test_size: float = 0.2, check: bool = True) -> Split:
+    """Latest month; if a side has fewer rows than the caller asks for the latest day; if still
+    so, chronological. Which one it was is in the label."""
+    enough = {r["split"] for r in split_candidates(df).collect() if r["train_rows"] >= min_train and r["test_rows"] >= min_test}
+    if "latest_month" in enough:
         return split_latest_month(df, check)
-    if seen["d_train"] >= min_train and seen["d_test"] >= min_test:
+    if "latest_day" in enough:
         return split_latest_day(df, check)
     return split_chronological(df, test_size, check)
 

@@ -96,7 +96,17 @@ def keep_columns(df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
 
 
 def union_sources(*sources: DataFrame) -> DataFrame:
-    """Union by column name; a column that one source lacks is null there."""
+    """Union by column name; a column that one source lacks is null there.
+
+    Where one source counts its rows and another names their place in files, counts become
+    places too, so the order inside each source stays.
+    """
+    kinds = [df.schema["row_id"].dataType for df in sources if "row_id" in df.columns]
+    if any(isinstance(k, T.StructType) for k in kinds):
+        place = F.struct(F.lit("").alias("file"), F.lit(0).cast("bigint").alias("block"), F.col("row_id").cast("bigint").alias("place"))
+        sources = tuple(
+            df.withColumn("row_id", place) if "row_id" in df.columns and not isinstance(df.schema["row_id"].dataType, T.StructType) else df
+            for df in sources)
     first, *others = sources
     for other in others:
         first = first.unionByName(other, allowMissingColumns=True)

@@ -12,15 +12,13 @@ from homeledger.operators.cleaning import DEFAULT_LIMITS, Limits
 from homeledger.session import cut_lineage
 from homeledger.sources import listings, outputs
 
-# --- fixed values: texts of the run summary ---
-TARGET_TRANSFORM = "log1p(price), metrics reported after expm1 to VND"
+TARGET_TRANSFORM = "the models learn log1p(price); errors are in VND"
 EXCLUDED_NOTES = [
-    "price is target, not feature.",
-    "price_per_m2 is computed from price and used only for outlier filtering, not feature.",
-    "name and description are excluded because listing text may contain price and cause leakage.",
-    "source is kept for analysis but not used as model feature.",
+    "price: what is predicted",
+    "price_per_m2: made from the price, so only used to clean",
+    "name, description: free text often names the price",
+    "source: reported, never learned",
 ]
-# --- end of fixed values ---
 
 
 @dataclass(frozen=True)
@@ -30,6 +28,7 @@ class ModelSettings:
     min_leaf: int = 2
     alpha: float = 1.0
     seed: int = 42
+    solver: str = "normal"
 
 
 @dataclass
@@ -99,24 +98,25 @@ def run_summary(train: DataFrame, test: DataFrame, strategy: str, best: str,
 
 
 def train_and_report(split: splits.Split, settings: ModelSettings = ModelSettings(),
-                     folder: str | None = None, extra: dict[str, str] | None = None) -> RunResult:
-    """Fit, compare, score with the best model; with a folder, write every output."""
+                     folder: str | None = None, extra: dict[str, str] | None = None,
+                     single: bool = False) -> RunResult:
+    """Fit, compare, score with the best model; with a folder, write every output.
+
+    Training reads its rows many times: pass a split of a written table. ``single`` reports
+    one source: without its name, and without a floor under the prediction.
+    """
     train, test, strategy = split
     spark = train.sparkSession
-    # Training reads its rows many times: both sides are written once.
     paths: dict[str, str] = {}
     if folder:
         paths = outputs.write_datasets({"train_data": train, "test_data": test}, folder)
-        train, test = (spark.read.parquet(paths[k]) for k in ("train_data", "test_data"))
-    else:
-        train, test = cut_lineage(train, "train"), cut_lineage(test, "test")
     splits.check_split(*splits.side_counts(train, test))
     table, fitted = models.compare_models(train, test, settings.trees, settings.depth, settings.min_leaf,
-                                          settings.alpha, settings.seed)
+                                          settings.alpha, settings.seed, settings.solver)
     table = cut_lineage(table, "metrics")  # three rows
     best = M.best_model(table).first()["best_model"]
     model = fitted[best]
-    report = models.prediction_report(model.predict(test))
+    report = models.prediction_report(model.predict(test, floor=not single), with_source=not single)
     summary = run_summary(train, test, strategy, best, extra)
     if folder:
         paths["metrics"] = outputs.write_table(M.rank_models(table).coalesce(1), f"{folder}/metrics")
@@ -130,13 +130,14 @@ def train_and_report(split: splits.Split, settings: ModelSettings = ModelSetting
 
 def three_source_run(spark: SparkSession, hf: DataFrame, chotot_csv: str, mogi_csv: str, folder: str,
                      limits: Limits = DEFAULT_LIMITS, settings: ModelSettings = ModelSettings(),
-                     **ranges: str) -> RunResult:
+                     multi_line: bool = False, **ranges: str) -> RunResult:
     """Landed listings, ad CSV and ragged CSV to a trained model with a fixed split.
 
     ``hf`` is a standardised table (``scan_clean_cache`` or ``bounded_filtered_scan``).
+    ``multi_line`` reads CSV files whose quoted fields hold line breaks, one task per file.
     """
-    chotot = listings.dedupe_source(listings.scan_listing_csv(spark, chotot_csv), "chotot")
-    mogi = listings.dedupe_source(listings.scan_ragged_csv(spark, mogi_csv), "mogi")
+    chotot = listings.dedupe_source(listings.scan_listing_csv(spark, chotot_csv, multi_line=multi_line), "chotot")
+    mogi = listings.dedupe_source(listings.scan_ragged_csv(spark, mogi_csv, multi_line=multi_line), "mogi")
     stored = outputs.write_datasets(
         {"hf_schema_raw": hf, "chotot_schema_raw": chotot, "mogi_schema_raw": mogi}, folder)
     parts = [spark.read.parquet(p) for p in stored.values()]
@@ -157,8 +158,6 @@ def _time_split(df: DataFrame, split: str, test_size: float) -> splits.Split:
         return splits.split_latest_day(df, check=False)
     if split == "chronological":
         return splits.split_chronological(df, test_size, check=False)
-    if split == "auto":
-        return splits.split_auto(df, test_size, check=False)
     raise ValueError(f"unknown split {split!r}")
 
 
@@ -175,7 +174,7 @@ def merge_run(hf: DataFrame, chotot: DataFrame, mode: str = "merged", split: str
         return prepare_two_sources(hf, chotot, limits)
     if mode == "external":
         both = std.union_sources(hf_clean, chotot_clean)
-        chosen = splits.split_external(both, check=False)
+        chosen = splits.split_external(cut_lineage(both, "clean"), check=False)
     elif mode == "hf_only":
         chosen = _time_split(cut_lineage(hf_clean, "clean"), split, test_size)
     elif mode == "merged":
@@ -195,11 +194,11 @@ def prepare_single_source(df: DataFrame, limits: Limits = DEFAULT_LIMITS) -> Dat
 
 
 def single_source_run(df: DataFrame, province: str = "", property_type: str = "",
-                      max_rows: int = 200_000, scan_limit: int = 1_000_000, split: str = "latest_month",
+                      max_rows: int | None = None, scan_limit: int | None = None, split: str = "latest_month",
                       test_size: float = 0.2, limits: Limits = DEFAULT_LIMITS,
                       settings: ModelSettings = ModelSettings(trees=250), folder: str | None = None) -> RunResult:
-    """One landed source from bounded scan to model."""
+    """One landed source from scan to model; rows are limited only where a limit is given."""
     scanned = listings.bounded_filtered_scan(df, province, property_type, max_rows, scan_limit, "single")
     clean = cut_lineage(prepare_single_source(scanned, limits), "clean")
     return train_and_report(_time_split(clean, split, test_size), settings, folder,
-                            {"province": province, "property_type": property_type})
+                            {"province": province, "property_type": property_type}, single=True)

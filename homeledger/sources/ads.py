@@ -35,26 +35,68 @@ AD_URL = ("https://www.chotot.com/", ".htm")
 
 _TOP = list(dict.fromkeys([*AD_FIELDS, *[k for keys in AD_PARAMS.values() for k in keys]]))
 _PARAM = T.StructType([T.StructField(f, T.StringType()) for f in PARAM_FIELDS])
-AD_SCHEMA = T.StructType(
-    [T.StructField(f, T.StringType()) for f in _TOP]
-    + [T.StructField(c, T.ArrayType(_PARAM)) for c in PARAM_CONTAINERS])
-# Elements stay JSON text at first, so one element of another kind spoils no page.
+# Elements stay JSON text at first, so one element of another kind spoils no list and no page.
+_LISTS = [T.StructField(c, T.ArrayType(T.StringType())) for c in PARAM_CONTAINERS]
+_AD_TEXT = T.StructType([*(T.StructField(f, T.StringType()) for f in _TOP), *_LISTS])
+# The same fields read as booleans: text has lost whether ``false`` was in quotes.
+_AD_FLAGS = T.StructType([T.StructField(f, T.BooleanType()) for f in _TOP])
+_PARAM_FLAGS = T.StructType([T.StructField(f, T.BooleanType()) for f in PARAM_FIELDS])
 PAGE_SCHEMA = T.StructType([
     T.StructField("ads", T.ArrayType(T.StringType())),
     T.StructField("data", T.ArrayType(T.StringType()))])
 
 
 def truthy(c: Column) -> Column:
-    """Null for what counts as absent: null, empty text and zero."""
-    return F.when(~c.isin("", "0", "0.0"), c)
+    """Null for what counts as absent: null, empty text, zero, an empty object or list."""
+    return F.when(~c.isin("", "0", "0.0", "{}", "[]"), c)
 
 
 def truthy_coalesce(*columns: Column) -> Column:
     return F.coalesce(*[truthy(c) for c in columns])
 
 
-def read_ad_pages(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Captured pages; one document per file, or per line without ``multi_line``."""
+def _false_names(flags: Column, names: Sequence[str]) -> Column:
+    """The fields whose JSON value is the literal false."""
+    named = F.array(*[F.when(~flags[n], F.lit(n)) for n in names])
+    return F.filter(named, lambda n: n.isNotNull())
+
+
+def first_true(record: Column, *names: str) -> Column:
+    """The first field of ``record`` that counts as present."""
+    return F.coalesce(*[F.when(~F.array_contains(record["untrue"], n), truthy(record[n])) for n in names])
+
+
+def parse_ad(text: Column) -> Column:
+    """An ad object from JSON text: its fields as text, the names of those that are ``false``
+    in ``untrue``, and its details as one map from lower-case name to value.
+
+    A detail's value is the first truthy of its value, value name and label, even if none is.
+    The first item of the lists that carries a name decides. Items that are no object are
+    skipped.
+    """
+    ad, flags = F.from_json(text, _AD_TEXT), F.from_json(text, _AD_FLAGS)
+    empty = F.array().cast("array<string>")
+    texts = F.filter(F.concat(*[F.coalesce(ad[c], empty) for c in PARAM_CONTAINERS]), lambda t: F.ltrim(t).startswith("{"))
+
+    def pairs(t: Column) -> Column:
+        item, false = F.from_json(t, _PARAM), F.from_json(t, _PARAM_FLAGS)
+        record = {f: F.when(F.coalesce(false[f], F.lit(True)), item[f]) for f in ("value", "value_name", "label")}
+        value = truthy_coalesce(*record.values())
+        names = F.array(*[F.lower(item[f]) for f in ("id", "name", "label", "key")])
+        return F.transform(F.filter(F.array_distinct(names), lambda n: n.isNotNull()),
+                           lambda n: F.struct(n.alias("key"), value.alias("value")))
+
+    found = F.flatten(F.transform(texts, pairs))
+    keys = F.transform(found, lambda e: e["key"])
+    first = F.filter(found, lambda e, i: F.array_position(keys, e["key"]) == i + 1)
+    return F.struct(
+        *[ad[f].alias(f) for f in _TOP], _false_names(flags, _TOP).alias("untrue"),
+        first.alias("details"))
+
+
+def read_ad_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Captured pages, one document per line; with ``multi_line`` one per file, which is one task
+    whatever its size."""
     return spark.read.schema(PAGE_SCHEMA).option("multiLine", multi_line).json(path)
 
 
@@ -68,8 +110,7 @@ def explode_ad_pages(pages: DataFrame) -> DataFrame:
     return (
         pages.select(*rest, F.explode(chosen).alias("ad_json"))
         .where(F.ltrim("ad_json").startswith("{"))
-        .withColumn("ad", F.from_json("ad_json", AD_SCHEMA))
-        .drop("ad_json")
+        .select(*rest, F.inline(F.array(F.struct(parse_ad(F.col("ad_json")).alias("ad")))))
     )
 
 
@@ -81,39 +122,30 @@ def extract_param(ad: Column, keys: Sequence[str]) -> Column:
     first truthy of its value, value name and label, even when that is null.
     """
     top = [F.nullif(ad[k], F.lit("")) for k in keys if k in _TOP]
-    empty = F.array().cast(T.ArrayType(_PARAM))
-    items = F.concat(*[F.coalesce(ad[c], empty) for c in PARAM_CONTAINERS])
     wanted = F.array(*[F.lit(k.lower()) for k in keys])
-
-    def named(item: Column) -> Column:
-        names = F.array(*[F.lower(item[f]) for f in ("id", "name", "label", "key")])
-        return F.arrays_overlap(names, wanted)
-
-    found = F.transform(
-        F.filter(items, named),
-        lambda item: truthy_coalesce(item["value"], item["value_name"], item["label"]))
-    return F.coalesce(*top, F.get(found, F.lit(0)))
+    found = F.filter(ad["details"], lambda e: F.array_contains(wanted, e["key"]))
+    return F.coalesce(*top, F.get(found, F.lit(0))["value"])
 
 
 def build_ad_url(ad: Column) -> Column:
     links = [F.when(ad[f].startswith("http"), ad[f]) for f in URL_FIELDS]
-    number = truthy_coalesce(ad["list_id"], ad["ad_id"])
+    number = first_true(ad, "list_id", "ad_id")
     return F.coalesce(*links, F.concat(F.lit(AD_URL[0]), number, F.lit(AD_URL[1])))
 
 
 def flatten_ad(ads: DataFrame, crawl_time: Column, zone: str | None = None) -> DataFrame:
     """Column ``ad`` to 25 flat text columns, in one projection."""
     ad = F.col("ad")
-    listed = truthy_coalesce(ad["list_time"], ad["date_timestamp"], ad["created_at"])
+    listed = first_true(ad, "list_time", "date_timestamp", "created_at")
     flat = {
         "AdId": ad["ad_id"], "ListId": ad["list_id"], "Subject": ad["subject"],
         "Address": ad["address"],
-        "Ward": truthy_coalesce(ad["ward_name"], ad["ward"]),
-        "District": truthy_coalesce(ad["area_name"], ad["area"]),
-        "Region": truthy_coalesce(ad["region_name"], ad["region"]),
+        "Ward": first_true(ad, "ward_name", "ward"),
+        "District": first_true(ad, "area_name", "area"),
+        "Region": first_true(ad, "region_name", "region"),
         "PriceVND": ad["price"], "PriceString": ad["price_string"],
         **{name: extract_param(ad, keys) for name, keys in AD_PARAMS.items()},
-        "SellerType": truthy_coalesce(ad["account_type"], ad["seller_type"]),
+        "SellerType": first_true(ad, "account_type", "seller_type"),
         "PostDateText": ad["date"], "ListTimeRaw": listed,
         "NgayDang": epoch_to_timestamp(listed, zone), "CrawlDate": crawl_time,
         "Link": build_ad_url(ad),

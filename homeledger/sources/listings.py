@@ -11,6 +11,7 @@ from homeledger.operators.cleaning import filter_segment
 from homeledger.operators.dedupe import keep_first
 from homeledger.operators.selection import first_rows
 from homeledger.operators.standardize import standardize
+from homeledger.session import cut_lineage, drop_folder, scratch_path
 
 # --- fixed values: words a headered CSV uses for "no value" ---
 NULL_WORDS = [
@@ -23,15 +24,25 @@ HEADER_WORDS = ["name", "title", "tên tin"]
 CORRUPT = "_corrupt_record"
 
 
-def read_headered_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def place_in_files() -> Column:
+    """Where a row stands: file, start of its block, place in the task that reads the block. The
+    order is that of the files whatever the number of cores and the size of splits."""
+    return F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"))
+
+
+def read_headered_csv(spark: SparkSession, path: str, multi_line: bool = False, numbered: bool = False) -> DataFrame:
     """Headered UTF-8 CSV, all columns text, null words as null.
 
     Names come from the header line alone; nothing is inferred from the data.
     ``multi_line`` allows line breaks inside quotes, at the price of one task per file.
+    ``numbered`` adds ``row_id``, the place in the files.
     """
     raw = (spark.read.option("header", True).option("multiLine", multi_line)
            .option("escape", '"').option("inferSchema", False).csv(path))
-    return raw.select(*[
+    place = [place_in_files().alias("row_id")] if numbered else []
+    return raw.select(*place, *[
         F.when(~F.col(f"`{c}`").isin(NULL_WORDS), F.col(f"`{c}`")).alias(c) for c in raw.columns])
 
 
@@ -99,15 +110,15 @@ def numeric_columns(df: DataFrame, columns: list[str]) -> list[str]:
 
 
 def scan_listing_csv(spark: SparkSession, path: str, variant: str = "fixed", price: str = "number",
-                     missing: str = "empty", multi_line: bool = True) -> DataFrame:
+                     missing: str = "empty", multi_line: bool = False) -> DataFrame:
     """Headered CSV of flat ads to the common schema, standardised, duplicates kept.
 
     ``price`` says how money and area are stored: ``number``, ``text``, or ``infer``,
     which looks at the whole column first. ``missing`` is ``empty`` or ``error``.
-    ``row_id`` is the place in the file, which settles which duplicate came first.
+    ``row_id`` is the place in the files, which settles which duplicate came first.
     """
     def read() -> DataFrame:
-        raw = read_headered_csv(spark, path, multi_line)
+        raw = read_headered_csv(spark, path, multi_line, numbered=True)
         money = ["PriceVND", "AreaM2"]
         if price == "infer":
             money = numeric_columns(raw, money)
@@ -115,20 +126,21 @@ def scan_listing_csv(spark: SparkSession, path: str, variant: str = "fixed", pri
             money = []
         # ListTimeRaw and the ids stay text: they are provenance
         raw = type_numbers(raw, [*money, "BedRooms", "BathRooms", "Floor"])
-        raw = raw.withColumn("row_id", F.monotonically_increasing_id())
         return standardize(map_ad_columns(raw), "chotot", variant)
 
     return _or_empty(read, spark, missing)
 
 
-def read_ragged_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_ragged_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Headerless CSV with 13 text columns; a row of another width is kept whole in
-    ``_corrupt_record``."""
+    ``_corrupt_record``. ``multi_line`` as for headered files."""
     schema = T.StructType([*S.POSITIONAL_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
-    raw = (spark.read.schema(schema).option("header", False).option("multiLine", True)
+    # every field must be parsed to count them, whichever columns are used
+    raw = (spark.read.schema(schema).option("header", False).option("multiLine", multi_line)
+           .option("columnPruning", False)
            .option("escape", '"').option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
-    return raw.withColumn("row_id", F.monotonically_increasing_id())
+    return raw.select("*", place_in_files().alias("row_id"))
 
 
 def ragged_valid(raw: DataFrame) -> DataFrame:
@@ -161,10 +173,11 @@ def map_positional_columns(raw: DataFrame) -> DataFrame:
         F.lit("mogi").alias("source"), F.col("url").alias("source_link"), *extra)
 
 
-def scan_ragged_csv(spark: SparkSession, path: str, missing: str = "empty", check: bool = True) -> DataFrame:
+def scan_ragged_csv(spark: SparkSession, path: str, missing: str = "empty", check: bool = True,
+                    multi_line: bool = False) -> DataFrame:
     """Ragged CSV to the common schema, standardised, duplicates kept."""
     def read() -> DataFrame:
-        valid = ragged_valid(read_ragged_csv(spark, path))
+        valid = ragged_valid(read_ragged_csv(spark, path, multi_line))
         if check and valid.isEmpty():
             raise ValueError(f"no row with {len(S.POSITIONAL_COLUMNS)} fields in {path}")
         return standardize(map_positional_columns(valid), "mogi")
@@ -181,23 +194,35 @@ def dedupe_source(df: DataFrame, source: str) -> DataFrame:
 
 
 def bounded_filtered_scan(df: DataFrame, province: str = S.HCMC, property_type: str = S.APARTMENT,
-                          max_rows: int = 300_000, scan_limit: int = 4_000_000,
+                          max_rows: int | None = None, scan_limit: int | None = None,
                           mode: str = "fixed", order: str = "row_id", check: bool = False) -> DataFrame:
-    """The first ``max_rows`` rows of a segment among the first ``scan_limit`` rows.
+    """The first ``max_rows`` rows of a segment among the first ``scan_limit`` rows; all rows
+    where no limit is given.
 
-    Both limits are cuts on the unique ``order`` column, so no row moves.
+    Both limits are cuts on the unique integer ``order`` column, so no row moves. The place-name
+    rules run once, over a narrow table of the column and one flag.
     """
-    scanned = first_rows(df, order, scan_limit)
-    kept = first_rows(filter_segment(scanned, province, property_type, mode), order, max_rows)
+    if max_rows is None:
+        scanned = df if scan_limit is None else first_rows(df, order, scan_limit)
+        kept = filter_segment(scanned, province, property_type, mode)
+    else:
+        columns = [c for c in (order, "province_name", "property_type_name") if c in df.columns]
+        scanned = df.select(*columns) if scan_limit is None else first_rows(df.select(*columns), order, scan_limit)
+        folder = scratch_path(df.sparkSession, "segment")
+        inside = cut_lineage(filter_segment(scanned, province, property_type, mode).select(order), path=folder)
+        ends = first_rows(inside, order, max_rows).agg(F.max(order).alias("last")).first()
+        drop_folder(df.sparkSession, folder)
+        within = F.lit(False) if ends["last"] is None else F.col(order) <= F.lit(ends["last"])
+        kept = filter_segment(df.where(within), province, property_type, mode)
     if check and kept.isEmpty():
         raise ValueError("no row passed the filter")
     return kept
 
 
-def scan_clean_cache(spark: SparkSession, path: str, variant: str = "fixed") -> DataFrame:
+def scan_clean_cache(spark: SparkSession, path: str, variant: str = "fixed", multi_line: bool = False) -> DataFrame:
     """A clean table written earlier, parquet or headered CSV, standardised again."""
     if path.endswith(".csv"):
-        df = type_numbers(read_headered_csv(spark, path), ["price", "area", *S.NUMERIC_COLUMNS])
+        df = type_numbers(read_headered_csv(spark, path, multi_line), ["price", "area", *S.NUMERIC_COLUMNS])
     else:
         df = spark.read.parquet(path)
     return standardize(df, "huggingface", variant)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -10,31 +11,57 @@ from homeledger.operators.models import PriceModel
 from homeledger.sources import ads
 
 
-def read_page_stream(spark: SparkSession, path: str) -> DataFrame:
+def read_page_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     """New page documents, one per line, as files arrive in a folder."""
-    return spark.readStream.schema(ads.PAGE_SCHEMA).json(path)
+    reader = spark.readStream.schema(ads.PAGE_SCHEMA)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.json(path)
 
 
-def ingest_ads(pages: DataFrame, delay: str = "1 day", zone: str = "UTC") -> DataFrame:
-    """Flat ads without repeats, on a stream or a batch of pages.
+def flat_pages(pages: DataFrame, zone: str = "UTC") -> DataFrame:
+    """Flat ads of a stream or a batch of pages, repeats included."""
+    crawl = F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
+    return ads.flatten_ad(ads.explode_ad_pages(pages), crawl, zone)
+
+
+def ingest_ads(pages: DataFrame, zone: str = "UTC") -> DataFrame:
+    """Flat ads without repeats, on a batch of pages."""
+    return flat_pages(pages, zone).dropDuplicates(S.DEDUPE_KEYS["crawl"])
+
+
+def land_ads(pages: DataFrame, path: str, checkpoint: str, zone: str = "UTC") -> StreamingQuery:
+    """Work off the pages that have arrived, append the ads that the table lacks, and stop.
 
-    Repeats are recognised while they arrive within ``delay`` of the listing time, so
-    the state stays bounded; which copy survives is the order of arrival. An ad without
-    a readable time has no place in that state: a stream passes it on unchecked.
+    A batch is compared with the keys already written, so a repeat is recognised however late
+    it comes, an ad of any age is kept, and a batch that is run again adds nothing twice. The
+    comparison reads the key columns alone.
     """
-    crawl = F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
-    flat = ads.flatten_ad(ads.explode_ad_pages(pages), crawl, zone)
     keys = S.DEDUPE_KEYS["crawl"]
-    if not pages.isStreaming:
-        return flat.dropDuplicates(keys)
-    timed = flat.withColumn("list_time", F.col("NgayDang").try_cast("timestamp"))
-    known = F.col("list_time").isNotNull()
-    first = timed.where(known).withWatermark("list_time", delay).dropDuplicatesWithinWatermark(keys)
-    return first.drop("list_time").unionByName(timed.where(~known).drop("list_time"))
+
+    def append(batch: DataFrame, _: int) -> None:
+        fresh = ingest_ads(batch, zone)
+        try:
+            known = batch.sparkSession.read.parquet(path).select(*keys)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+        else:
+            same = [fresh[k].eqNullSafe(known[k]) for k in keys]
+            fresh = fresh.join(known, same, "left_anti")
+        fresh.write.mode("append").parquet(path)
+
+    return (pages.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
 
 
 def daily_coverage(listings: DataFrame, delay: str = "1 day", time: str = "published_at") -> DataFrame:
-    """Rows per day and source in tumbling windows."""
+    """Rows per day and source in tumbling windows.
+
+    In complete mode every row counts. In append mode a day comes out when the watermark has
+    passed its end, so the days within ``delay`` of the latest time stay open, and rows that
+    come later than ``delay`` are not counted: use it for feeds that keep to that.
+    """
     timed = listings.select(F.col(time).cast("timestamp").alias("ts"), "source")
     counted = (timed.withWatermark("ts", delay).groupBy(F.window("ts", "1 day"), "source")
                .agg(F.count("*").alias("rows")))

@@ -20,7 +20,7 @@ def test_headered_csv(spark, tmp_path):
         'Subject,PriceVND,AreaM2,District,CrawlDate,Link\n'
         '"Căn hộ ""A"", đẹp\ncó sân",2000000000,50,Quận 7,2026-01-02 03:04:05,http://x\n'
         'N/A,abc,NULL,none,,\n'), "utf-8-sig")
-    rows = listings.scan_listing_csv(spark, path).orderBy("row_id").collect()
+    rows = listings.scan_listing_csv(spark, path, multi_line=True).orderBy("row_id").collect()
     a, b = rows
     assert a["name"] == 'Căn hộ "A", đẹp có sân' and a["price"] == 2e9 and a["area"] == 50.0 and a["district_name"] == "7"
     assert a["ward_name"] == "Unknown" and a["province_name"] == "Hồ Chí Minh" and a["published_at"].year == 2026
@@ -59,12 +59,12 @@ RAGGED = (
 
 def test_ragged_csv(spark, tmp_path):
     path = write(tmp_path / "r.csv", RAGGED.encode("utf-8-sig") + b"D\xff,d,t,p,q,w,s,1 t\xe1\xbb\xb7,50,1,1,07/12/2025,u\n")
-    profile = listings.ragged_profile(listings.read_ragged_csv(spark, path)).first()
+    profile = listings.ragged_profile(listings.read_ragged_csv(spark, path, multi_line=True)).first()
     assert (profile["valid_rows"], profile["header_rows"], profile["skipped_rows"]) == (3, 1, 3)
-    rows = listings.scan_ragged_csv(spark, path).orderBy("row_id").collect()
+    rows = listings.scan_ragged_csv(spark, path, multi_line=True).orderBy("row_id").collect()
     assert [r["name"] for r in rows] == ["A", "A", "D�"]
     assert rows[0]["description"] == 'mô tả, "x" dòng 2' and rows[0]["price"] == 6.6e9 and rows[0]["published_at"].month == 12
-    kept = listings.dedupe_source(listings.scan_ragged_csv(spark, path), "mogi").where("name = 'A'").collect()
+    kept = listings.dedupe_source(listings.scan_ragged_csv(spark, path, multi_line=True), "mogi").where("name = 'A'").collect()
     assert [r["source_link"] for r in kept] == ["http://a"]  # the first in the file
 
 
@@ -120,6 +120,9 @@ def test_ad_details(spark):
         {"ad_id": 3, "params": [{"id": "toilets", "value": 9}], "ad_params": [{"NAME": "x"}, {"name": "Toilets", "value": 0, "value_name": "2"}]},
         {"ad_id": 4, "list_id": 0, "url": "ftp://x", "list_time": 1767225600123, "parameters": {"id": "rooms"}},
         {"ad_id": 5, "webp_image": "http://w", "url": "http://u", "ad_link": 5},
+        {"ad_id": 6, "list_id": False, "params": ["x", 3, None, [{"id": "floor"}], {"id": "rooms", "value": "3"}], "ward_name": False, "ward": "false"},
+        {"ad_id": 7, "params": [{"id": "rooms", "value": False, "value_name": "two"}, {"id": "floor", "value": {}, "value_name": [], "label": "fl"},
+                                {"id": "size", "value": "false"}, {"id": "toilets", "value": True}]},
     ]})
     by = {r["AdId"]: r for r in rows}
     # the top-level area answers both the size and the district
@@ -129,22 +132,49 @@ def test_ad_details(spark):
     assert by["3"]["BathRooms"] == "2"
     assert by["4"]["Link"] == "https://www.chotot.com/4.htm" and by["4"]["NgayDang"] == "2026-01-01 00:00:00"
     assert by["5"]["Link"] == "http://w"
+    assert by["6"]["BedRooms"] == "3" and by["6"]["Ward"] == "false" and by["6"]["Link"] == "https://www.chotot.com/6.htm"
+    assert by["7"]["BedRooms"] == "two" and by["7"]["Floor"] == "fl" and by["7"]["AreaM2"] == "false" and by["7"]["BathRooms"] == "true"
     assert rows[0].__fields__ == S.FLAT_AD_COLUMNS
 
 
 # ---- streams and runs ---------------------------------------------------------------
 
-def test_stream_ingest_equals_batch_keys(spark, tmp_path):
-    docs = [{"ads": [{"ad_id": i % 30, "list_id": i % 30, "subject": "s", "list_time": 1767225600 + i % 30}]} for i in range(90)]
-    docs.append({"ads": [{"ad_id": 99, "list_id": 99, "subject": "no time"}]})
+def test_stream_keeps_older_newer_and_repeated_ads(spark, tmp_path):
+    ad = lambda i, day: {"ad_id": i, "list_id": i, "subject": "s", "list_time": 1767225600 + day * 86400}
+    batches = [[ad(i, 10) for i in range(20)] + [{"ad_id": 99, "subject": "no time"}],
+               [ad(i, 5) for i in range(10, 40)] + [ad(7, 20)], [ad(i, 1) for i in range(30, 60)] + [ad(0, 10), {"ad_id": 99, "subject": "no time"}]]
     (tmp_path / "in").mkdir()
-    write(tmp_path / "in" / "p.json", "\n".join(json.dumps(d) for d in docs))
-    stream = jobs.ingest_ads(jobs.read_page_stream(spark, str(tmp_path / "in")))
-    jobs.write_stream(stream, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
-    batch = jobs.ingest_ads(ads.read_ad_pages(spark, str(tmp_path / "in"), multi_line=False))
+    for n, batch in enumerate(batches):
+        write(tmp_path / "in" / f"p{n}.json", "\n".join(json.dumps({"ads": [x]}) for x in batch))
+        jobs.land_ads(jobs.read_page_stream(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+    batch = jobs.ingest_ads(ads.read_ad_pages(spark, str(tmp_path / "in")))
     keys = S.DEDUPE_KEYS["crawl"]
+    key = lambda r: tuple(map(str, r))
     streamed = spark.read.parquet(str(tmp_path / "out")).select(*keys).collect()
-    assert len(streamed) == 31 and sorted(streamed) == sorted(batch.select(*keys).collect())
+    assert sorted(streamed, key=key) == sorted(batch.select(*keys).collect(), key=key)
+    assert {r[0] for r in streamed} >= {str(i) for i in range(60)}
+
+
+def test_row_order_over_files_of_unequal_size(spark, tmp_path):
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    line = lambda i, name: f'{name},{"x" * 60},,,,,,{i},5,,,2026-01-01,u{i}'
+    write(folder / "a.csv", "\n".join(line(i, "dup" if i == 3 else f"a{i}") for i in range(5)))
+    write(folder / "b.csv", "\n".join(line(i, "dup" if i == 90 else f"b{i}") for i in range(100, 3000)) + "\n" + line(90, "dup"))
+    kept = {}
+    for size in ("128m", "20k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        rows = listings.ragged_valid(listings.read_ragged_csv(spark, str(folder))).orderBy("row_id").collect()
+        kept[size] = [r["url"] for r in rows]
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert kept["128m"] == kept["20k"] == [f"u{i}" for i in [*range(5), *range(100, 3000), 90]]
+
+
+def test_no_limit_keeps_every_row(spark):
+    df = spark.range(50).select(F.col("id").alias("row_id"), F.lit(S.HCMC).alias("province_name"), F.lit(S.APARTMENT).alias("property_type_name"))
+    assert listings.bounded_filtered_scan(df).count() == 50
+    assert sorted(r["row_id"] for r in listings.bounded_filtered_scan(df, max_rows=5, scan_limit=20).collect()) == [0, 1, 2, 3, 4]
+    assert listings.bounded_filtered_scan(df, province="Huế", max_rows=5).count() == 0
 
 
 def test_write_and_read_back(spark, tmp_path):
