@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-HEAVY_SHARE = 1000  # a key with over 1/1000 of the rows is heavy: there are under 1000 of them
 
 
 def lower_ascii(c: Column) -> Column:
@@ -15,19 +14,3 @@ def lower_ascii(c: Column) -> Column:
 
 def ddl(df: DataFrame, *columns: str) -> str:
     return ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in columns)
-
-
-def attach(rows: DataFrame, facts: DataFrame, key: str, weight: str) -> DataFrame:
-    """Inner join of ``rows`` with ``facts`` on ``key``, safe against hot keys.
-
-    ``facts`` has one row per key, with its number of ``rows`` in ``weight``. Keys with over
-    1/1000 of all rows are fewer than 1000, so their facts are broadcast and their rows stay
-    where they are; all other rows are joined by a shuffle in which no key is hot. Both
-    inputs are read twice: pass written tables. ``weight`` is dropped.
-    """
-    total = facts.agg(F.sum(weight)).first()[0] or 0
-    heavy = F.col(weight) * HEAVY_SHARE > F.lit(total)
-    hot, cold = facts.where(heavy).drop(weight), facts.where(~heavy).drop(weight)
-    near = rows.join(F.broadcast(hot), key)
-    far = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
-    return near.unionByName(far)
