@@ -142,9 +142,7 @@ def best_model(spark, sf):
 @query("scalar_attach", f"""SELECT row_id, price FROM ({FACTS})
 WHERE strftime(published_at, '%Y-%m') = (SELECT strftime(max(published_at), '%Y-%m') FROM ({FACTS}))""")
 def scalar_attach(spark, sf):
-    df = I.facts(spark, sf)
-    latest = df.agg(F.date_trunc("month", F.max("published_at")).cast("timestamp_ntz")).scalar()
-    return df.where(F.col("published_at") >= latest).select("row_id", "price")
+    return coverage.latest_month_rows(I.facts(spark, sf)).select("row_id", "price")
 
 
 # ---- duplicates and ranks -----------------------------------------------------------

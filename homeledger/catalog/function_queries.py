@@ -183,7 +183,7 @@ def prediction_band(spark, sf):
     return df.select("row_id", F.round("lower", 2).alias("lower"), F.round("upper", 2).alias("upper"))
 
 
-def _request_sql() -> str:
+def _request_sql(cli: bool = False) -> str:
     sql = V.cte(V.requests_sql)
 
     def num(c, kind="DOUBLE", default="NULL"):
@@ -196,13 +196,14 @@ def _request_sql() -> str:
                 posted_month=num("published_month", "INTEGER", "5"),
                 posted_day=num("published_day", "INTEGER", "1"))
     day = "try_cast(printf('%04d-%02d-%02d', posted_year, posted_month, posted_day) AS DATE)"
-    sql = D.add(sql, posted_dayofweek=f"CAST(coalesce(isodow({day}) - 1, 0) AS INTEGER)")
+    sql = D.add(sql, posted_dayofweek="CAST(0 AS INTEGER)" if cli else f"CAST(coalesce(isodow({day}) - 1, 0) AS INTEGER)")
     for c, default in scoring.TEXT_DEFAULTS.items():
         sql = D.put(sql, c, f"coalesce({c}, {D.q(default)})")
-    for c in ("property_type", "street", "project_name"):
-        sql = D.put(sql, c, D.clean(c))
-    sql = D.ward(D.district(D.province(sql, "province", "web"), "district", "web"), "ward", "web")
-    sql = D.direction(D.direction(sql, "house_direction"), "balcony_direction")
+    if not cli:
+        for c in ("property_type", "street", "project_name"):
+            sql = D.put(sql, c, D.clean(c))
+        sql = D.ward(D.district(D.province(sql, "province", "web"), "district", "web"), "ward", "web")
+        sql = D.direction(D.direction(sql, "house_direction"), "balcony_direction")
     names = [f"n_{n} AS {f}" for n, f in scoring.NUMBER_FIELDS.items()] + [
         "posted_year", "posted_month", "posted_day", "posted_dayofweek"] + [
         f"{n} AS {f}" if n != f else n for n, f in scoring.TEXT_FIELDS.items()]
@@ -214,6 +215,11 @@ def request_features(spark, sf):
     return scoring.request_features(I.requests(spark, sf))
 
 
+@query("request_features_cli", _request_sql(cli=True))
+def request_features_cli(spark, sf):
+    return scoring.request_features(I.requests(spark, sf), "cli")
+
+
 _PRICE = D.price(f"SELECT row_id, price, area, province_name, district_name, ward_name, house_direction, description FROM ({RAW})", "price")
 _SQL = D.put(D.direction(D.ward(D.district(D.province(D.area(_PRICE, "area"), "province_name"), "district_name"), "ward_name"),
              "house_direction"), "description", D.clean("description"))

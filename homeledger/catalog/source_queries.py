@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from homeledger import schema as S
 from homeledger.catalog import duck as D, inputs as I, views as V
 from homeledger.catalog.registry import query
-from homeledger.operators import cleaning, coverage, metrics, models, selection, splits, standardize as std
+from homeledger.operators import cleaning, coverage, dedupe, metrics, models, selection, splits, standardize as std
 from homeledger.plans import runs
 from homeledger.session import scratch_path
-from homeledger.sources import listings, outputs
+from homeledger.sources import ads, listings, outputs
 
 RAW = V.cte(V.raw_sql)
 FACTS = V.cte(V.facts_sql)
@@ -41,12 +41,12 @@ def map_ad_columns(spark, sf):
 _RAGGED_KEEP = "row_id % 10 > 2"
 
 
-def _ragged_sql() -> str:
+def ragged_sql() -> str:
     sql = f"SELECT * REPLACE ('x, \"y\" ' || coalesce(description, '') AS description) FROM ({D.raw_mogi()})"
     return f"SELECT {COMMON}, link AS source_link FROM ({D.put(sql, 'description', D.clean('description'))}) WHERE {_RAGGED_KEEP}"
 
 
-@query("scan_ragged_csv", _ragged_sql())
+@query("scan_ragged_csv", ragged_sql())
 def scan_ragged_csv(spark, sf):
     return listings.scan_ragged_csv(spark, I.ragged_csv(spark, sf), multi_line=True).drop("row_id")
 
@@ -98,16 +98,48 @@ def flatten_ad(spark, sf):
     return I.flat_ads(spark, sf)
 
 
-_KINDS = {"row_id": "bigint", "name": "string", "price": "double", "floor_count": "double",
-          "road_width": "double", "house_depth": "double", "balcony_direction": "string",
-          "published_at": "timestamp_ntz"}
+_KINDS = {c: "string" for c in ("name", "description", "property_type_name", "project_name", "province_name", "district_name",
+                                "ward_name", "street_name", "house_direction", "balcony_direction", "source")} | {
+    c: "double" for c in ("price", "area", "floor_count", "bedroom_count", "bathroom_count", "frontage_width", "house_depth", "road_width")
+} | {"row_id": "bigint", "published_at": "timestamp_ntz"}
 
 
 @query("profile_schema", " UNION ALL ".join(
-    f"SELECT {i} AS position, '{c}' AS \"column\", '{k}' AS type, count({c}) AS filled FROM ({LISTINGS})"
-    for i, (c, k) in enumerate(_KINDS.items())))
+    f"SELECT '{c}' AS \"column\", '{k}' AS type, count({c}) AS filled FROM ({LISTINGS})" for c, k in _KINDS.items()))
 def profile_schema(spark, sf):
-    return listings.profile_schema(I.listings(spark, sf).select(*_KINDS))
+    """All columns; their positions are checked in the tests."""
+    return listings.profile_schema(I.listings(spark, sf)).drop("position")
+
+
+@query("sample_rows", f"SELECT count(*) AS \"rows\", count(price) AS known FROM (SELECT price FROM ({FACTS}) LIMIT 20)")
+def sample_rows(spark, sf):
+    """Twenty rows, whichever come first, all of them rows of the table."""
+    df = I.facts(spark, sf)
+    taken = listings.sample_rows(df, 20, ["row_id", "price", "nothing"])
+    known = F.broadcast(taken).join(df.select("row_id", F.col("price").alias("p")), "row_id").where("price = p")  # 20 rows
+    return taken.agg(F.count("*").alias("rows")).withColumn("known", known.agg(F.count("*")).scalar())
+
+
+@query("scan_ad_pages", f"SELECT {AD_COLUMNS} FROM ({D.flat_ads()})")
+def scan_ad_pages(spark, sf):
+    """Captured pages as files, one document per line."""
+    landed = scratch_path(spark, "pages")
+    I.page_texts(spark, sf).select(F.col("page").alias("value")).write.text(landed)
+    return ads.flatten_ad(ads.explode_ad_pages(ads.read_ad_pages(spark, landed)), F.lit(I.CRAWL_TIME), zone="UTC")
+
+
+@query("scan_csv_order", f"""SELECT price, arg_min(published_at, k) AS published_at, arg_min(row_id, k) AS row_id FROM (
+SELECT *, CASE WHEN row_id % 7 = 0 THEN 1180591620717411303424::HUGEINT ELSE 0 END + row_id AS k FROM ({FACTS})) GROUP BY price""")
+def scan_csv_order(spark, sf):
+    """Files of unequal size with duplicates across them: the first in file order stays."""
+    folder = scratch_path(spark, "ordered")
+    df = I.facts(spark, sf).select("price", "published_at", F.col("row_id").alias("number"))
+    for name, side in (("a", F.col("number") % 7 != 0), ("b", F.col("number") % 7 == 0)):
+        outputs.write_table(df.where(side).orderBy("number").coalesce(1), f"{folder}/{name}", "csv")
+    scanned = listings.read_headered_csv(spark, f"{folder}/*", numbered=True)
+    return dedupe.keep_first(scanned, ["price"], ["row_id"]).select(
+        F.col("price").cast("double").alias("price"), F.col("published_at").cast("timestamp_ntz").alias("published_at"),
+        F.col("number").cast("bigint").alias("row_id"))
 
 
 @query("write_datasets", f"""
@@ -212,6 +244,14 @@ def scan_split_tables(spark, sf):
 SELECT 'fixed_train_1999-06-01_to_2000-02-28__test_2000-03-01_to_2000-05-31' AS split_strategy,
 min(published_at) FILTER (tr) AS train_start, max(published_at) FILTER (tr) AS train_end, count(*) FILTER (tr) AS train_rows,
 min(published_at) FILTER (te) AS test_start, max(published_at) FILTER (te) AS test_end, count(*) FILTER (te) AS test_rows,
+(SELECT string_agg(source || '=' || c, ',' ORDER BY source) FROM (SELECT source, count(*) AS c FROM ({FACTS}) WHERE published_at
+  BETWEEN TIMESTAMP '1999-06-01' AND TIMESTAMP '2000-02-28 23:59:59' GROUP BY source)) AS train_sources,
+(SELECT string_agg(source || '=' || c, ',' ORDER BY source) FROM (SELECT source, count(*) AS c FROM ({FACTS}) WHERE published_at
+  BETWEEN TIMESTAMP '2000-03-01' AND TIMESTAMP '2000-05-31 23:59:59' GROUP BY source)) AS test_sources,
+'area,floor_count,frontage_width,house_depth,road_width,bedroom_count,bathroom_count,posted_year,posted_month,posted_day,posted_dayofweek'
+  AS numeric_features,
+'property_type_name,province_name,district_name,ward_name,street_name,project_name,house_direction,balcony_direction' AS categorical_features,
+'the models learn log1p(price); errors are in VND' AS target_transform, 4 AS notes,
 'Random_Forest' AS best_model FROM (SELECT published_at,
 published_at BETWEEN TIMESTAMP '1999-06-01' AND TIMESTAMP '2000-02-28 23:59:59' AS tr,
 published_at BETWEEN TIMESTAMP '2000-03-01' AND TIMESTAMP '2000-05-31 23:59:59' AS te FROM ({FACTS}))""")
@@ -219,8 +259,14 @@ def run_summary(spark, sf):
     train, test, label = splits.split_fixed_range(
         I.facts(spark, sf), "1999-06-01", "2000-02-28", "2000-03-01", "2000-05-31", check=False)
     path = outputs.write_table(runs.run_summary(train, test, label, "Random_Forest"), scratch_path(spark, "summary"))
+    entries = lambda c: F.array_join(F.transform(F.array_sort(F.map_entries(c)), lambda e: F.concat(
+        e["key"], F.lit("="), e["value"].cast("string"))), ",")
     return spark.read.parquet(path).select(
-        "split_strategy", "train_start", "train_end", "train_rows", "test_start", "test_end", "test_rows", "best_model")
+        "split_strategy", "train_start", "train_end", "train_rows", "test_start", "test_end", "test_rows", "best_model",
+        *[F.when(F.size(f"{side}_source_distribution") > 0, entries(f"{side}_source_distribution")).alias(f"{side}_sources")
+          for side in ("train", "test")],
+        *[F.array_join(c, ",").alias(c) for c in ("numeric_features", "categorical_features")], "target_transform",
+        F.size("excluded_columns_note").alias("notes"))
 
 
 # ---- projections and filters --------------------------------------------------------
@@ -342,6 +388,5 @@ SELECT strftime(published_at, '%Y-%m') AS month, source, count(*) AS "rows" FROM
 {D.first_of(D.cleaned(D.typed_standard(V.cte(V.doubled_sql))), S.DEDUPE_KEYS['merged'], D.LISTING_ORDER)})
 GROUP BY ALL""")
 def clean_rows_by_month_and_source(spark, sf):
-    from homeledger.operators.dedupe import keep_first
     clean = cleaning.clean_for_model(I.typed_standard(I.doubled(spark, sf)))
-    return coverage.rows_by_month_and_source(keep_first(clean, S.DEDUPE_KEYS["merged"]))
+    return coverage.rows_by_month_and_source(dedupe.keep_first(clean, S.DEDUPE_KEYS["merged"]))

@@ -8,6 +8,7 @@ from homeledger.functions import dates
 from homeledger.operators import coverage
 from homeledger.operators.metrics import union_all
 from homeledger.operators.selection import exact_quantiles
+from homeledger.session import cut_lineage
 
 # fixed values: chart limits
 MAX_PRICE_BILLION = 50
@@ -146,9 +147,29 @@ def _long(df: DataFrame, chart: str, label: Column, value: str) -> DataFrame:
                      F.col(value).cast("double").alias("value"))
 
 
+def _unpivot(pivot: DataFrame, values: list[str]) -> DataFrame:
+    """(chart, label, value) of a month pivot, one chart per column."""
+    return pivot.select(F.inline(F.array(*[
+        F.struct(F.lit(f"month_{v}").alias("chart"), F.col("month").alias("label"), F.col(v).cast("double").alias("value"))
+        for v in values])))
+
+
 def report_tables(predictions: DataFrame, train: DataFrame, test: DataFrame, metrics: DataFrame) -> DataFrame:
-    """The counted charts and the model comparison in one long table."""
-    both = union_splits(train, test)
+    """The counted charts and the model comparison in one long table.
+
+    The few columns that the charts need are written once and read by each; a pivot is made once
+    for all its columns.
+    """
+    needed = ["price_billion", "predicted_billion", "error_billion", "area", "district_name", "source", "published_at"]
+    predictions = cut_lineage(predictions.select(*needed), "charts")
+    narrow = [df.select(*[c for c in ("published_at", "source") if c in df.columns]) for df in (train, test)]
+    both = cut_lineage(union_splits(*narrow).groupBy("published_at", "source", "split").agg(F.count("*").alias("rows")), "months")
+    month = dates.month_label(F.col("published_at")).alias("month")
+
+    def pivot(column: str, values: list[str]) -> DataFrame:
+        counts = [F.coalesce(F.sum(F.when(F.col(column) == v, F.col("rows"))), F.lit(0)).alias(v) for v in values]
+        return both.where(F.col("published_at").isNotNull()).groupBy(month).agg(*counts)
+
     bins = F.format_string("%02d", F.col("bin"))
     parts = [
         _long(histogram(chart_trim(predictions, "price_billion"), "price_billion"), "price", bins, "rows"),
@@ -158,11 +179,8 @@ def report_tables(predictions: DataFrame, train: DataFrame, test: DataFrame, met
         _long(boxplot_by_district(predictions), "box_median", F.col("district_name"), "median"),
         _long(coverage.count_values(predictions, "source", "nan"), "test_source", F.col("source"), "rows"),
         _long(coverage.rows_by_month(predictions), "test_month", F.col("month"), "rows"),
-    ]
-    for value in SPLIT_COLUMNS:
-        parts.append(_long(pivot_month_split(both), f"month_{value}", F.col("month"), value))
-    for value in SOURCE_COLUMNS:
-        parts.append(_long(pivot_month_source(both), f"month_{value}", F.col("month"), value))
+        _unpivot(pivot("split", SPLIT_COLUMNS), SPLIT_COLUMNS),
+        _unpivot(pivot("source", SOURCE_COLUMNS), SOURCE_COLUMNS)]
     for chart, column in (("mae", "MAE_BILLION_VND"), ("rmse", "RMSE_BILLION_VND"), ("r2", "R2")):
         parts.append(_long(metrics, chart, F.col("Model"), column))
     return union_all(parts)

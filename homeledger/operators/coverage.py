@@ -84,3 +84,9 @@ def source_distribution(train: DataFrame, test: DataFrame) -> DataFrame:
 def any_not_null(df: DataFrame, columns: list[str]) -> DataFrame:
     """One row: does each column hold a value."""
     return df.agg(*[(F.count(c) > 0).alias(c) for c in columns])
+
+
+def latest_month_rows(df: DataFrame, time: str = "published_at") -> DataFrame:
+    """Rows of the last month present; the bound is one value, found by a small aggregate."""
+    first = df.agg(F.date_trunc("month", F.max(time)).cast("timestamp_ntz")).scalar()
+    return df.where(F.col(time) >= first)

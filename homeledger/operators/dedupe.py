@@ -32,7 +32,9 @@ def _order_columns(order: Sequence[str | Column] | None) -> list[Column]:
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] | None = None) -> DataFrame:
     """First row per key, as an aggregate.
 
-    ``min_by`` is partial: however many copies a key has, each map task sends one.
+    ``min_by`` is partial: however many copies a key has, each map task sends one. Its buffer is
+    a row, so Spark aggregates by sorting each task's rows by key, before and after the shuffle;
+    both sorts spill.
     The order is a struct because a null order value alone would be skipped.
     """
     first = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(_order_columns(order))])

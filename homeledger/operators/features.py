@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from homeledger import schema as S
+from homeledger.operators.joins import attach
 from homeledger.operators.selection import exact_quantiles
+from homeledger.session import cut_lineage
 
 # fixed values
 MIN_FREQUENCY = 20
@@ -49,12 +51,14 @@ def impute_mode(counts: DataFrame) -> DataFrame:
 def lookup_infrequent(df: DataFrame, frequency: DataFrame, column: str) -> DataFrame:
     """Replace the categories of one column by their bucket; unseen ones become null.
 
-    No side is forced to broadcast: Spark does so when the counted table is small, and
-    splits a hot category otherwise.
+    The values of ``df`` are counted first, so the rows of a hot one, seen before or not, stay
+    where they are. ``df`` is read twice: pass a written table or a cheap scan.
     """
-    own = (frequency.where(F.col("feature") == column)
-           .select(F.col("category").alias(column), F.col("bucket").alias("_bucket")))
-    return df.join(own, column, "left").withColumn(column, F.col("_bucket")).drop("_bucket")
+    own = frequency.where(F.col("feature") == column).select(F.col("category").alias(column), F.col("bucket").alias("_bucket"))
+    values = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_n"))
+    facts = cut_lineage(values.join(own, column, "left"), "buckets")
+    found = attach(df.where(F.col(column).isNotNull()), facts, column, "_n").withColumn(column, F.col("_bucket")).select(*df.columns)
+    return found.unionByName(df.where(F.col(column).isNull()))
 
 
 def scale_by_std(df: DataFrame, columns: Sequence[str]) -> DataFrame:

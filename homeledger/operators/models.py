@@ -1,8 +1,8 @@
 """Price models: features, forest, ridge, comparison, saving.
 
-The model learns ``log1p(price)``. Its one-hot width, and so its vocabulary of frequent
-categories, is part of the model and lives on the driver like its weights. The rare
-categories, whose number follows the data, stay in a table.
+The model learns ``log1p(price)``. Categories are a table of (feature, category, slot): its
+length follows the data, so it is joined, never collected. The driver holds per feature one
+median or mode and the number of slots, and the weights that Spark ML keeps there.
 """
 
 from __future__ import annotations
@@ -13,19 +13,18 @@ from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import (OneHotEncoder, StandardScaler, StringIndexerModel, VectorAssembler)
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from homeledger import schema as S
 from homeledger.functions.numbers import abs_error, log_target, price_of_log
 from homeledger.operators import features as feat
 from homeledger.operators import metrics as M
+from homeledger.operators.joins import attach
+from homeledger.operators.ranking import chronological_rank
 from homeledger.session import cut_lineage
 
-UNSEEN = "__unseen__"
-BROADCAST_BYTES = 32 * 1024 * 1024  # largest category table sent to every executor
-MAX_LITERALS = 5000  # most frequent categories that a plan names one by one
 NORMAL_SOLVER_WIDTH = 4096  # Spark's limit for the exact solver
 REPORT_COLUMNS = [
     "published_at", "source", "property_type_name", "province_name", "district_name",
@@ -43,14 +42,16 @@ def leakage_guard(columns: Sequence[str]) -> list[str]:
 
 @dataclass
 class FeatureSpec:
-    """What the training rows say about each feature."""
+    """What the training rows say about each feature.
+
+    ``slots`` counts the one-hot places of a categorical feature: one per frequent category in
+    order of name, and a last one that all rare categories share, if there are any.
+    """
 
     medians: dict[str, float]
     modes: dict[str, str]
-    frequent: dict[str, list[str]]
-    rare_rows: dict[str, int]
-    bytes: dict[str, int]
-    categories: DataFrame | None = field(default=None, repr=False)  # feature, category, rare
+    slots: dict[str, int]
+    categories: DataFrame | None = field(default=None, repr=False)  # feature, category, slot
 
     @property
     def numeric(self) -> list[str]:
@@ -60,78 +61,79 @@ class FeatureSpec:
     def categorical(self) -> list[str]:
         return [c for c in S.CATEGORICAL_FEATURES if c in self.modes]
 
-    def labels(self, column: str) -> list[str]:
-        rare = [feat.INFREQUENT] if self.rare_rows.get(column, 0) else []
-        return self.frequent.get(column, []) + rare
-
     @property
     def width(self) -> int:
-        return len(self.numeric) + sum(len(self.labels(c)) for c in self.categorical)
+        return len(self.numeric) + sum(self.slots[c] for c in self.categorical)
 
     def to_json(self) -> str:
-        return json.dumps({k: getattr(self, k) for k in
-                           ("medians", "modes", "frequent", "rare_rows", "bytes")}, ensure_ascii=False)
+        return json.dumps({k: getattr(self, k) for k in ("medians", "modes", "slots")}, ensure_ascii=False)
 
 
 def fit_features(train: DataFrame, min_frequency: int = feat.MIN_FREQUENCY) -> FeatureSpec:
-    """Medians, modes and category buckets from the training rows."""
+    """Medians, modes and category slots from the training rows."""
     leakage_guard(S.NUMERIC_FEATURES + S.CATEGORICAL_FEATURES)
-    # 11 and 8 rows come to the driver, and the frequent categories: the model's width
+    # 11 and three times 8 rows come to the driver
     medians = {r["feature"]: r["median"] for r in feat.impute_median(train).collect()}
     counts = cut_lineage(feat.category_counts(train), "categories")
     modes = {r["feature"]: r["mode"] for r in feat.impute_mode(counts).collect()}
-    frequent: dict[str, list[str]] = {}
-    for r in counts.where(F.col("rows") >= min_frequency).orderBy("feature", "category").collect():
-        frequent.setdefault(r["feature"], []).append(r["category"])
-    categories = counts.select("feature", "category", (F.col("rows") < min_frequency).alias("rare"))
-    sizes = categories.groupBy("feature").agg(
-        F.count_if("rare").alias("n"), F.sum(F.octet_length("category") + 16).alias("b")).collect()
-    return FeatureSpec(medians, modes, frequent, {r["feature"]: r["n"] for r in sizes},
-                       {r["feature"]: r["b"] for r in sizes}, categories)
-
-
-def _bucket_column(df: DataFrame, spec: FeatureSpec, feature: str, column: str, training: bool) -> DataFrame:
-    """Replace ``column`` by itself if frequent, else by the rare or the unseen bucket."""
-    value = F.coalesce(F.col(column), F.lit(spec.modes[feature]))
-    names = spec.frequent.get(feature, [])
-    named = len(names) <= MAX_LITERALS
-    frequent = value.isin(names) if named else F.lit(False)
-    if named and training:  # every training category was counted: what is not frequent is rare
-        return df.withColumn(column, F.when(frequent, value).otherwise(F.lit(feat.INFREQUENT)))
-    if named and not spec.rare_rows.get(feature, 0):
-        return df.withColumn(column, F.when(frequent, value).otherwise(F.lit(UNSEEN)))
-    # Rows of frequent categories, the hot ones, need no partner when the plan names
-    # them: their join key is spread over many values that no category has.
-    nowhere = F.concat(F.lit("\x00"), F.pmod(F.hash(*df.columns), F.lit(4096)).cast("string"))
-    own = spec.categories.where((F.col("feature") == feature) & (F.col("rare") | F.lit(not named)))
-    own = own.select(F.col("category").alias("_key"), F.col("rare").alias("_rare"))
-    if spec.bytes[feature] <= BROADCAST_BYTES:
-        own = F.broadcast(own)
-    joined = df.withColumn("_key", F.when(frequent, nowhere).otherwise(value)).join(own, "_key", "left")
-    bucket = (F.when(frequent | ~F.col("_rare"), value).when(F.col("_rare"), F.lit(feat.INFREQUENT))
-              .otherwise(F.lit(UNSEEN)))
-    return joined.withColumn(column, bucket).drop("_key", "_rare")
-
-
-def prepare_features(df: DataFrame, spec: FeatureSpec, training: bool = False,
-                     keep: Sequence[str] = ()) -> DataFrame:
-    """Imputed numbers and bucketed categories in ``f_`` columns beside the ``keep`` columns."""
-    numbers = [F.coalesce(F.col(c).cast("double"), F.lit(spec.medians[c])).alias(f"f_{c}")
-               for c in spec.numeric]
-    out = df.select(*keep, *numbers, *[F.col(c).alias(f"f_{c}") for c in spec.categorical])
-    for c in spec.categorical:
-        out = _bucket_column(out, spec, c, f"f_{c}", training)
-    return out
+    frequent = F.col("rows") >= min_frequency
+    ranked = chronological_rank(counts.where(frequent).select("feature", "category"), ("feature", "category"))
+    begins = {r["feature"]: r["p"] for r in ranked.groupBy("feature").agg(F.min("position").alias("p")).collect()}
+    sizes = {r["feature"]: r for r in counts.groupBy("feature").agg(
+        F.count_if(frequent).alias("named"), F.count_if(~frequent).alias("rare")).collect()}
+
+    def per_feature(values: dict[str, int]) -> Column:
+        out = F.lit(0)
+        for name, value in values.items():
+            out = F.when(F.col("feature") == name, F.lit(value)).otherwise(out)
+        return out
+
+    named = ranked.select("feature", "category", (F.col("position") - per_feature(begins)).cast("int").alias("slot"))
+    shared = counts.where(~frequent).select(
+        "feature", "category", per_feature({f: r["named"] for f, r in sizes.items()}).cast("int").alias("slot"))
+    return FeatureSpec(medians, modes, {f: r["named"] + (r["rare"] > 0) for f, r in sizes.items()},
+                       cut_lineage(named.unionByName(shared), "slots"))
+
+
+def category_slots(rows: DataFrame, spec: FeatureSpec, key: str) -> DataFrame:
+    """(key, i_<feature> ...): the slot of each category; one past the last for an unseen one.
+
+    One join on a narrow table for all features. Values that many rows share, seen in training
+    or not, are told apart by their count in these rows and never meet in one task.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.coalesce(F.col(c), F.lit(spec.modes[c])).alias("category"))
+                      for c in spec.categorical])
+    narrow = cut_lineage(rows.select(key, F.inline(pairs)), "narrow")
+    values = narrow.groupBy("feature", "category").agg(F.count("*").alias("n"))
+    facts = cut_lineage(values.join(spec.categories, ["feature", "category"], "left"), "facts")
+    placed = attach(narrow, facts, ["feature", "category"], "n")
+    return placed.groupBy(key).agg(*[
+        F.coalesce(F.max(F.when(F.col("feature") == c, F.col("slot"))), F.lit(spec.slots[c])).cast("double").alias(f"i_{c}")
+        for c in spec.categorical])
+
+
+def prepare_features(df: DataFrame, spec: FeatureSpec, keep: Sequence[str] = (), key: str | None = None) -> DataFrame:
+    """Imputed numbers in ``f_`` columns and category slots in ``i_`` columns beside the ``keep``
+    columns. ``key`` names a column without repeats or nulls; without one, the rows are written
+    once with a number of their own."""
+    wanted = list(dict.fromkeys([*keep, *spec.numeric, *spec.categorical, *([key] if key else [])]))
+    rows = df.select(*wanted)
+    if not key:
+        key = "_row"
+        rows = cut_lineage(rows.withColumn(key, F.monotonically_increasing_id()), "rows")
+    numbers = [F.coalesce(F.col(c).cast("double"), F.lit(spec.medians[c])).alias(f"f_{c}") for c in spec.numeric]
+    if not spec.categorical:
+        return rows.select(*keep, *numbers)
+    slots = category_slots(rows, spec, key)
+    return rows.join(slots, key).select(*keep, *numbers, *[f"i_{c}" for c in spec.categorical])
 
 
 def encoding_stages(spec: FeatureSpec, output: str = "features", skip: Sequence[str] = ()) -> list:
-    """Index, one-hot and assemble. An unseen category is the dropped last slot: all zero."""
+    """One-hot and assemble. An unseen category is the dropped last place: all zero."""
     cats = [c for c in spec.categorical if c not in skip]
-    index = [StringIndexerModel.from_labels(spec.labels(c), f"f_{c}", f"i_{c}", "keep") for c in cats]
-    hot = OneHotEncoder(inputCols=[f"i_{c}" for c in cats], outputCols=[f"h_{c}" for c in cats], dropLast=True)
-    joined = VectorAssembler(inputCols=[f"f_{c}" for c in spec.numeric if c not in skip]
-                             + [f"h_{c}" for c in cats], outputCol=output)
-    return [*index, hot, joined]
+    hot = [OneHotEncoder(inputCols=[f"i_{c}" for c in cats], outputCols=[f"h_{c}" for c in cats], handleInvalid="keep", dropLast=True)]
+    joined = VectorAssembler(inputCols=[f"f_{c}" for c in spec.numeric if c not in skip] + [f"h_{c}" for c in cats], outputCol=output)
+    return [*(hot if cats else []), joined]
 
 
 @dataclass
@@ -142,11 +144,13 @@ class PriceModel:
     spec: FeatureSpec
     stages: PipelineModel
 
-    def predict(self, df: DataFrame, floor: bool = True) -> DataFrame:
-        """All columns of ``df`` and ``predicted_price``; works on streams too."""
-        ready = prepare_features(df, self.spec, keep=df.columns)
-        scored = self.stages.transform(ready)
-        return scored.select(*df.columns, price_of_log(F.col("prediction"), floor).alias("predicted_price"))
+    def predict(self, df: DataFrame, floor: bool = True, key: str | None = None) -> DataFrame:
+        """All columns of ``df`` and ``predicted_price``; ``key`` as for ``prepare_features``."""
+        return self.score(prepare_features(df, self.spec, df.columns, key), df.columns, floor)
+
+    def score(self, ready: DataFrame, keep: Sequence[str], floor: bool = True) -> DataFrame:
+        """The same from prepared features; works on streams too."""
+        return self.stages.transform(ready).select(*keep, price_of_log(F.col("prediction"), floor).alias("predicted_price"))
 
     def save(self, path: str) -> None:
         spark = SparkSession.active()
@@ -161,29 +165,33 @@ class PriceModel:
             facts = spark.read.schema("name string, spec string").json(f"{path}/facts").first()
         except AnalysisException as e:
             raise FileNotFoundError(f"no model at {path}") from e
-        categories = spark.read.schema("feature string, category string, rare boolean").parquet(f"{path}/categories")
+        categories = spark.read.schema("feature string, category string, slot int").parquet(f"{path}/categories")
         spec = FeatureSpec(**json.loads(facts["spec"]), categories=categories)
         return PriceModel(facts["name"], spec, PipelineModel.load(f"{path}/stages"))
 
 
-def _training_frame(train: DataFrame, spec: FeatureSpec) -> DataFrame:
+def training_frame(train: DataFrame, spec: FeatureSpec) -> DataFrame:
+    """Label and prepared features, written once: training reads them many times."""
     labelled = train.withColumn("label", log_target(F.col("price")))
-    return prepare_features(labelled, spec, training=True, keep=["label"])
+    return cut_lineage(prepare_features(labelled, spec, keep=["label"]), "training")
 
 
 def train_random_forest(train: DataFrame, spec: FeatureSpec | None = None, trees: int = 300,
-                        depth: int = 28, min_leaf: int = 2, seed: int = 42) -> PriceModel:
-    """Forest over all features per split. Defaults are the full-size settings."""
+                        depth: int = 28, min_leaf: int = 2, seed: int = 42, frame: DataFrame | None = None) -> PriceModel:
+    """Forest over all features per split. Defaults are the full-size settings. ``frame`` is the
+    training frame, if it is at hand."""
     spec = spec or fit_features(train)
+    frame = frame or training_frame(train, spec)
     forest = RandomForestRegressor(
         featuresCol="features", labelCol="label", numTrees=trees, maxDepth=depth,
         minInstancesPerNode=min_leaf, featureSubsetStrategy="all", seed=seed, maxBins=128,
         maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10)
-    stages = Pipeline(stages=[*encoding_stages(spec), forest]).fit(_training_frame(train, spec))
+    stages = Pipeline(stages=[*encoding_stages(spec), forest]).fit(frame)
     return PriceModel(M.FOREST, spec, stages)
 
 
-def train_ridge(train: DataFrame, spec: FeatureSpec | None = None, alpha: float = 1.0, solver: str = "normal") -> PriceModel:
+def train_ridge(train: DataFrame, spec: FeatureSpec | None = None, alpha: float = 1.0, solver: str = "normal",
+                frame: DataFrame | None = None) -> PriceModel:
     """Ridge on features divided by their standard deviation.
 
     ``solver`` is ``normal`` (exact, up to 4096 features) or ``l-bfgs`` (iterative, any width).
@@ -196,14 +204,15 @@ def train_ridge(train: DataFrame, spec: FeatureSpec | None = None, alpha: float
     exact = solver == "normal"
     if exact and spec.width > NORMAL_SOLVER_WIDTH:
         raise ValueError(f"{spec.width} features: the exact solver takes {NORMAL_SOLVER_WIDTH}; choose solver='l-bfgs'")
-    frame = _training_frame(train, spec)
+    frame = frame or training_frame(train, spec)
+    names = {c: f"f_{c}" for c in spec.numeric} | {c: f"i_{c}" for c in spec.categorical}
     facts = frame.agg(
         F.count("*").alias("n"), F.stddev_pop("label").alias("pop"), F.stddev_samp("label").alias("samp"),
-        *[(F.min(f"f_{c}") == F.max(f"f_{c}")).alias(c) for c in spec.numeric + spec.categorical]).first()
+        *[(F.min(v) == F.max(v)).alias(c) for c, v in names.items()]).first()
     n = facts["n"]
     # What never varies has weight zero whatever the penalty; left in, it would make the
     # exact solver's matrix singular.
-    constant = [c for c in spec.numeric + spec.categorical if facts[c]]
+    constant = [c for c in names if facts[c]]
     spread = facts["pop"] if exact else facts["samp"]
     scaler = StandardScaler(withMean=False, withStd=True, inputCol="raw_features", outputCol="features")
     ridge = LinearRegression(
@@ -219,9 +228,11 @@ def compare_models(train: DataFrame, test: DataFrame, trees: int = 300, depth: i
                    solver: str = "normal") -> tuple[DataFrame, dict[str, PriceModel]]:
     """Fit both models, score the test rows, rank with the median baseline by MAE."""
     spec = fit_features(train)
+    frame = training_frame(train, spec)
     fitted = {m.name: m for m in (
-        train_random_forest(train, spec, trees, depth, min_leaf, seed), train_ridge(train, spec, alpha, solver))}
-    scored = {name: model.predict(test) for name, model in fitted.items()}
+        train_random_forest(train, spec, trees, depth, min_leaf, seed, frame), train_ridge(train, spec, alpha, solver, frame))}
+    ready = cut_lineage(prepare_features(test, spec, keep=["price"]))
+    scored = {name: model.score(ready, ["price"]) for name, model in fitted.items()}
     scored[M.BASELINE] = M.baseline_median(train, test)
     rows = M.union_all([M.regression_metrics(df, name) for name, df in scored.items()])
     return M.rank_models(rows), fitted

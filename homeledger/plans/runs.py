@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from homeledger import schema as S
 from homeledger.operators import cleaning, dedupe, metrics as M, models, splits, standardize as std
 from homeledger.operators.cleaning import DEFAULT_LIMITS, Limits
-from homeledger.session import cut_lineage
+from homeledger.session import cut_lineage, scratch_run
 from homeledger.sources import listings, outputs
 
 TARGET_TRANSFORM = "the models learn log1p(price); errors are in VND"
@@ -124,10 +125,17 @@ def train_and_report(split: splits.Split, settings: ModelSettings = ModelSetting
         paths["summary"] = outputs.write_table(summary, f"{folder}/summary", "json")
         paths["best_model"] = f"{folder}/best_model"
         model.save(paths["best_model"])
-        report = spark.read.parquet(paths["predictions"])
+        # what is returned is read from the outputs, so the run's scratch tables can go
+        report, table = spark.read.parquet(paths["predictions"]), spark.read.parquet(paths["metrics"])
+        train, test = spark.read.parquet(paths["train_data"]), spark.read.parquet(paths["test_data"])
+        summary, model = run_summary(train, test, strategy, best, extra), models.PriceModel.load(spark, paths["best_model"])
     return RunResult(M.rank_models(table), model, report, summary, strategy, paths)
 
 
+def _scratch(spark: SparkSession, folder: str | None):
+    return scratch_run(spark) if folder else contextlib.nullcontext()
+
+
 def three_source_run(spark: SparkSession, hf: DataFrame, chotot_csv: str, mogi_csv: str, folder: str,
                      limits: Limits = DEFAULT_LIMITS, settings: ModelSettings = ModelSettings(),
                      multi_line: bool = False, **ranges: str) -> RunResult:
@@ -136,6 +144,11 @@ def three_source_run(spark: SparkSession, hf: DataFrame, chotot_csv: str, mogi_c
     ``hf`` is a standardised table (``scan_clean_cache`` or ``bounded_filtered_scan``).
     ``multi_line`` reads CSV files whose quoted fields hold line breaks, one task per file.
     """
+    with scratch_run(spark):
+        return _three_sources(spark, hf, chotot_csv, mogi_csv, folder, limits, settings, multi_line, ranges)
+
+
+def _three_sources(spark, hf, chotot_csv, mogi_csv, folder, limits, settings, multi_line, ranges) -> RunResult:
     chotot = listings.dedupe_source(listings.scan_listing_csv(spark, chotot_csv, multi_line=multi_line), "chotot")
     mogi = listings.dedupe_source(listings.scan_ragged_csv(spark, mogi_csv, multi_line=multi_line), "mogi")
     stored = outputs.write_datasets(
@@ -169,20 +182,19 @@ def merge_run(hf: DataFrame, chotot: DataFrame, mode: str = "merged", split: str
     ``prepare`` only returns the united clean table; ``hf_only`` trains on the landed
     source, ``external`` tests on the other one, ``merged`` trains on both.
     """
-    hf_clean, chotot_clean = (cleaning.clean_for_model(df, limits) for df in (hf, chotot))
     if mode == "prepare":
         return prepare_two_sources(hf, chotot, limits)
-    if mode == "external":
-        both = std.union_sources(hf_clean, chotot_clean)
-        chosen = splits.split_external(cut_lineage(both, "clean"), check=False)
-    elif mode == "hf_only":
-        chosen = _time_split(cut_lineage(hf_clean, "clean"), split, test_size)
-    elif mode == "merged":
-        merged = cut_lineage(prepare_two_sources(hf, chotot, limits), "clean")
-        chosen = _time_split(merged, split, test_size)
-    else:
+    if mode not in ("external", "hf_only", "merged"):
         raise ValueError(f"unknown mode {mode!r}")
-    return train_and_report(chosen, settings, folder, {"mode": mode})
+    with _scratch(hf.sparkSession, folder):
+        if mode == "merged":
+            table = prepare_two_sources(hf, chotot, limits)
+        else:
+            clean = [cleaning.clean_for_model(df, limits) for df in (hf, chotot)]
+            table = clean[0] if mode == "hf_only" else std.union_sources(*clean)
+        table = cut_lineage(table, "clean")
+        chosen = splits.split_external(table, check=False) if mode == "external" else _time_split(table, split, test_size)
+        return train_and_report(chosen, settings, folder, {"mode": mode})
 
 
 def prepare_single_source(df: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
@@ -199,6 +211,7 @@ def single_source_run(df: DataFrame, province: str = "", property_type: str = ""
                       settings: ModelSettings = ModelSettings(trees=250), folder: str | None = None) -> RunResult:
     """One landed source from scan to model; rows are limited only where a limit is given."""
     scanned = listings.bounded_filtered_scan(df, province, property_type, max_rows, scan_limit, "single")
-    clean = cut_lineage(prepare_single_source(scanned, limits), "clean")
-    return train_and_report(_time_split(clean, split, test_size), settings, folder,
-                            {"province": province, "property_type": property_type}, single=True)
+    with _scratch(df.sparkSession, folder):
+        clean = cut_lineage(prepare_single_source(scanned, limits), "clean")
+        return train_and_report(_time_split(clean, split, test_size), settings, folder,
+                                {"province": province, "property_type": property_type}, single=True)

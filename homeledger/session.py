@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
-OWN_DIR = "spark.homeledger.scratch.dir"  # for local sessions, which cannot set the other one later
+OWN_DIR = "spark.homeledger.scratch.dir"  # set for a run, and for local sessions that name none
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named in ``spark.checkpoint.dir``.
+    """The shared folder named in ``spark.checkpoint.dir``, or the current run's part of it.
 
     A session without the setting is refused: executors share no folder that is not named.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(OWN_DIR, None)
+    named = spark.conf.get(OWN_DIR, None) or spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors can reach")
     return named.rstrip("/")
@@ -53,6 +55,22 @@ def drop_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextlib.contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[str]:
+    """Scratch tables written inside go to a folder of their own that is deleted at the end. What
+    is to last must be written elsewhere before."""
+    before, folder = spark.conf.get(OWN_DIR, None), scratch_path(spark, "run")
+    spark.conf.set(OWN_DIR, folder)
+    try:
+        yield folder
+    finally:
+        if before is None:
+            spark.conf.unset(OWN_DIR)
+        else:
+            spark.conf.set(OWN_DIR, before)
+        drop_folder(spark, folder)
+
+
 # Settings that matter for the generated code, unless the user has chosen otherwise.
 # The JVM never compiles a method above 8000 bytes of bytecode; a whole-stage method of
 # that size runs interpreted, several times slower than the same plan with one method

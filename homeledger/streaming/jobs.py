@@ -68,9 +68,17 @@ def daily_coverage(listings: DataFrame, delay: str = "1 day", time: str = "publi
     return counted.select(F.to_date("window.start").alias("day"), "source", "rows")
 
 
-def score_stream(listings: DataFrame, model: PriceModel) -> DataFrame:
-    """Price each listing as it arrives; no state."""
-    return model.predict(listings)
+def land_scores(listings: DataFrame, model: PriceModel, path: str, checkpoint: str, key: str | None = None) -> StreamingQuery:
+    """Price the listings that have arrived, into parquet, and stop.
+
+    Each batch is priced like a table and has a folder of its own, which a batch that is run
+    again replaces.
+    """
+    def score(batch: DataFrame, number: int) -> None:
+        model.predict(batch, key=key).write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return (listings.writeStream.foreachBatch(score).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
 
 
 def write_stream(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:

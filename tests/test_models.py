@@ -36,8 +36,11 @@ def ridge(train):
 def test_feature_spec(train):
     spec = models.fit_features(train)
     assert "house_depth" not in spec.numeric and len(spec.numeric) == 9
-    assert spec.labels("street_name") == ["main", "s20", features.INFREQUENT]
-    assert spec.labels("ward_name") == ["w"]
+    slots = {(r["feature"], r["category"]): r["slot"] for r in spec.categories.collect()}
+    assert {c: n for (f, c), n in slots.items() if f == "street_name"} == {"main": 0, "s20": 1, "s19": 2}
+    assert spec.slots["street_name"] == 3 and spec.slots["ward_name"] == 1
+    assert {c: n for (f, c), n in slots.items() if f == "district_name"} == {f"d{i}": i for i in range(5)}
+    assert spec.width == 9 + 3 + 5 + 6
 
 
 def test_rare_and_unseen_categories(train, ridge):
@@ -45,28 +48,36 @@ def test_rare_and_unseen_categories(train, ridge):
     rows = train.where("row_id in (0, 25, 50)").withColumn(
         "street_name", F.when(F.col("row_id") == 50, "new street").otherwise(F.col("street_name")))
     ready = models.prepare_features(rows, spec, keep=["row_id"])
-    assert {r["row_id"]: r["f_street_name"] for r in ready.collect()} == {
-        0: "s20", 25: features.INFREQUENT, 50: models.UNSEEN}
-    encoded = models.Pipeline(stages=models.encoding_stages(spec)).fit(ready).transform(ready).select("row_id", "h_street_name").collect()
-    hot = {r["row_id"]: r["h_street_name"].toArray().tolist() for r in encoded}
+    assert {r["row_id"]: r["i_street_name"] for r in ready.collect()} == {0: 1.0, 25: 2.0, 50: 3.0}
+    stages = models.Pipeline(stages=models.encoding_stages(spec)).fit(models.training_frame(train, spec))
+    hot = {r["row_id"]: r["h_street_name"].toArray().tolist() for r in stages.transform(ready).select("row_id", "h_street_name").collect()}
     assert hot == {0: [0.0, 1.0, 0.0], 25: [0.0, 0.0, 1.0], 50: [0.0, 0.0, 0.0]}
+    keyed = models.prepare_features(rows, spec, keep=["row_id"], key="row_id")
+    assert sorted(keyed.collect()) == sorted(ready.collect())
 
 
-def test_shuffled_lookup_equals_broadcast(train, ridge, monkeypatch):
-    rows = train.withColumn("street_name", F.when(F.col("row_id") % 50 == 0, "new").otherwise(F.col("street_name")))
-    wanted = sorted(models.prepare_features(rows, ridge.spec, keep=["row_id"]).collect())
-    monkeypatch.setattr(models, "BROADCAST_BYTES", -1)
-    assert sorted(models.prepare_features(rows, ridge.spec, keep=["row_id"]).collect()) == wanted
-    # too many frequent categories to name them in the plan
-    monkeypatch.setattr(models, "MAX_LITERALS", -1)
-    assert sorted(models.prepare_features(rows, ridge.spec, keep=["row_id"]).collect()) == wanted
-    trained = models.prepare_features(train, ridge.spec, keep=["row_id"], training=True).collect()
-    monkeypatch.undo()
-    assert sorted(trained) == sorted(models.prepare_features(train, ridge.spec, keep=["row_id"], training=True).collect())
+def test_many_categories_and_a_hot_one(spark):
+    """6000 frequent categories, and one on a third of the rows."""
+    df = spark.range(180_000).select(
+        F.col("id").alias("row_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.format_string("c%04d", F.col("id") % 6000)).alias("category"))
+    df = df.union(spark.range(180_000, 180_500).select("id", F.lit("unseen")))
+    names = ["hot", *(f"c{i:04d}" for i in range(6000) if i % 3)]
+    table = spark.createDataFrame([("street_name", c, i) for i, c in enumerate(names)], "feature string, category string, slot int")
+    spec = models.FeatureSpec({}, {"street_name": "hot"}, {"street_name": len(names)}, table)
+    rows = df.withColumnRenamed("category", "street_name")
+    got = models.category_slots(rows, spec, "row_id").join(df, "row_id").groupBy("category", "i_street_name").count().collect()
+    want = {c: float(i) for i, c in enumerate(names)} | {"unseen": float(len(names))}
+    assert {r["category"]: r["i_street_name"] for r in got} == want and sum(r["count"] for r in got) == 180_500
+
+
+def test_the_exact_solver_refuses_what_it_cannot_take(train, monkeypatch):
+    monkeypatch.setattr(models, "NORMAL_SOLVER_WIDTH", 5)
+    with pytest.raises(ValueError, match="l-bfgs"):
+        models.train_ridge(train)
 
 
 def test_ridge_is_the_closed_form(train, ridge):
-    frame = models._training_frame(train, ridge.spec)
+    frame = models.training_frame(train, ridge.spec)
     rows = ridge.stages.transform(frame).select("raw_features", "label", "prediction").collect()
     x = np.array([r["raw_features"].toArray() for r in rows])
     y = np.array([r["label"] for r in rows])
