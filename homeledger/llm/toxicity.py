@@ -1,13 +1,14 @@
 """Toxicity scores by gradient-boosted trees over dense features, calibrated by isotonic regression.
 
-Features of a whole text: densities of two lexicons (given insults, and words learned from
-labels), how often a second-person word stands near a hit, shares of capitals and shouted
+Features of a whole text: densities of two lexicons (given insults, and words and word stems
+learned from labels: languages inflect their insults), how often a second-person word stands near a hit, shares of capitals and shouted
 words, punctuation rates, and obfuscation rates (look-alike characters, signs inside words,
 spelled-out letters). No label, language, source or id is a feature.
 
-The learning rows are split in three by hash: one part gives the learned lexicon, one the
-trees, one the calibration, so neither is fitted to what it is applied to. Texts with the
-same beginning count once for the lexicon. At most about ``TRAIN_ROWS`` labelled rows are
+The learning rows are dealt into folds by hash. The trees see each row with the lexicon of the
+other folds, and a fifth of the rows is kept from them for the calibration, so neither is fitted
+to what it is applied to; scoring uses the lexicon of all folds. Texts with the same beginning
+count once for the lexicon. At most about ``TRAIN_ROWS`` labelled rows are
 used, chosen by hash (a documented bound); every document is scored.
 
 Null and empty texts have all-zero features and get the score of those. With labels of one
@@ -30,9 +31,11 @@ from homeledger.llm.common import ddl
 from homeledger.session import cut_lineage
 
 TRAIN_ROWS = 20_000
-LEARNED_WORDS = 300
+LEARNED_WORDS = 1000
 LEAST_DOCS = 3
+FOLDS = 4
 LEAST_Z = 3.0
+STEMS = (4, 5)  # letters of a stem; the lexicon writes it with a star
 NEAR = 5  # words between a second-person word and a hit
 TREES, DEPTH, STEP = 20, 3, 0.2
 THRESHOLD = 0.7
@@ -59,86 +62,124 @@ FEATURES = (
     "mixed_words", "inner_signs", "spelled")
 
 
-def features(text: str | None, learned: dict[str, float]) -> list[float]:
+class Lexicon:
+    """Learned weights of words and stems, and a quick test for words that may be in a lexicon."""
+
+    def __init__(self, learned: dict[str, float]):
+        self.learned = learned
+        self.heads = {w.rstrip("*")[:STEMS[0]] for w in (*learned, *INSULTS)}
+
+    def weight(self, word: str) -> float:
+        """0 for a word that is not in the learned lexicon."""
+        found = self.learned.get(word)
+        for n in reversed(STEMS):
+            if found is None and len(word) > n:
+                found = self.learned.get(word[:n] + "*")
+        return found or 0.0
+
+
+def features(text: str | None, lexicon: Lexicon) -> list[float]:
     """In the order of ``FEATURES``."""
     text = text or ""
     raw = text.split()
     n = len(raw) or 1
     words = [w.strip(EDGES) for w in text.lower().split()]
-    given = [i for i, w in enumerate(words) if w in INSULTS]
-    hits = [(i, learned[w]) for i, w in enumerate(words) if w in learned]
+    heads, head = lexicon.heads, STEMS[0]
+    near_lexicon = [i for i, w in enumerate(words) if w[:head] in heads]
+    given = [i for i in near_lexicon if words[i] in INSULTS]
+    hits = [(i, x) for i in near_lexicon if (x := lexicon.weight(words[i]))]
+    known = {*given, *(i for i, _ in hits)}
     masked, mixed, inner = [], 0, 0
     for i, w in enumerate(words):
         if w.isalpha() or not w or w.isdigit():
             continue
         mixed += any(c.isdigit() for c in w) and any(c.isalpha() for c in w)
         inner += any(not c.isalnum() and c not in "'’-" for c in w)
-        plain = w.translate(LOOKS)
-        bare = "".join(c for c in plain if c.isalpha())
-        if w not in learned and w not in INSULTS and (bare in INSULTS or bare in learned):
+        bare = "".join(c for c in w.translate(LOOKS) if c.isalpha())
+        if i not in known and (bare in INSULTS or lexicon.weight(bare)):
             masked.append(i)
     spelled = SPELLED.findall(text)
-    masked += [0 for s in spelled if (bare := "".join(c for c in s.lower() if c.isalpha())) in INSULTS or bare in learned]
+    masked += [0 for s in spelled if (bare := "".join(c for c in s.lower() if c.isalpha())) in INSULTS or lexicon.weight(bare)]
     you = [i for i, w in enumerate(words) if w in SECOND_PERSON]
     near, at = 0, 0
-    marked = sorted({*given, *(i for i, _ in hits), *masked})
-    for i in marked:
+    for i in sorted({*known, *masked}):
         while at < len(you) and you[at] < i - NEAR:
             at += 1
         near += at < len(you) and you[at] <= i + NEAR
-    letters = sum(map(str.isalpha, text)) or 1 if len(text) < 2_000_000 else len(text)
-    capitals = sum(1 for c in text if c.isupper()) if not text.islower() else 0
-    signs = sum(1 for c in text if not c.isalnum() and not c.isspace())
+    letters = sum(map(str.isalpha, text)) or 1
+    capitals = sum(map(str.isupper, text))
+    signs = len(text) - sum(map(str.isalnum, text)) - sum(map(str.isspace, text))
     size = len(text) or 1
     return [float(x) for x in (
         len(given), len(given) / n, len(hits), len(hits) / n, sum(w for _, w in hits) / n, max((w for _, w in hits), default=0.0),
-        len({words[i] for i in given} | {words[i] for i, _ in hits}), len(masked), len(masked) / n, len(you) / n, near, near / n,
+        len({words[i] for i in known}), len(masked), len(masked) / n, len(you) / n, near, near / n,
         capitals / letters, sum(1 for w in raw if len(w) > 2 and w.isupper()) / n, len(SIGNS.findall(text)) / n, signs / size,
         len(REPEATED.findall(text)) / n, mixed / n, inner / n, len(spelled) / n)]
 
 
-def with_features(docs: DataFrame, learned: dict[str, float], keep: list[str], text: str = "text") -> DataFrame:
-    """``keep`` columns and ``features``, a vector."""
+def with_features(docs: DataFrame, lexicons: list[Lexicon], keep: list[str], text: str = "text", part: str | None = None) -> DataFrame:
+    """``keep`` columns and ``features``, a vector; ``part`` says which of several lexicons a row takes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [features(t, learned) for t in batch.column(0).to_pylist()]
+            texts = batch.column(0).to_pylist()
+            which = batch.column(part).to_pylist() if part else [0] * len(texts)
+            rows = [features(t, lexicons[i]) for t, i in zip(texts, which)]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(rows, pa.list_(pa.float64()))], names=[*keep, "features"])
 
     out = docs.select(text, *keep).mapInArrow(run, f"{ddl(docs, *keep)}, features array<double>")
     return out.withColumn("features", array_to_vector("features"))
 
 
-def fold(key: Column, parts: int) -> Column:
-    return F.pmod(F.xxhash64(key, F.lit("fold")), F.lit(parts))
+def fold(key: Column, parts: int, salt: str) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(parts)).cast("int")
 
 
-def learned_lexicon(rows: DataFrame, most: int = LEARNED_WORDS) -> dict[str, float]:
-    """Words that go with label 1: log odds, for the ``most`` words of the highest z."""
-    once = rows.groupBy(F.xxhash64(F.substring("text", 1, 40)), "label").agg(F.min_by("text", F.length("text")).alias("text"))
+def word_counts(rows: DataFrame) -> DataFrame:
+    """(word, fold, bad, all): documents with each word or stem, and those of label 1; per fold also
+    a row for the word ``""``, which is in every document."""
+    once = rows.groupBy(F.xxhash64(F.substring("text", 1, 40)), "label", "fold").agg(F.min_by("text", F.length("text")).alias("text"))
     words = F.array_distinct(F.transform(F.split(F.lower("text"), r"\s+"), lambda w: F.regexp_replace(w, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")))
-    counted = once.select("label", F.explode(words).alias("word")).where("word != ''").groupBy("word").agg(
+
+    def stems(n: int) -> Column:
+        longer = F.filter("words", lambda w: F.length(w) > n)
+        return F.transform(longer, lambda w: F.concat(F.left(w, F.lit(n)), F.lit("*")))
+
+    items = F.array_union(F.array(F.lit("")), F.array_distinct(F.concat("words", *[stems(n) for n in STEMS])))
+    listed = once.select("label", "fold", words.alias("words"))
+    return listed.select("label", "fold", F.explode(items).alias("word")).groupBy("word", "fold").agg(
         F.sum("label").alias("bad"), F.count("*").alias("all"))
-    totals = once.agg(F.sum("label").alias("bad"), F.count("*").alias("all")).first()
+
+
+def learned_lexicon(counts: DataFrame, without: int | None = None, most: int = LEARNED_WORDS) -> Lexicon:
+    """Words and stems that go with label 1 in all folds but one: log odds, for the ``most`` of the
+    highest z. A word whose stem is in, with odds as high, is left out."""
+    summed = counts.where(F.lit(without is None) | (F.col("fold") != F.lit(-1 if without is None else without))).groupBy("word").agg(
+        F.sum("bad").alias("bad"), F.sum("all").alias("all"))
+    totals = summed.where("word = ''").first()
+    if totals is None:
+        return Lexicon({})
     bad, good = F.col("bad") + 0.5, F.col("all") - F.col("bad") + 0.5
-    odds = F.log(bad / ((totals["bad"] or 0) + 1)) - F.log(good / ((totals["all"] or 0) - (totals["bad"] or 0) + 1))
+    odds = F.log(bad / (totals["bad"] + 1)) - F.log(good / (totals["all"] - totals["bad"] + 1))
     z = odds / F.sqrt(1 / bad + 1 / good)
-    found = counted.where(F.col("bad") >= LEAST_DOCS).select("word", odds.alias("odds"), z.alias("z")).where(
+    found = summed.where((F.col("bad") >= LEAST_DOCS) & (F.col("word") != "")).select("word", odds.alias("odds"), z.alias("z")).where(
         F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "word").limit(most)
-    return {r["word"]: r["odds"] for r in found.collect()}
+    odds_of = {r["word"]: r["odds"] for r in found.collect()}
+    stem_odds = lambda w: max((odds_of.get(w.rstrip("*")[:n] + "*", 0.0) for n in STEMS if len(w.rstrip("*")) > n), default=0.0)
+    return Lexicon({w: x for w, x in odds_of.items() if stem_odds(w) < x})
 
 
 class Toxicity:
     """A fitted scorer."""
 
-    def __init__(self, learned: dict[str, float], trees, calibration):
-        self.learned, self.trees, self.calibration = learned, trees, calibration
+    def __init__(self, lexicon: Lexicon, trees, calibration):
+        self.lexicon, self.trees, self.calibration = lexicon, trees, calibration
 
     def score(self, docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
         """``keep`` columns and ``score``, 0 to 1. Equal calibrated scores keep the trees' order by
         a thousandth."""
         if self.trees is None:
             return docs.select(*keep, F.lit(0.0).alias("score"))
-        raw = self.trees.transform(with_features(docs, self.learned, keep, text)).select(
+        raw = self.trees.transform(with_features(docs, [self.lexicon], keep, text)).select(
             *keep, vector_to_array("probability")[1].alias("raw"))
         return self.calibration.transform(raw).select(
             *keep, F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("calibrated") * 0.999 + F.col("raw") * 0.001)).alias("score"))
@@ -153,16 +194,18 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id",
     chosen = known.where(F.xxhash64(F.col(key), F.lit("train")) / F.lit(2.0 ** 64) + 0.5 < share).limit(2 * bound)
     rows = cut_lineage(
         docs.select(key, F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(chosen), key)
-        .withColumn("part", fold(F.col(key), 10)), "train")
-    learned = learned_lexicon(rows.where("part < 4"))
-    table = cut_lineage(with_features(rows.where("part >= 4"), learned, ["label", "part"]).coalesce(8), "features")
-    fitting, held = table.where("part < 8"), table.where("part >= 8")
+        .withColumns({"fold": fold(F.col(key), FOLDS, "fold"), "part": fold(F.col(key), 5, "part")}), "train")
+    counts = cut_lineage(word_counts(rows), "words")
+    lexicons = [learned_lexicon(counts, k) for k in range(FOLDS)]
+    table = cut_lineage(with_features(rows, lexicons, ["label", "part", "fold"], part="fold").coalesce(8), "features")
+    lexicon = learned_lexicon(counts)
+    fitting, held = table.where("part < 4"), table.where("part = 4")
     if any({r["label"] for r in part.select("label").distinct().collect()} != {0.0, 1.0} for part in (fitting, held)):
-        return Toxicity(learned, None, None)
+        return Toxicity(lexicon, None, None)
     trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=11, minInstancesPerNode=5).fit(fitting)
     raw = trees.transform(held).select("label", vector_to_array("probability")[1].alias("raw"))
     calibration = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="calibrated").fit(raw)
-    return Toxicity(learned, trees, calibration)
+    return Toxicity(lexicon, trees, calibration)
 
 
 def held_out(key: Column) -> Column:

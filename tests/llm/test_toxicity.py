@@ -13,7 +13,7 @@ def row(rng, toxic):
     words = [rng.choice(CLEAN) for _ in range(rng.randrange(20, 120))]
     if toxic:
         for _ in range(rng.randrange(1, 5)):
-            words.insert(rng.randrange(len(words)), rng.choice(["idiot", "blorfer", "gnarp", "scum"]))
+            words.insert(rng.randrange(len(words)), rng.choice(["idiot", "blorfer", "gnarp", "scum", "zwex" + rng.choice("abcdefghijklm") + rng.choice("nopqrstuvw")]))
     return " ".join(words)
 
 
@@ -31,7 +31,8 @@ def test_held_out_accuracy(corpus):
     docs, labels = corpus
     key = F.col("doc_id")
     scorer = toxicity.fit(docs, labels, ~toxicity.held_out(key))
-    assert {"blorfer", "gnarp"} <= set(scorer.learned)
+    lexicon = scorer.lexicon
+    assert all(lexicon.weight(w) > 1 for w in ("blorfer", "gnarp", "zwexyz")) and not lexicon.weight("river")
     rows = scorer.score(docs, ["doc_id"]).withColumn("held", toxicity.held_out(key)).collect()
     assert len(rows) == 1503 and all(0 <= r["score"] <= 1 for r in rows)
     held = [r for r in rows if r["held"] and r["doc_id"] < 1500]
@@ -58,10 +59,10 @@ def test_one_class_no_labels_and_empty(frame):
 
 
 def test_features():
-    named = lambda t, w: dict(zip(toxicity.FEATURES, toxicity.features(t, w)))
+    named = lambda t, w: dict(zip(toxicity.FEATURES, toxicity.features(t, toxicity.Lexicon(w))))
     f = named("You IDIOT!! such a gnarp, you 1d1ot i-d-i-o-t", {"gnarp": 2.0})
     assert f["given_hits"] == 1 and f["learned_hits"] == 1 and f["strongest"] == 2.0 and f["masked_hits"] == 3 and f["near_hits"] >= 3
     assert f["shouted"] > 0 and f["repeated"] > 0 and f["spelled"] > 0
-    assert set(toxicity.features("", {})) == set(toxicity.features(None, {})) == {0.0}
+    assert set(toxicity.features("", toxicity.Lexicon({}))) == set(toxicity.features(None, toxicity.Lexicon({}))) == {0.0}
     assert named("plain words only", {})["masked_hits"] == 0
-    assert len(toxicity.features("long " * 400_000, {})) == len(toxicity.FEATURES)
+    assert len(toxicity.features("long " * 400_000, toxicity.Lexicon({}))) == len(toxicity.FEATURES)
