@@ -415,10 +415,9 @@ def _legacy_sql(keep: bool) -> str:
     sql = D.price_legacy(sql, "PriceVND")
     for c in ("AreaM2", "BedRooms", "Floor"):
         sql = D.float_vn(sql, c)
-    from homeledger.functions.text import DISTRICT_PATTERNS
     sql = D.put(sql, '"District"', "CASE " + " ".join(
         f"WHEN regexp_matches(\"District\", '(?i){p}') THEN trim(regexp_extract(\"District\", '(?i){p}', 1))"
-        for p in DISTRICT_PATTERNS) + " END")
+        for p in D.DISTRICT_IN_ADDRESS) + " END")
     sql = D.add(sql, PostedYear='CAST(year("NgayDang") AS INTEGER)', PostedMonth='CAST(month("NgayDang") AS INTEGER)')
     if keep:
         sql = (f"SELECT * FROM ({sql}) WHERE \"NgayDang\" IS NOT NULL AND \"PriceVND\" BETWEEN 1e8 AND 2e11 "

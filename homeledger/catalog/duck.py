@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from homeledger import schema as S
 from homeledger.catalog import views as V
-from homeledger.functions import numbers as N, text as X
 
 WS = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
 FLOAT = r"(?i)[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?|[+-]?inf(inity)?"
@@ -18,6 +17,21 @@ def words(values: list[str]) -> str:
     return "(" + ", ".join(q(v) for v in values) + ")"
 
 
+# --- fixed values, written out a second time: a wrong one in the library must not pass here ---
+_CITY = ["Tp Hồ Chí Minh", "TP Hồ Chí Minh", "TP. Hồ Chí Minh", "Thành phố Hồ Chí Minh", "TP.HCM", "HCM"]
+CITY = {"fixed": [*_CITY, "TPHCM", "Hồ Chí Minh cũ"], "merge": _CITY, "web": _CITY}
+DISTRICT_SPELLINGS = [("Q.", "Quận "), ("Q ", "Quận "), ("Tp.", "Thành phố "), ("TP.", "Thành phố ")]
+DISTRICT_WORDS = ["Quận ", "Huyện ", "Thành phố ", "Thị xã "]
+WARD_WORDS = ["Phường ", "Xã ", "Thị trấn "]
+DIRECTIONS = ["Đông", "Tây", "Nam", "Bắc", "Đông Nam", "Đông Bắc", "Tây Nam", "Tây Bắc"]
+DISTRICT_IN_ADDRESS = [r"(Quận\s+[\p{L}\p{N}_À-ỹ\s]+)", r"(Q\.\s*\d+)", r"(Huyện\s+[\p{L}\p{N}_À-ỹ\s]+)",
+                       r"(Thành phố\s+Thủ Đức)", r"(TP\.\s*Thủ Đức)"]
+MONEY_SPELLINGS = [("tỉ", "tỷ"), ("ty", "tỷ"), ("tri\u00ea\u0323u", "tri\u1ec7u"), ("trieu", "tri\u1ec7u"),
+                   ("vnd", ""), ("vnđ", ""), ("đ", "")]
+OLD_UNITS = ["m²", "m2", "triệu", "trieu", "tỷ", "ty"]
+# --- end of fixed values ---
+
+
 def put(sql: str, column: str, expr: str) -> str:
     """Replace a column by an expression over it."""
     return f"SELECT * REPLACE ({expr} AS {column}) FROM ({sql})"
@@ -43,7 +57,7 @@ def province(sql: str, c: str, variant: str = "fixed") -> str:
     sql = put(sql, c, clean(c))
     if variant == "merge":
         sql = put(sql, c, f"replace({c}, 'TP.', 'TP')")
-    return put(sql, c, f"CASE WHEN {c} IN {words(X.PROVINCE_ALIASES[variant])} THEN {q(S.HCMC)} ELSE {c} END")
+    return put(sql, c, f"CASE WHEN {c} IN {words(CITY[variant])} THEN {q(S.HCMC)} ELSE {c} END")
 
 
 def _prefixed(sql: str, c: str, prefixes: list[str]) -> str:
@@ -60,16 +74,16 @@ def district(sql: str, c: str, variant: str = "fixed") -> str:
     sql = put(sql, c, clean(c))
     if variant == "fixed":
         sql = _unbracketed(sql, c)
-    for old, new in X.DISTRICT_REWRITES:
+    for old, new in DISTRICT_SPELLINGS:
         sql = put(sql, c, f"replace({c}, {q(old)}, {q(new)})")
-    return _prefixed(sql, c, X.DISTRICT_PREFIXES)
+    return _prefixed(sql, c, DISTRICT_WORDS)
 
 
 def ward(sql: str, c: str, variant: str = "fixed") -> str:
     sql = put(sql, c, clean(c))
     if variant == "fixed":
         sql = _unbracketed(sql, c)
-    return _prefixed(sql, c, X.WARD_PREFIXES)
+    return _prefixed(sql, c, WARD_WORDS)
 
 
 def direction(sql: str, c: str, variant: str = "fixed") -> str:
@@ -77,7 +91,7 @@ def direction(sql: str, c: str, variant: str = "fixed") -> str:
     if variant == "merge":
         return put(sql, c, rf"CASE WHEN regexp_full_match({c}, '\d+(\.0)?') OR lower({c}) IN ('nan', 'none') "
                            f"THEN 'Unknown' ELSE {c} END")
-    return put(sql, c, f"CASE WHEN {c} IN {words(X.COMPASS)} THEN {c} ELSE 'Unknown' END")
+    return put(sql, c, f"CASE WHEN {c} IN {words(DIRECTIONS)} THEN {c} ELSE 'Unknown' END")
 
 
 def number(sql: str, c: str) -> str:
@@ -93,7 +107,7 @@ def _one_number(x: str) -> str:
 def price(sql: str, c: str) -> str:
     """Compound money text to VND."""
     sql = put(sql, c, f"lower({c})")
-    for old, new in N.MONEY_REWRITES:
+    for old, new in MONEY_SPELLINGS:
         sql = put(sql, c, f"replace({c}, {q(old)}, {q(new)})")
     shape = r"(\d+(?:[,.]\d+)?)"
     bn, ml = rf"(?s){shape}\s*tỷ(.*)$", rf"{shape}\s*triệu"
@@ -112,7 +126,7 @@ def area(sql: str, c: str) -> str:
 
 def float_vn(sql: str, c: str) -> str:
     sql = put(sql, c, f"lower({c})")
-    for unit in N.LEGACY_UNITS:
+    for unit in OLD_UNITS:
         sql = put(sql, c, f"replace({c}, {q(unit)}, '')")
     sql = put(sql, c, rf"nullif(regexp_extract(replace({c}, '/', ' '), '[-+]?\d[\d.,]*'), '')")
     sql = put(sql, c, f"CASE WHEN contains({c}, ',') THEN replace(replace({c}, '.', ''), ',', '.') ELSE {c} END")
@@ -235,4 +249,4 @@ def ads_standard() -> str:
            "CAST(NgayDang AS TIMESTAMP) AS published_at, 'chotot' AS source, AdId AS source_ad_id, "
            f"ListId AS source_list_id, Link AS source_link FROM ({flat_ads()})")
     sql = f"SELECT * REPLACE (CASE WHEN price > 0 THEN price END AS price) FROM ({sql})"
-    return _prefixed(sql, "district_name", X.DISTRICT_PREFIXES)
+    return _prefixed(sql, "district_name", DISTRICT_WORDS)

@@ -61,7 +61,7 @@ _on_raw("parse_area_m2", "area", numbers.parse_area_m2, D.area)
 _on_raw("extract_district", "address", text.extract_district, lambda s, c: D.put(D.put(s, c, D.squeeze(c)), c, (
     "CASE " + " ".join(
         f"WHEN regexp_matches({c}, '(?i){p}') THEN trim(regexp_extract({c}, '(?i){p}', 1))"
-        for p in text.DISTRICT_PATTERNS) + " END")))
+        for p in D.DISTRICT_IN_ADDRESS) + " END")))
 _on_raw("parse_or_default", "floor_count", lambda c: numbers.parse_or_default(c, "int", 7), lambda s, c: D.put(D.put(
     s, c, f"replace({D.strip(c)}, '_', '')"), c,
     f"CASE WHEN regexp_full_match({c}, '[+-]?\\d+') THEN CAST({c} AS INTEGER) ELSE 7 END"))
