@@ -37,7 +37,7 @@ BITS = 2048
 HASHES = 5
 FEATURES = 160
 BLOCK = 1 << 19  # bytes of text worked on at a time
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 10_000
 SCALE = 1 << 20
 _C = np.arange(WINDOW + 1)
 CLOGC = np.round(SCALE * _C * np.log2(np.maximum(_C, 1))).astype(np.int64)
@@ -253,8 +253,7 @@ def in_order(docs: DataFrame, key: str, text: str, bucket_rows: int = BUCKET_ROW
     """
     order = F.coalesce(F.col(key).cast("bigint"), F.lit(-(1 << 63)))
     keys = docs.select(order.alias("k"))
-    rows, cores = keys.count(), docs.sparkSession.sparkContext.defaultParallelism
-    ranges = max(1, -(-rows // bucket_rows), min(4 * cores, rows // 500))
+    ranges = max(1, -(-keys.count() // bucket_rows))
     tops = sorted((r["top"] for r in keys.repartitionByRange(ranges, F.desc("k")).groupBy(F.spark_partition_id()).agg(
         F.max("k").alias("top")).collect()), reverse=True)
     n, high = len(tops), np.array(tops, dtype=np.int64)
