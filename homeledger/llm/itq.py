@@ -8,8 +8,9 @@ candidates, each kept in the first table that finds it. Candidates are reranked
 original vectors by cosine in double precision; pairs below ``cosine`` never link.
 
 Equal vectors are one entry, whatever their number. Buckets are split over tasks when
-they hold more than ``BUCKET`` entries. Candidates are checked as they are joined, and leave
-as links only. The sample bound (``SAMPLE`` vectors) concerns the rotation alone.
+they hold more than ``BUCKET`` entries. Pairs are formed by numpy inside a task and never leave
+it: codes alone first tell which rows of a bucket have candidates; only those are joined with
+their vectors, and what leaves then is a count per vector and a spanning forest. The sample bound (``SAMPLE`` vectors) concerns the rotation alone.
 
 Vectors that are null, empty, zero, of another length than most, or hold null or non-finite
 components link with nothing and stand alone. An empty table gives no rows. Other columns
@@ -131,39 +132,145 @@ def segments(code: Column, tables: int) -> list[Column]:
     return [F.shiftrightunsigned(code, SEGMENT * t).bitwiseAND((1 << SEGMENT) - 1) for t in range(tables)]
 
 
-def candidates(entries: DataFrame, tables: int, ball: int = BALL, reach: int = REACH) -> DataFrame:
-    """Pairs (a, b) of entries (entry, code) found in a table and within ``reach`` bits, each once."""
-    parts = F.array(*segments(F.col("code"), tables))
-    own = entries.select("entry", "code", F.posexplode(parts).alias("t", "bucket"))
-    sizes = own.groupBy("t", "bucket").agg(F.count("*").alias("n"))  # at most tables * 2^16 rows
-    large = sizes.where(F.col("n") > BUCKET).select("t", "bucket", F.ceil(F.col("n") / BUCKET).cast("int").alias("parts"))
+def table_rows(entries: DataFrame, tables: int, ball: int = BALL) -> DataFrame:
+    """Rows (bucket, part, seeker, entry, code): each code in its own bucket of each table, and as a
+    seeker in all buckets within its ball. Large buckets are dealt into parts, which every
+    seeker visits. A bucket's upper bits name its table."""
+    keys = F.array(*[s + F.lit(t << SEGMENT) for t, s in enumerate(segments(F.col("code"), tables))])
+    own = entries.select("entry", "code", F.explode(keys).alias("bucket"))
+    sizes = own.groupBy("bucket").agg(F.count("*").alias("n"))  # at most tables * 2^SEGMENT rows
+    large = sizes.where(F.col("n") > BUCKET).select("bucket", F.ceil(F.col("n") / BUCKET).cast("int").alias("parts"))
     split = F.coalesce("parts", F.lit(1))
-    members = own.join(F.broadcast(large), ["t", "bucket"], "left").select(
-        "t", "bucket", F.pmod(F.xxhash64("entry"), split).cast("int").alias("part"), F.col("entry").alias("b"), F.col("code").alias("code_b"))
     masks = F.array(*[F.lit(m).cast("bigint") for m in ball_masks(ball)])
+    members = own.join(F.broadcast(large), "bucket", "left").select(
+        "bucket", F.pmod(F.xxhash64("entry"), split).cast("int").alias("part"), F.lit(0).alias("seeker"), "entry", "code")
     seekers = (
         own.withColumn("bucket", F.explode(F.transform(masks, lambda m: F.col("bucket").bitwiseXOR(m))))
-        .join(F.broadcast(large), ["t", "bucket"], "left")
-        .select("t", "bucket", F.explode(F.sequence(F.lit(0), split - 1)).alias("part"), F.col("entry").alias("a"), F.col("code").alias("code_a")))
-    differ = F.col("code_a").bitwiseXOR(F.col("code_b"))
-    first = F.lit(tables)
-    for t in reversed(range(tables)):
-        first = F.when(F.bit_count(segments(differ, tables)[t]) <= ball, t).otherwise(first)
-    return seekers.join(members, ["t", "bucket", "part"]).where(
-        (F.col("a") < F.col("b")) & (F.bit_count(differ) <= reach) & (first == F.col("t"))).select("a", "b")
-
-
-def rerank(pairs: DataFrame, cosine: float) -> DataFrame:
-    """Of (a, b, unit_a, unit_b) the pairs whose cosine is at least ``cosine``."""
+        .join(F.broadcast(large), "bucket", "left")
+        .select("bucket", F.explode(F.sequence(F.lit(0), split - 1)).alias("part"), F.lit(1).alias("seeker"), "entry", "code"))
+    return members.unionByName(seekers)
+
+
+def by_bucket(rows: DataFrame) -> DataFrame:
+    """Members first, then seekers, of one part of a bucket after the other."""
+    return rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part", "seeker", "entry")
+
+
+class Runs:
+    """Sorted batches as pairs of index arrays (member, seeker) over the rows at hand.
+
+    The members of the part that is read are kept, at most ``BUCKET`` and a few; its seekers may
+    go on over many batches. Pairs come in blocks of bounded size.
+    """
+
+    PAIRS = 1 << 19
+
+    def __init__(self):
+        self.key, self.held = None, None
+
+    def feed(self, table: dict[str, np.ndarray]) -> Iterator[tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]]:
+        if not len(table["bucket"]):
+            return
+        if self.held is not None:
+            same = self.key == (table["bucket"][0], table["part"][0])
+            if same:
+                table = {c: np.concatenate([self.held[c], v]) for c, v in table.items()}
+        bucket, part, seeker = table["bucket"], table["part"], table["seeker"]
+        first = np.flatnonzero(np.r_[True, (bucket[1:] != bucket[:-1]) | (part[1:] != part[:-1])])
+        last = np.r_[first[1:], len(bucket)]
+        total = np.r_[0, np.cumsum(seeker == 0)]
+        members = total[last] - total[first]
+        yield from self._pairs(table, first, members, last - first - members)
+        tail = slice(first[-1], first[-1] + members[-1])
+        self.key, self.held = (bucket[-1], part[-1]), {c: v[tail] for c, v in table.items()}
+
+    def _pairs(self, table, first, members, seekers):
+        many = members * seekers
+        at = 0
+        while at < len(first):
+            stop = at + max(1, int(np.searchsorted(np.cumsum(many[at:]), self.PAIRS, side="right")))
+            f, m, s = first[at:stop], members[at:stop], seekers[at:stop]
+            at = stop
+            if len(f) == 1 and m[0] * s[0] > self.PAIRS:
+                step = max(1, self.PAIRS // int(m[0]))
+                for k in range(0, int(s[0]), step):
+                    n = min(step, int(s[0]) - k)
+                    i, j = np.divmod(np.arange(int(m[0]) * n), n)
+                    yield table, f[0] + i, f[0] + m[0] + k + j
+                continue
+            count = m * s
+            run = np.repeat(np.arange(len(f)), count)
+            k = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+            yield table, f[run] + k // np.maximum(s[run], 1), f[run] + m[run] + k % np.maximum(s[run], 1)
+
+
+def _numpy(batch: pa.RecordBatch, names: list[str]) -> dict[str, np.ndarray]:
+    return {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names}
+
+
+def _is_candidate(table: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, ball: int, reach: int) -> np.ndarray:
+    """Whether the pair is in this table, in none before it, and within reach; each pair once, from
+    its larger entry."""
+    differ = table["code"][i].view(np.uint64) ^ table["code"][j].view(np.uint64)
+    good = (table["entry"][j] > table["entry"][i]) & (np.bitwise_count(differ) <= reach)
+    own = table["bucket"][i] >> SEGMENT
+    for t in range(int(own.max(initial=0))):
+        segment = (differ >> np.uint64(SEGMENT * t)) & np.uint64((1 << SEGMENT) - 1)
+        good &= (own <= t) | (np.bitwise_count(segment) > ball)
+    return good
+
+
+ROW = ["bucket", "part", "seeker", "entry", "code"]
+ROW_DDL = "bucket bigint, part int, seeker int, entry bigint, code bigint"
+
+
+def candidates(rows: DataFrame, ball: int = BALL, reach: int = REACH) -> DataFrame:
+    """Of the table rows those that have a candidate pair in their part of a bucket. Pairs stay
+    in the task; a row comes out once per batch at most."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        runs = Runs()
         for batch in batches:
-            if not len(batch):
-                continue
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.float64).reshape(len(batch), -1) for c in (2, 3))
-            near = pa.array((x * y).sum(axis=1) >= cosine)
-            yield batch.select([0, 1]).filter(near)
+            for table, i, j in runs.feed(_numpy(batch, ROW)):
+                good = _is_candidate(table, i, j, ball, reach)
+                hit = np.unique(np.concatenate([i[good], j[good]]))
+                yield pa.RecordBatch.from_arrays([pa.array(table[c][hit]) for c in ROW], names=ROW)
+
+    return by_bucket(rows).mapInArrow(run, ROW_DDL).distinct()
+
 
-    return pairs.select("a", "b", "unit_a", "unit_b").mapInArrow(run, "a bigint, b bigint")
+def links(rows: DataFrame, cosine: float, ball: int = BALL, reach: int = REACH) -> DataFrame:
+    """From candidate rows with ``unit`` and ``n``: (a, b, linked). Rows with ``linked`` count the
+    vectors that ``a`` links with in a batch; rows without are edges that connect what is linked.
+    At most two rows per row and block leave a task, never the pairs."""
+    from homeledger.llm.simhash import Forest
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        runs = Runs()
+        for batch in batches:
+            table = _numpy(batch, [*ROW, "n"])
+            table["unit"] = np.frombuffer(b"".join(batch.column("unit").to_pylist()), dtype=np.float64).reshape(len(batch), -1)
+            for table, i, j in runs.feed(table):
+                good = _is_candidate(table, i, j, ball, reach)
+                i, j = i[good], j[good]
+                near = np.concatenate([
+                    np.einsum("ij,ij->i", table["unit"][i[k:k + 65_536]], table["unit"][j[k:k + 65_536]]) >= cosine
+                    for k in range(0, max(1, len(i)), 65_536)])
+                i, j = i[near], j[near]
+                if not len(i):
+                    continue
+                linked = np.bincount(i, table["n"][j], len(table["n"])) + np.bincount(j, table["n"][i], len(table["n"]))
+                who = np.flatnonzero(linked)
+                place = np.zeros(len(linked), dtype=np.int64)
+                place[who] = np.arange(len(who))
+                forest = Forest(len(who))
+                edges = [(a, b) for a, b in zip(i.tolist(), j.tolist()) if forest.join(place[a], place[b])]
+                a, b = np.array(edges).T
+                entry = table["entry"]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.r_[entry[who], entry[a]]), pa.array([None] * len(who) + entry[b].tolist(), pa.int64()),
+                     pa.array(linked[who].astype(np.int64).tolist() + [None] * len(a), pa.int64())], names=["a", "b", "linked"])
+
+    return by_bucket(rows).mapInArrow(run, "a bigint, b bigint, linked bigint")
 
 
 def near_duplicate_vectors(vectors: DataFrame, key: str = "vec_id", column: str = "embedding", cosine: float = COSINE,
@@ -182,21 +289,14 @@ def near_duplicate_vectors(vectors: DataFrame, key: str = "vec_id", column: str
     groups = cut_lineage(groups, "groups")
     entries = cut_lineage(
         groups.select("entry", "least", "n", "digest").join(rows.select(F.col("row").alias("entry"), "code", "unit"), "entry"), "entries")
-    found = cut_lineage(candidates(entries.select("entry", "code"), tables, ball, reach), "pairs")
-    units = entries.select("entry", "unit")
-    for side in ("a", "b"):
-        degree = found.groupBy(side).agg(F.count("*").alias("pairs"))
-        facts = cut_lineage(degree.join(units.select(F.col("entry").alias(side), F.col("unit").alias(f"unit_{side}")), side), "units")
-        found = attach(found, facts, side, "pairs") if side == "b" else cut_lineage(attach(found, facts, side, "pairs"), "half")
-    links = cut_lineage(rerank(found, cosine), "links")
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    copies = entries.select(F.col("entry").alias("b"), "n")
-    in_links = both.groupBy("b").agg(F.count("*").alias("pairs"))
-    weights = cut_lineage(copies.join(in_links, "b"), "weights")
-    degrees = attach(both, weights, "b", "pairs").groupBy(F.col("a").alias("entry")).agg(F.sum("n").alias("linked"))
+    found = cut_lineage(candidates(table_rows(entries.select("entry", "code"), tables, ball), ball, reach), "candidates")
+    wide = found.join(entries.select("entry", "unit", "n"), "entry")  # an entry has a bounded number of rows
+    linked = cut_lineage(links(wide, cosine, ball, reach), "links")
+    degrees = linked.where(F.col("linked").isNotNull()).groupBy(F.col("a").alias("entry")).agg(F.sum("linked").alias("linked"))
+    edges = linked.where(F.col("b").isNotNull()).select("a", "b")
     rooted = (
         entries.select("entry", "least", "n", "digest").join(degrees, "entry", "left")
-        .join(components(links).withColumnRenamed("node", "entry"), "entry", "left")
+        .join(components(edges).withColumnRenamed("node", "entry"), "entry", "left")
         .select("digest", "least", "n", (F.coalesce("linked", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "entry").alias("root")))
     rooted = cut_lineage(rooted, "rooted")
     roots = cut_lineage(rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("entries")), "roots")

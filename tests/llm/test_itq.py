@@ -64,6 +64,6 @@ def test_no_pair_below_the_limit_and_tiny_numbers(frame):
     b = [0.9, math.sqrt(1 - 0.81)] + [0.0] * 14
     c = [0.8, 0.6] + [0.0] * 14
     rows = [(1, a), (2, [x * 1e-200 for x in a]), (3, [x * 1e200 for x in c])]
-    got = itq.near_duplicate_vectors(frame(rows, "vec_id long, embedding array<double>"), reach=64, ball=16).collect()
+    got = itq.near_duplicate_vectors(frame(rows, "vec_id long, embedding array<double>"), reach=64, ball=3).collect()
     assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == [(1, 1, 1), (2, 1, 1), (3, 0, 3)]
     assert b
