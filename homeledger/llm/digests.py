@@ -2,8 +2,9 @@
 
 Every window of 64 bytes has an entropy. How rare its entropy class is over the whole corpus
 ranks it: improbable windows come first. Among any 64 neighbouring windows the leftmost of
-the lowest rank gets a vote, and windows with enough votes are the document's features. They
-are hashed into a chain of Bloom filters of 2048 bits, a new one after 160 features. The
+the lowest rank gets a vote, and windows with enough votes are the document's features; where
+none has enough, the one with the most votes is (of those the lowest rank, then the leftmost).
+They are hashed into a chain of Bloom filters of 2048 bits, a new one after 160 features. The
 likeness of two fingerprints is the overlap of their filters' bits, above what chance gives
 and relative to the most possible, averaged over the shorter chain.
 
@@ -125,17 +126,34 @@ def _chosen_in(classes: np.ndarray, rank: np.ndarray) -> np.ndarray:
     return np.bincount(sliding_least(keys) % n, minlength=n)
 
 
-def feature_starts(text: bytes, rank: np.ndarray) -> np.ndarray:
-    """Where the features of one text of at least a window begin."""
+def _votes(text: bytes, rank: np.ndarray) -> np.ndarray:
+    """Votes for each window of a text of at least a window."""
     windows = len(text) - WINDOW + 1
     votes = np.zeros(windows, dtype=np.int32)
-    runs = max(1, windows - NEIGHBOURS + 1)
     data = np.frombuffer(text, dtype=np.uint8)
-    for at in range(0, runs, BLOCK):
+    for at in range(0, max(1, windows - NEIGHBOURS + 1), BLOCK):
         stop = min(windows, at + BLOCK + NEIGHBOURS - 1)
-        classes = entropy_classes(data[at:stop + WINDOW - 1])
-        votes[at:stop] += _chosen_in(classes, rank).astype(np.int32)
-    return np.flatnonzero(votes >= min(VOTES, runs))
+        votes[at:stop] += _chosen_in(entropy_classes(data[at:stop + WINDOW - 1]), rank).astype(np.int32)
+    return votes
+
+
+def feature_starts(text: bytes, rank: np.ndarray) -> np.ndarray:
+    """Where the features of one text of at least a window begin."""
+    votes = _votes(text, rank)
+    return np.flatnonzero(votes >= min(VOTES, max(1, len(votes) - NEIGHBOURS + 1)))
+
+
+def most_voted(text: bytes, rank: np.ndarray) -> np.ndarray:
+    """Where the window with the most votes begins: of those the lowest rank, then the leftmost."""
+    votes = _votes(text, rank)
+    found = np.flatnonzero(votes == votes.max())
+    data = np.frombuffer(text, dtype=np.uint8)
+    ranks = []
+    for at in range(0, len(votes), BLOCK):
+        inside = found[(found >= at) & (found < at + BLOCK)]
+        if len(inside):
+            ranks.append(rank[entropy_classes(data[at:at + BLOCK + WINDOW - 1])[inside - at]])
+    return found[[np.argmin(np.concatenate(ranks))]]
 
 
 def many_feature_starts(texts: list[bytes], rank: np.ndarray) -> list[np.ndarray]:
@@ -223,7 +241,8 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 
 def fingerprint_many(texts: list[str], rank: np.ndarray) -> list[np.ndarray]:
     data = [t.encode("utf-8") for t in texts]
-    return [filters(t, starts) for t, starts in zip(data, many_feature_starts(data, rank))]
+    voted = many_feature_starts(data, rank)
+    return [filters(t, starts if len(starts) or not t else most_voted(t, rank)) for t, starts in zip(data, voted)]
 
 
 def fingerprints(docs: DataFrame, rarity: np.ndarray, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -96,3 +96,23 @@ def test_one_row_repeats_and_empty(frame):
     again = digests.compare_with_next(frame([(4, "abcd")] * 3 + [(None, "x")], schema), zero).collect()
     assert sorted(str(r["doc_id"]) for r in again) == ["4", "4", "4", "None"]
     assert digests.compare_with_next(frame([], schema), zero).collect() == []
+
+
+def test_the_most_voted_window_stands_in(monkeypatch):
+    texts = [b"a" * 1000, b"ab" * 400, bytes(range(97, 105)) * 50, some_texts()[-2]]
+    for block in (digests.BLOCK, 300):
+        monkeypatch.setattr(digests, "BLOCK", block)
+        for text in texts:
+            classes = entropies_by_hand(text)
+            votes = [0] * len(classes)
+            for s in range(len(classes) - 63):
+                votes[min(range(s, s + 64), key=lambda i: (RANK[classes[i]], i))] += 1
+            want = min(range(len(classes)), key=lambda i: (-votes[i], RANK[classes[i]], i))
+            assert digests.most_voted(text, RANK).tolist() == [want]
+
+
+def test_every_text_that_is_not_empty_has_a_feature():
+    assert [len(s) for s in digests.many_feature_starts([b"a" * 1000], RANK)] == [0]
+    a, b, empty = digests.fingerprint_many(["a" * 1000, "b" * 1000, ""], RANK)
+    assert len(a) and len(b) and (a != b).any()
+    assert digests.likeness(a, empty) == 0.0 and digests.likeness(a, b) < 1.0 and digests.likeness(a, a) == 1.0
