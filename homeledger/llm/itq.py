@@ -35,7 +35,7 @@ COSINE = 0.9
 SAMPLE = 20_000
 BITS = 64
 SEGMENT = 16
-BALL = 1
+BALL = 2
 REACH = 24
 ROUNDS = 40
 BUCKET = 5_000

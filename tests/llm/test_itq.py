@@ -67,3 +67,19 @@ def test_no_pair_below_the_limit_and_tiny_numbers(frame):
     got = itq.near_duplicate_vectors(frame(rows, "vec_id long, embedding array<double>"), reach=64, ball=3).collect()
     assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == [(1, 1, 1), (2, 1, 1), (3, 0, 3)]
     assert b
+
+
+def test_the_query_settings_find_planted_pairs_near_the_limit(frame):
+    rng = np.random.default_rng(12)
+    x = rng.standard_normal((1200, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    other = rng.standard_normal(x.shape)
+    other -= (other * x).sum(axis=1)[:, None] * x
+    other /= np.linalg.norm(other, axis=1)[:, None]
+    cosine = rng.uniform(0.901, 0.95, len(x))[:, None]
+    both = np.concatenate([x, cosine * x + np.sqrt(1 - cosine ** 2) * other])
+    want = int((both @ both.T >= 0.9).sum()) - len(both)
+    assert want == len(both)
+    got = itq.near_duplicate_vectors(frame([(i, v.tolist()) for i, v in enumerate(both)], "vec_id long, embedding array<double>")).collect()
+    assert sum(r["n_links"] for r in got) >= 0.985 * want
+    assert all(r["n_links"] <= 1 for r in got)
