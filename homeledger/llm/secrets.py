@@ -2,7 +2,7 @@
 
 Base kinds are regular expressions over the whole text, leftmost and non-overlapping per
 kind. Beyond them, runs of base64 or hex digits are decoded, and reported only if what they
-hold parses as a key or token:
+hold parses as a key or token. A key in base64 ends where its own length says:
 
 * ``key``: base64 or hex whose bytes are nested ASN.1 elements with lengths that add up, in
   the shape of a private key (RSA, EC or PKCS #8), or an OpenSSH key container;
@@ -39,8 +39,12 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 HEX_LONG = re.compile(r"[0-9a-f]{24,}")
 
 JWT = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{10,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)")
-BASE64_LINE = r"[A-Za-z0-9+/]{40,}"
-BASE64 = re.compile(rf"(?<![A-Za-z0-9+/_-]){BASE64_LINE}(?:\r?\n[A-Za-z0-9+/]+)*={{0,2}}")
+# an encoded key begins with an ASN.1 sequence or the OpenSSH mark; before it no digit, but a literal \n or \r
+KEY_START = re.compile(r"[Mb](?:(?<![A-Za-z0-9+/_-].)|(?<=\\[nr].))(?:(?<=M)[A-P]|(?<=b)3Blbn)[A-Za-z0-9+/_-]{34,}")
+BREAK = r"(?:\r?\n|\r|(?:\\+[rn])+)[ \t]*"
+ALPHABETS = [  # a digit, which must not follow a key, and lines of them
+    (re.compile(f"[{digits}]"), re.compile(rf"[{digits}]+(?:{BREAK}[{digits}]+)*")) for digits in ("A-Za-z0-9+/", "A-Za-z0-9_-")]
+BREAKS = re.compile(BREAK)
 HEX_ANY = re.compile(r"(?<![A-Za-z0-9])[0-9A-Fa-f]{64,}(?![A-Za-z0-9])")
 SEQUENCE, INTEGER, OCTETS, OID = 0x30, 0x02, 0x04, 0x06
 OPENSSH = b"openssh-key-v1\x00"
@@ -117,6 +121,60 @@ def _json_part(part: str) -> object:
         return None
 
 
+def key_size(data: bytes) -> int | None:
+    """Bytes of the ASN.1 element or OpenSSH container that ``data`` begins with, as far as they say."""
+    if data.startswith(OPENSSH):
+        at, left = len(OPENSSH), 3
+        while left:
+            at, left = at + 4 + int.from_bytes(data[at:at + 4], "big"), left - 1
+        keys = int.from_bytes(data[at:at + 4], "big")
+        at += 4
+        for _ in range(keys + 1):
+            if at + 4 > len(data):
+                return None
+            at += 4 + int.from_bytes(data[at:at + 4], "big")
+        return at if keys else None
+    if len(data) < 6 or data[0] != SEQUENCE:
+        return None
+    more = data[1] & 0x7F if data[1] & 0x80 else 0
+    return 2 + more + int.from_bytes(data[2:2 + more], "big") if more <= 4 and more else 2 + data[1] if not more else None
+
+
+def encoded_key_end(text: str, start: int) -> int | None:
+    """Where the key in base64 or base64url ends that begins at ``start``, padding included. Its own
+    length says how far it goes; line breaks, also escaped ones, may stand between its digits."""
+    for digit, lines in ALPHABETS:
+        run = lines.match(text, start)
+        if not run:
+            continue
+        places, at = [], start  # pieces between breaks
+        for gap in BREAKS.finditer(text, start, run.end()):
+            places.append((at, gap.start()))
+            at = gap.end()
+        places.append((at, run.end()))
+        body = "".join(text[a:b] for a, b in places).replace("-", "+").replace("_", "/")
+        whole = body[:len(body) - (len(body) % 4 == 1)]
+        data = base64.b64decode(whole + "=" * (-len(whole) % 4))
+        size = key_size(data)
+        if size is None and data.startswith(OPENSSH):
+            size = len(data)
+        if size is None or size > len(data) or not is_private_key(data[:size]):
+            continue
+        left = -(-size * 4 // 3)
+        for a, b in places:
+            if left <= b - a:
+                end = a + left
+                break
+            left -= b - a
+        if digit.match(text, end):
+            continue  # goes on in the same line: not this key
+        padding = -size % 3
+        while padding and text[end:end + 1] == "=":
+            end, padding = end + 1, padding - 1
+        return end
+    return None
+
+
 def confirmed_spans(text: str) -> list[Span]:
     """Spans whose decoded structure is a token or a key."""
     found = []
@@ -125,16 +183,12 @@ def confirmed_spans(text: str) -> list[Span]:
             header = _json_part(m[1])
             if isinstance(header, dict) and isinstance(header.get("alg"), str) and isinstance(_json_part(m[2]), dict):
                 found.append(("jwt", *m.span()))
-    for m in BASE64.finditer(text):
-        body = re.sub(r"\s", "", m[0])
-        for end in (len(body), len(body) - len(body) % 4):
-            try:
-                data = base64.b64decode(body[:end] + "=" * (-end % 4) if "=" not in body else body[:end], validate=True)
-            except (ValueError, binascii.Error):
-                continue
-            if is_private_key(data):
-                found.append(("key", *m.span()))
-                break
+    at = 0
+    while m := KEY_START.search(text, at):
+        end = encoded_key_end(text, m.start())
+        if end:
+            found.append(("key", m.start(), end))
+        at = end or m.end()
     for m in HEX_ANY.finditer(text):
         if len(m[0]) % 2 == 0 and is_private_key(bytes.fromhex(m[0])):
             found.append(("key", *m.span()))

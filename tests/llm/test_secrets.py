@@ -83,3 +83,31 @@ def test_redaction(frame):
     rows = sorted(tuple(r) for r in secrets.redacted(df).collect())
     assert rows == [(1, "a [SECRET] b", 12, "x"), (2, None, None, "y"), (3, "clean", 5, None)]
     assert secrets.redact("0123456789", [("a", 1, 4), ("b", 2, 6), ("c", 8, 9)], "*") == "0*67*9"
+
+
+CONTAINER = secrets.OPENSSH + b"\x00\x00\x00\x04none" * 2 + b"\x00" * 4 + b"\x00\x00\x00\x01" + b"\x00\x00\x00\x33" + bytes(51) + b"\x00\x00\x00\x90" + bytes(range(144))
+
+
+def test_keys_end_where_their_length_says():
+    for data in (RSA, PKCS8, EC, CONTAINER):
+        for text in (base64.b64encode(data).decode(), base64.b64encode(data).decode().rstrip("=")):
+            if len(text) < 40:
+                continue
+            for after in ("\nNext line", "\n\nNext", "\r\nword", " end", "-----END", "", "\\n-----END", '", "x"'):
+                assert ("key", 2, 2 + len(text)) in secrets.all_spans("k " + text + after), (data[:4], after)
+
+
+def test_keys_in_json_and_base64url():
+    for data in (RSA, PKCS8, CONTAINER):
+        text = base64.b64encode(data).decode()
+        lines = [text[i:i + 64] for i in range(0, len(text), 64)]
+        for gap in ("\\n", "\\r\\n", "\\\\n", "\n    "):
+            body = gap.join(lines)
+            before = '"private_key": "-----BEGIN PRIVATE KEY-----' + gap
+            assert ("key", len(before), len(before) + len(body)) in secrets.all_spans(f'{before}{body}{gap}-----END PRIVATE KEY-----{gap}"'), gap
+    for k in range(20):
+        data = der(0x30, integer(0) + der(0x30, der(6, b"\x2b\x65\x70")) + der(4, bytes([0xFB, 0xEF, 0xFF]) * 10 + bytes(2 + k)))
+        text = base64.urlsafe_b64encode(data).decode()
+        assert "-" in text or "_" in text
+        for own in (text, text.rstrip("=")):
+            assert ("key", 1, 1 + len(own)) in secrets.all_spans(f'"{own}"\nnext')
