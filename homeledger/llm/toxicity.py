@@ -7,8 +7,8 @@ spelled-out letters). No label, language, source or id is a feature.
 
 The learning rows are dealt into folds by hash. The trees see each row with the lexicon of the
 other folds, and a fifth of the rows is kept from them for the calibration, so neither is fitted
-to what it is applied to; scoring uses the lexicon of all folds. Texts with the same beginning
-count once for the lexicon. At most about ``TRAIN_ROWS`` labelled rows are
+to what it is applied to; scoring uses the lexicon of all folds. Equal texts with equal labels
+count once a fold for the lexicon. At most about ``TRAIN_ROWS`` labelled rows are
 used, chosen by hash (a documented bound); every document is scored.
 
 Null and empty texts have all-zero features and get the score of those. With labels of one
@@ -137,7 +137,8 @@ def fold(key: Column, parts: int, salt: str) -> Column:
 def word_counts(rows: DataFrame) -> DataFrame:
     """(word, fold, bad, all): documents with each word or stem, and those of label 1; per fold also
     a row for the word ``""``, which is in every document."""
-    once = rows.groupBy(F.xxhash64(F.substring("text", 1, 40)), "label", "fold").agg(F.min_by("text", F.length("text")).alias("text"))
+    digest = F.sha2(F.encode("text", "UTF-8"), 256)
+    once = rows.select("text", "label", "fold", digest.alias("digest")).dropDuplicates(["digest", "label", "fold"])
     words = F.array_distinct(F.transform(F.split(F.lower("text"), r"\s+"), lambda w: F.regexp_replace(w, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")))
 
     def stems(n: int) -> Column:

@@ -66,3 +66,11 @@ def test_features():
     assert set(toxicity.features("", toxicity.Lexicon({}))) == set(toxicity.features(None, toxicity.Lexicon({}))) == {0.0}
     assert named("plain words only", {})["masked_hits"] == 0
     assert len(toxicity.features("long " * 400_000, toxicity.Lexicon({}))) == len(toxicity.FEATURES)
+
+
+def test_texts_with_the_same_beginning_are_all_counted(frame):
+    head = "this page is published under the terms of the common licence "
+    rows = [(head + f"word{i} shared", 1.0, i % 2) for i in range(10)] + [(head + "word0 shared", 1.0, 0)]
+    counts = {(r["word"], r["fold"]): (r["bad"], r["all"]) for r in toxicity.word_counts(frame(rows, "text string, label double, fold int")).collect()}
+    assert counts["shared", 0] == counts["", 0] == (5, 5) and counts["shared", 1] == (5, 5)
+    assert all(counts[f"word{i}", i % 2] == (1, 1) for i in range(10))
