@@ -2,7 +2,7 @@
 
 A server that answers "not modified" sends headers but no body; such a capture is stored as
 a ``revisit``. Its body is the one of the latest earlier full response for the same
-canonical URL, provided that the validators agree: the entity tag (weak comparison), or
+canonical URL (status 200, not truncated), provided that the validators agree: the entity tag (weak comparison), or
 without one on both sides the modification date. The result carries the stored headers,
 updated with those of the revisit that a not-modified answer may change.
 
@@ -56,7 +56,8 @@ def header_fields(block: Column) -> Column:
 
 
 def read_records(records: DataFrame) -> DataFrame:
-    """Captures from WARC records (record_id, warc, http, body): the two header blocks as text."""
+    """Captures from WARC records (record_id, warc, http, body): the two header blocks as text. Those
+    of status 200 that are not marked as truncated are ``complete``."""
     warc = header_fields(F.coalesce("warc", F.lit("")))
     kind = lower_ascii(warc["warc-type"])
     return records.select(
@@ -64,6 +65,7 @@ def read_records(records: DataFrame) -> DataFrame:
         F.unix_timestamp(F.try_to_timestamp(warc["warc-date"], F.lit("yyyy-MM-dd'T'HH:mm:ssX"))).alias("at"),
         F.when((kind == "revisit") & ~F.coalesce(warc["warc-profile"], F.lit("")).contains("server-not-modified"), "other")
         .otherwise(kind).alias("kind"),
+        ((F.regexp_extract(F.coalesce("http", F.lit("")), r"^HTTP/\S+ +(\d{3})(?!\d)", 1) == "200") & warc["warc-truncated"].isNull()).alias("complete"),
         header_fields(F.coalesce("http", F.lit(""))).alias("headers"),
         F.when(F.col("body").isNotNull(), F.sha2(F.col("body"), 256)).alias("body_sha256"))
 
@@ -90,17 +92,17 @@ def weak_tag(tag: Column) -> Column:
 def latest_full(captures: DataFrame, slices: int = SLICES) -> DataFrame:
     """(row, from_row): for each revisit the latest earlier response of its canonical URL.
 
-    ``captures``: row (unique), canonical, at (long), capture_id, kind.
+    ``captures``: row (unique), canonical, at (long), capture_id, kind, full (it may be taken).
     """
     known = captures.where(F.col("canonical").isNotNull() & F.col("at").isNotNull()).select(
-        "row", "canonical", "at", "capture_id", "kind")
+        "row", "canonical", "at", "capture_id", "kind", "full")
     bounds = known.agg(F.min("at").alias("a"), F.max("at").alias("b")).first()
     begin, width = bounds["a"] or 0, max(1, -(-((bounds["b"] or 0) - (bounds["a"] or 0) + 1) // slices))
     known = known.withColumn("slice", F.floor((F.col("at") - F.lit(begin)) / F.lit(width)).cast("int"))
-    full = F.when(F.col("kind") == "response", F.struct("at", "capture_id", "row"))
+    full = F.when(F.col("full"), F.struct("at", "capture_id", "row"))
     inside = Window.partitionBy("canonical", "slice").orderBy("at", "capture_id", "row").rowsBetween(Window.unboundedPreceding, -1)
     near = known.withColumn("near", F.last(full, ignorenulls=True).over(inside)).where(F.col("kind") == "revisit")
-    ends = known.where(F.col("kind") == "response").groupBy("canonical", "slice").agg(
+    ends = known.where("full").groupBy("canonical", "slice").agg(
         F.max(F.struct("at", "capture_id", "row")).alias("last"))
     asked = near.where(F.col("near").isNull()).select("canonical", "slice").distinct()
     across = Window.partitionBy("canonical").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -113,18 +115,21 @@ def latest_full(captures: DataFrame, slices: int = SLICES) -> DataFrame:
 
 
 def resolve_revisits(captures: DataFrame, slices: int = SLICES) -> DataFrame:
-    """Captures (capture_id, url, at, kind, headers, body_sha256) with what they resolve to.
+    """Captures (capture_id, url, at, kind, headers, body_sha256) with what they resolve to. Responses
+    count as full where ``complete`` holds, or all of them without that column.
 
     Per capture: capture_id, canonical, kind, status, from_id, headers, body_sha256. Status:
     ``full`` for what is no revisit; for revisits ``etag`` or ``last-modified`` (the validator that
     agrees), ``mismatch`` (one that doesn't), ``unverified`` (no validator on both sides), or
-    ``missing`` (no earlier response). Only agreeing revisits get headers and body.
+    ``missing`` (no earlier full response). Only agreeing revisits get headers and body.
     """
+    full = F.coalesce("complete", F.lit(False)) if "complete" in captures.columns else F.lit(True)
     read = cut_lineage(captures.select(
         F.monotonically_increasing_id().alias("row"), "capture_id", canonical_url(F.col("url")).alias("canonical"),
-        F.col("at").cast("bigint").alias("at"), "kind", "headers", "body_sha256"), "captures")
+        F.col("at").cast("bigint").alias("at"), "kind", "headers", "body_sha256",
+        F.coalesce((F.col("kind") == "response") & full, F.lit(False)).alias("full")), "captures")
     found = cut_lineage(latest_full(read, slices), "found")
-    stored = read.where("kind = 'response'").select(
+    stored = read.where("full").select(
         F.col("row").alias("from_row"), F.col("capture_id").alias("from_id"), F.col("headers").alias("stored"),
         F.col("body_sha256").alias("stored_body"))
     used = found.groupBy("from_row").agg(F.count("*").alias("n"))

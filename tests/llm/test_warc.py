@@ -66,3 +66,25 @@ def test_records(frame):
 
 def test_empty_table(frame):
     assert warc.resolve_revisits(frame([], SCHEMA)).collect() == []
+
+
+def test_only_complete_responses_are_sources(frame):
+    def record(i, kind, status, tag, body=None, more=""):
+        head = f"WARC/1.1\r\nWARC-Type: {kind}\r\nWARC-Target-URI: http://a.org/x\r\nWARC-Date: 2024-01-02T03:04:{i:02d}Z\r\n{more}"
+        if kind == "revisit":
+            head += "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/server-not-modified"
+        return i, head, f"HTTP/1.1 {status}\r\nETag: {tag}", body
+
+    rows = [record(1, "response", "200 OK", "a", "whole"), record(2, "response", "503 Service Unavailable", "b", "sorry"),
+            record(3, "response", "206 Partial Content", "a", "wh"), record(4, "response", "304 Not Modified", "a"),
+            record(5, "response", "200 OK", "a", "who", "WARC-Truncated: length\r\n"), (6, rows_without_status(6), "ETag: a", "?"),
+            record(7, "revisit", "304 Not Modified", "a"), record(8, "response", "200", "c", "new"), record(9, "revisit", "304 Not Modified", "c")]
+    schema = "record_id long, warc string, http string, body string"
+    got = {r["capture_id"]: r for r in warc.resolve_revisits(warc.read_records(frame(rows, schema))).collect()}
+    assert len(got) == 9
+    assert {i: (got[i]["status"], got[i]["from_id"]) for i in (7, 9)} == {7: ("etag", 1), 9: ("etag", 8)}
+    assert got[7]["body_sha256"] == got[1]["body_sha256"] and got[9]["body_sha256"] == got[8]["body_sha256"]
+
+
+def rows_without_status(at):
+    return f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Target-URI: http://a.org/x\r\nWARC-Date: 2024-01-02T03:04:{at:02d}Z"
