@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from homeledger.session import cut_lineage, scratch_path, scratch_run
+
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -14,3 +19,15 @@ def lower_ascii(c: Column) -> Column:
 
 def ddl(df: DataFrame, *columns: str) -> str:
     return ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in columns)
+
+
+def scratched(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Write what ``build`` returns, and delete the scratch tables it wrote on the way. Its first argument
+    is a DataFrame."""
+    @wraps(build)
+    def run(df: DataFrame, *args, **named) -> DataFrame:
+        spark = df.sparkSession
+        path = scratch_path(spark, build.__name__)
+        with scratch_run(spark):
+            return cut_lineage(build(df, *args, **named), path=path)
+    return run

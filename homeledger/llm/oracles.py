@@ -149,9 +149,46 @@ SELECT page_id, host, path, rule, CASE WHEN rule IS NOT NULL THEN label ELSE coa
 FROM marked LEFT JOIN best USING (r)
 """
 
+PREFIX_TRIE = """
+WITH crc_table AS (
+  SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t),
+turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS said FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, list({'role': role, 'said': said} ORDER BY turn NULLS FIRST,
+    left(sha256(length(role) || ':' || role || said), 32)) AS own FROM turns GROUP BY conv_id),
+dealt AS (
+  SELECT conv_id, own, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(range(length(conv_id::VARCHAR)), lambda i: ascii(substr(conv_id::VARCHAR, i + 1, 1))::BIGINT)),
+    lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1]))) % 6 AS h
+  FROM convs, crc_table),
+rebuilt AS (
+  SELECT d.conv_id, list_concat(coalesce(b.own[1:d.h], []), d.own[d.h + 1:]) AS whole
+  FROM dealt d LEFT JOIN convs b ON b.conv_id = d.conv_id - d.conv_id % 100),
+nodes AS (
+  SELECT depth, whole[1:depth] AS path, min(conv_id) AS conv_id, count(*) AS n_convs,
+    count(*) FILTER (depth = len(whole)) AS n_ended,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = len(whole)), '')) AS ends_sha256
+  FROM rebuilt, unnest(range(len(whole) + 1)) AS u(depth) GROUP BY depth, path),
+children AS (
+  SELECT depth - 1 AS depth, path[1:depth - 1] AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1, 2),
+counted AS (
+  SELECT n.*, coalesce(c.n_children, 0) AS n_children, CASE WHEN n.depth = 0 THEN 0 ELSE (n_convs - 1) * length(n.path[n.depth].said) END AS saved
+  FROM nodes n LEFT JOIN children c ON c.depth = n.depth AND c.path = n.path),
+below AS (
+  SELECT up AS depth, path[1:up] AS path, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+  FROM counted, unnest(range(depth + 1)) AS u(up) GROUP BY 1, 2)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, b.n_leaves,
+  b.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM counted n JOIN below b ON b.depth = n.depth AND b.path = n.path
+LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = n.path[1:n.depth - 1]
+"""
+
 ORACLES: dict[str, str] = {
     "op2_warc_revisits": WARC_REVISITS,
     "op3_itq_near_duplicates": NEAR_DUPLICATE_VECTORS,
     "op5_jump_sharding": JUMP_SHARDING,
     "op9_association_urls": ASSOCIATION_URLS,
+    "op12_prefix_trie": PREFIX_TRIE,
 }

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from homeledger.llm import bpe, digests, itq, packing, secrets, sharding, simhash, toxicity, urls, warc
+from homeledger.llm import bpe, digests, itq, notices, packing, prefix_trie, runs, secrets, sharding, simhash, toxicity, urls, warc
 from homeledger.llm import oracles
 
 SHARDS = 40
@@ -108,7 +109,49 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "fingerprint", "component_id")
 
 
+def op11_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = notices.scan_notices(table(spark, sf_dir, "documents"))
+    base, word = F.array_sort(F.array_distinct("places.label")), F.col("places.word")
+    every = F.array_sort(F.array_union("places.label", "spans.label"))
+    return found.select(
+        "doc_id", "n_words", F.size("places").cast("bigint").alias("n_base"), F.array_min(word).alias("first_word"), F.array_max(word).alias("last_word"),
+        F.array_join(base, ",").alias("base_labels"), F.array_join(every, ",").alias("labels"), "score")
+
+
+HEAD_TURNS, CONVERSATIONS = 6, 100  # a conversation takes under 6 turns from the first of its hundred
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = prefix_trie.conversation_turns(table(spark, sf_dir, "conversations"))
+    number = F.col("conv_id")
+    taken = F.crc32(F.encode(number.cast("string"), "UTF-8")) % HEAD_TURNS
+    return prefix_trie.prefix_trie(prefix_trie.with_heads(convs, number - number % CONVERSATIONS, taken, HEAD_TURNS - 1))
+
+
+def with_period(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """One document in ten repeats its words from a place on, both by the checksum of its id; one without an id does not."""
+    h = None if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h is None or h % 10 or not words:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(table(spark, sf_dir, "documents"), rewrite=with_period)
+    best = F.col("best")
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n"))), "")
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"), F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_best_fit_packing, op2_warc_revisits, op3_itq_near_duplicates, op4_secret_scan, op5_jump_sharding, op6_toxicity,
-    op7_forced_boundary_bpe, op8_improbable_features, op9_association_urls, op10_simhash)}
+    op7_forced_boundary_bpe, op8_improbable_features, op9_association_urls, op10_simhash, op11_license_notices,
+    op12_prefix_trie, op13_periodic_runs)}
 ORACLES: dict[str, str] = oracles.ORACLES
