@@ -68,6 +68,20 @@ def test_hot_conversations_are_hashed_in_order(spark, monkeypatch):
     assert got == [(-40, 0, None, 1040, 1, 1, 1039 * 5, prefix_trie.NO_IDS), (-40, 1, -40, 1040, 0, 1, 1039 * 5, ids)]
 
 
+@pytest.mark.parametrize("stride", [1, 3, 8])
+def test_long_tails(spark, monkeypatch, stride):
+    monkeypatch.setattr(prefix_trie, "STRIDE", stride)
+    rng = random.Random(stride)
+    said = lambda n: tuple(("user", rng.choice("abcdef") * rng.randrange(3)) for _ in range(n))
+    head, long = said(9), said(40)
+    convs = {c: head[:rng.randrange(10)] + said(rng.randrange(1, 60)) for c in range(30)}
+    convs |= {50: long, 51: long, 40: long[:25], 52: long[:24], 53: long[:24] + said(9), 54: long[:8]}
+    df = spark.createDataFrame(rows_of(convs), SCHEMA)
+    got = prefix_trie.prefix_trie(prefix_trie.conversation_turns(df))
+    assert {tuple(r) for r in got.collect()} == by_hand(convs)
+    assert got.count() == len(by_hand(convs))
+
+
 def test_ties_and_repeated_rows_are_turns(frame):
     rows = [(1, 0, "user", "b"), (1, 0, "user", "a"), (1, 0, "user", "a"), (2, 0, "user", "a"), (2, 0, "user", "b"), (2, 0, "user", "a")]
     nodes = prefix_trie.prefix_trie(prefix_trie.conversation_turns(frame(rows, "conv_id long, turn long, role string, text string"))).collect()
