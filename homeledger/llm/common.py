@@ -31,3 +31,20 @@ def scratched(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
         with scratch_run(spark):
             return cut_lineage(build(df, *args, **named), path=path)
     return run
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or the first of ``name_1``, ``name_2`` ... that is no column of ``df``; case does not count."""
+    taken = {c.lower() for c in df.columns}
+    return next(x for x in (name, *(f"{name}_{i}" for i in range(1, len(taken) + 2))) if x.lower() not in taken)
+
+
+BROADCAST_ROWS = 250_000  # of one number each: a few megabytes
+
+
+def within_rows(df: DataFrame, numbers: DataFrame, row: str, kept: bool = True) -> DataFrame:
+    """The rows of ``df`` whose number is among ``numbers``, or not. Few numbers are broadcast, more are joined by a shuffle."""
+    numbers = cut_lineage(numbers, "numbers")
+    if numbers.count() <= BROADCAST_ROWS:
+        numbers = F.broadcast(numbers)
+    return df.join(numbers, row, "left_semi" if kept else "left_anti")

@@ -167,17 +167,8 @@ def links(distinct: DataFrame, radius: int = RADIUS, bucket_rows: int = BUCKET)
         .mapInArrow(_search(radius), "a bigint, b bigint"))
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS,
-                    radius: int = RADIUS, verify: bool = True) -> DataFrame:
-    """(key, fp, component_id): the smallest key reachable through links, itself included.
-
-    Links are those of ``copies`` (five-word shingles, verified by Jaccard); without ``verify``, those
-    of fingerprints within ``radius`` alone.
-    """
-    if verify:
-        from homeledger.llm.copies import near_copies
-
-        return near_copies(docs, key, text, words)
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
+    """(key, fp, component_id): the smallest key reachable through links, itself included."""
     prints = cut_lineage(fingerprints(docs, key, text, words), "prints")
     distinct = cut_lineage(prints.groupBy("fp").agg(F.min(key).alias("least"), F.count("*").alias("n")), "distinct")
     found = components(links(distinct, radius))

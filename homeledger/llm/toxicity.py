@@ -25,9 +25,8 @@ import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from homeledger.llm.common import ddl
 from homeledger.session import cut_lineage
 
 TRAIN_ROWS = 20_000
@@ -126,7 +125,8 @@ def with_features(docs: DataFrame, lexicons: list[Lexicon], keep: list[str], tex
             rows = [features(t, lexicons[i]) for t, i in zip(texts, which)]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(rows, pa.list_(pa.float64()))], names=[*keep, "features"])
 
-    out = docs.select(text, *keep).mapInArrow(run, f"{ddl(docs, *keep)}, features array<double>")
+    rows = docs.select(text, *keep)
+    out = rows.mapInArrow(run, T.StructType([*rows.schema.fields[1:], T.StructField("features", T.ArrayType(T.DoubleType()))]))
     return out.withColumn("features", array_to_vector("features"))
 
 
@@ -175,15 +175,18 @@ class Toxicity:
     def __init__(self, lexicon: Lexicon, trees, calibration):
         self.lexicon, self.trees, self.calibration = lexicon, trees, calibration
 
-    def score(self, docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-        """``keep`` columns and ``score``, 0 to 1. Equal calibrated scores keep the trees' order by
+    def score(self, docs: DataFrame, keep: list[str], text: str = "text", into: str = "score") -> DataFrame:
+        """``keep`` columns, whatever their names, and the score, 0 to 1. Equal calibrated scores keep the trees' order by
         a thousandth."""
+        rest = [F.col(f"`{c}`") for c in keep]
         if self.trees is None:
-            return docs.select(*keep, F.lit(0.0).alias("score"))
-        raw = self.trees.transform(with_features(docs, [self.lexicon], keep, text)).select(
-            *keep, vector_to_array("probability")[1].alias("raw"))
-        return self.calibration.transform(raw).select(
-            *keep, F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("calibrated") * 0.999 + F.col("raw") * 0.001)).alias("score"))
+            return docs.select(*rest, F.lit(0.0).alias(into))
+        # the models add columns of fixed names; those of the rows travel in a struct
+        narrow = docs.select(F.col(f"`{text}`").alias("text"), F.struct(*rest).alias("kept"))
+        raw = self.trees.transform(with_features(narrow, [self.lexicon], ["kept"])).select(
+            "kept", vector_to_array("probability")[1].alias("raw"))
+        score = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("calibrated") * 0.999 + F.col("raw") * 0.001))
+        return self.calibration.transform(raw).select(*[F.col("kept")[c].alias(c) for c in keep], score.alias(into))
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", label: str = "toxic",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import oracle
 import __spark_entry__ as contract
 import corpus_pipeline
-from homeledger.llm import queries, secrets, simhash, toxicity
+from homeledger.llm import copies, queries, secrets, toxicity
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are not here")
@@ -48,7 +48,7 @@ def test_stages_keep_the_columns_and_have_their_effect(spark):
     assert {r["doc_id"] for r in left.select("doc_id").collect()} == low
     one = corpus_pipeline.drop_near_duplicates(spark, docs, SF_DIR)
     assert one.columns == docs.columns
-    groups = simhash.near_duplicates(docs).collect()
+    groups = copies.near_copies(docs).collect()
     assert sorted(r["doc_id"] for r in one.select("doc_id").collect()) == sorted({r["component_id"] for r in groups})
     clean = {r["doc_id"]: r["text"] for r in corpus_pipeline.mask_secrets(spark, docs, SF_DIR).collect()}
     assert clean == {r["doc_id"]: secrets.redact(r["text"], secrets.all_spans(r["text"]), "[SECRET]") for r in docs.collect()}
@@ -74,3 +74,24 @@ def test_stages_on_odd_rows(frame, spark):
         else:
             assert out.count() == 5
         assert stage(spark, docs.limit(0), SF_DIR).count() == 0
+
+
+def test_stages_take_odd_rows(spark):
+    """Repeated ids, null ids and texts, and columns with the names that the stages use inside."""
+    docs = queries.table(spark, SF_DIR, "documents").limit(60)
+    rows = [(*r, *range(9)) for r in docs.collect()]
+    first = rows[0]
+    texts = ["one two three four five six seven", "quite another text of some more words than seven", None, None]
+    rows += [(first[0], t, *first[2:]) for t in texts] + [(None, t, *first[2:]) for t in ("no id at all here", None)]
+    names = ["score", "features", "raw", "prediction", "row", "entry", "digest", "piece", "`a.b"]
+    extra = ", ".join(f"`{n.replace('`', '``')}` int" for n in names)
+    odd = spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars long, {extra}")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        left = stage(spark, odd, SF_DIR)
+        assert left.columns == odd.columns and left.dtypes == odd.dtypes
+        assert left.count() <= odd.count() and stage(spark, odd.limit(0), SF_DIR).count() == 0
+    left = corpus_pipeline.drop_near_duplicates(spark, odd, SF_DIR)
+    kept = [(r["doc_id"], r["text"]) for r in left.collect()]
+    assert {(first[0], t) for t in texts[:2]} <= set(kept)
+    assert sum(1 for _, t in kept if not (t or "").split()) == 1 and (None, "no id at all here") in kept
+    assert corpus_pipeline.pack(spark, odd, SF_DIR).count() >= len(rows)
