@@ -11,24 +11,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from homeledger.llm import copies, packing, secrets, toxicity
+from homeledger.llm.common import free_name
 from homeledger.llm.queries import table, vocabulary
 from homeledger.session import cut_lineage
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below the threshold, null and empty texts among them."""
-    key = F.col("doc_id")
+    key, score = F.col("doc_id"), free_name(docs, "score")
     scorer = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~toxicity.held_out(key))
-    return scorer.score(docs, docs.columns).where(F.col("score") < toxicity.THRESHOLD).select(*docs.columns)
+    return scorer.score(docs, docs.columns, into=score).where(F.col(score) < toxicity.THRESHOLD).drop(score)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies (five-word shingles, Jaccard
-    0.8 or more); one row of repeated ids. Rows without an id stay."""
-    groups = copies.near_copies(docs)
-    kept = cut_lineage(groups.where("doc_id = component_id").select("doc_id").distinct(), "kept")
-    with_id = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return with_id.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    """The row with the smallest id (null last) of each group of near copies: five-word shingles, Jaccard 0.8 or
+    more. Rows of one id are told apart."""
+    return copies.without_copies(docs)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
