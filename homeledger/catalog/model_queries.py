@@ -274,15 +274,19 @@ def score_requests(spark, sf):
 
 # ---- streams ------------------------------------------------------------------------
 
-@query("stream_ad_ingest", f"SELECT DISTINCT AdId, ListId, Subject, NgayDang FROM ({D.flat_ads()})")
+@query("stream_ad_ingest", f"SELECT {', '.join(S.FLAT_AD_COLUMNS)} FROM ({D.flat_ads()})")
 def stream_ad_ingest(spark, sf):
-    """Pages land in four batches, newest ads first, the last of them with every page again."""
-    pages = I.page_texts(spark, sf)
+    """Pages land in four batches, newest ads first. The third brings each of its pages twice, the last
+    every page again, with another price text: the first one stays."""
+    pages = I.page_texts(spark, sf).select("page_id", "page")
+    again = pages.withColumn("page", F.replace("page", F.lit('"price_string":"'), F.lit('"price_string":"later ')))
     landed, out, state = (scratch_path(spark, n) for n in ("pages", "ads", "state"))
-    for batch in (pages.where("page_id % 3 = 2"), pages.where("page_id % 3 = 1"), pages.where("page_id % 3 = 0"), pages):
-        batch.select(F.col("page").alias("value")).write.mode("append").text(landed)
-        jobs.land_ads(jobs.read_page_stream(spark, landed), out, state).awaitTermination()
-    return spark.read.parquet(out).select("AdId", "ListId", "Subject", "NgayDang")
+    third = "page_id % 3 = 0"
+    for batch in ([pages.where("page_id % 3 = 2")], [pages.where("page_id % 3 = 1")], [pages.where(third), again.where(third)], [again]):
+        for part in batch:
+            part.select(F.col("page").alias("value")).write.mode("append").text(landed)
+        jobs.land_ads(jobs.read_page_stream(spark, landed), out, state, crawl_time=F.lit(I.CRAWL_TIME)).awaitTermination()
+    return spark.read.parquet(out)
 
 
 def listing_stream(spark, sf, columns):
@@ -383,7 +387,7 @@ def three_source_run(spark, sf):
     landed = I.raw_columns(I.raw(spark, sf)).where(F.col("source") == "huggingface")
     hf = runs.std.standardize(landed, "huggingface")
     return run_facts(runs.three_source_run(
-        spark, hf, I.ads_csv(spark, sf), I.ragged_csv(spark, sf), scratch_path(spark, "run"), settings=SMALL, multi_line=True,
+        spark, hf, I.ads_csv(spark, sf), I.ragged_csv(spark, sf), scratch_path(spark, "run"), settings=SMALL,
         train_start="1990-01-01", train_end="1999-12-31", test_start="2000-01-01", test_end="2001-12-31"))
 
 

@@ -48,14 +48,14 @@ def ragged_sql() -> str:
 
 @query("scan_ragged_csv", ragged_sql())
 def scan_ragged_csv(spark, sf):
-    return listings.scan_ragged_csv(spark, I.ragged_csv(spark, sf), multi_line=True).drop("row_id")
+    return listings.scan_ragged_csv(spark, I.ragged_csv(spark, sf)).drop("row_id")
 
 
 @query("ragged_profile", "SELECT count(*) FILTER (row_id % 10 > 2) AS valid_rows, "
        "count(*) FILTER (row_id % 10 = 2) AS header_rows, "
        f"count(*) FILTER (row_id % 10 < 2) AS skipped_rows FROM ({RAW})")
 def ragged_profile(spark, sf):
-    return listings.ragged_profile(listings.read_ragged_csv(spark, I.ragged_csv(spark, sf), multi_line=True))
+    return listings.ragged_profile(listings.read_ragged_csv(spark, I.ragged_csv(spark, sf)))
 
 
 @query("map_positional_columns", "SELECT row_id, name, description, property_type_name, province_name, district_name, "
@@ -142,6 +142,18 @@ def scan_csv_order(spark, sf):
         F.col("number").cast("bigint").alias("row_id"))
 
 
+_NOTE = "'row ' || row_id || CASE row_id % 5 WHEN 0 THEN chr(10) || 'second, \"line\"' WHEN 1 THEN ', comma' WHEN 2 THEN chr(10) || chr(10) || '\",' || chr(10) ELSE '' END"
+
+
+@query("scan_csv_records", f"SELECT row_id, {_NOTE} AS note, published_at FROM ({FACTS})")
+def scan_csv_records(spark, sf):
+    """Fields with line breaks, commas and quotes, in files that are split within records."""
+    df = I.facts(spark, sf).select("row_id", F.expr(_NOTE.replace("chr(10)", "char(10)").replace(" || ", "||")).alias("note"), "published_at")
+    path = outputs.write_table(df, scratch_path(spark, "records"), "csv")
+    return listings.read_headered_csv(spark, path).select(
+        F.col("row_id").cast("bigint").alias("row_id"), "note", F.col("published_at").cast("timestamp_ntz").alias("published_at"))
+
+
 @query("write_datasets", f"""
 WITH c AS ({D.cleaned(D.typed_standard(LISTINGS))})
 SELECT 'clean' AS name, posted_year, posted_month, count(*) AS "rows", round(sum(price), 0) AS money FROM c GROUP BY ALL

@@ -138,19 +138,18 @@ def _scratch(spark: SparkSession, folder: str | None):
 
 def three_source_run(spark: SparkSession, hf: DataFrame, chotot_csv: str, mogi_csv: str, folder: str,
                      limits: Limits = DEFAULT_LIMITS, settings: ModelSettings = ModelSettings(),
-                     multi_line: bool = False, **ranges: str) -> RunResult:
+                     **ranges: str) -> RunResult:
     """Landed listings, ad CSV and ragged CSV to a trained model with a fixed split.
 
     ``hf`` is a standardised table (``scan_clean_cache`` or ``bounded_filtered_scan``).
-    ``multi_line`` reads CSV files whose quoted fields hold line breaks, one task per file.
     """
     with scratch_run(spark):
-        return _three_sources(spark, hf, chotot_csv, mogi_csv, folder, limits, settings, multi_line, ranges)
+        return _three_sources(spark, hf, chotot_csv, mogi_csv, folder, limits, settings, ranges)
 
 
-def _three_sources(spark, hf, chotot_csv, mogi_csv, folder, limits, settings, multi_line, ranges) -> RunResult:
-    chotot = listings.dedupe_source(listings.scan_listing_csv(spark, chotot_csv, multi_line=multi_line), "chotot")
-    mogi = listings.dedupe_source(listings.scan_ragged_csv(spark, mogi_csv, multi_line=multi_line), "mogi")
+def _three_sources(spark, hf, chotot_csv, mogi_csv, folder, limits, settings, ranges) -> RunResult:
+    chotot = listings.dedupe_source(listings.scan_listing_csv(spark, chotot_csv), "chotot")
+    mogi = listings.dedupe_source(listings.scan_ragged_csv(spark, mogi_csv), "mogi")
     stored = outputs.write_datasets(
         {"hf_schema_raw": hf, "chotot_schema_raw": chotot, "mogi_schema_raw": mogi}, folder)
     parts = [spark.read.parquet(p) for p in stored.values()]

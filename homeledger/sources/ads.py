@@ -56,7 +56,7 @@ def truthy_coalesce(*columns: Column) -> Column:
 
 
 def _false_names(flags: Column, names: Sequence[str]) -> Column:
-    """The fields whose JSON value is the literal false."""
+    """The fields whose JSON value is the literal false; none without flags."""
     named = F.array(*[F.when(~flags[n], F.lit(n)) for n in names])
     return F.filter(named, lambda n: n.isNotNull())
 
@@ -66,32 +66,45 @@ def first_true(record: Column, *names: str) -> Column:
     return F.coalesce(*[F.when(~F.array_contains(record["untrue"], n), truthy(record[n])) for n in names])
 
 
-def parse_ad(text: Column) -> Column:
-    """An ad object from JSON text: its fields as text, the names of those that are ``false``
-    in ``untrue``, and its details as one map from lower-case name to value.
+def _parsed_or_null(text: Column, flags: T.StructType) -> Column:
+    """The booleans among the fields, parsed only where the word ``false`` occurs at all."""
+    return F.when(F.contains(text, F.lit("false")), F.from_json(text, flags))
 
-    A detail's value is the first truthy of its value, value name and label, even if none is.
-    The first item of the lists that carries a name decides. Items that are no object are
-    skipped.
+
+def _details(ad: Column) -> Column:
+    """The items of the detail lists in order: their names in lower case, and their value.
+
+    Each item is parsed once: the first ``transform`` makes structs, and the next one reads fields
+    of those. An expression inside a lambda is evaluated wherever it stands, so a parser must not
+    stand in one more than once.
     """
-    ad, flags = F.from_json(text, _AD_TEXT), F.from_json(text, _AD_FLAGS)
     empty = F.array().cast("array<string>")
     texts = F.filter(F.concat(*[F.coalesce(ad[c], empty) for c in PARAM_CONTAINERS]), lambda t: F.ltrim(t).startswith("{"))
+    items = F.transform(texts, lambda t: F.struct(F.from_json(t, _PARAM).alias("item"), _parsed_or_null(t, _PARAM_FLAGS).alias("flags")))
 
-    def pairs(t: Column) -> Column:
-        item, false = F.from_json(t, _PARAM), F.from_json(t, _PARAM_FLAGS)
-        record = {f: F.when(F.coalesce(false[f], F.lit(True)), item[f]) for f in ("value", "value_name", "label")}
-        value = truthy_coalesce(*record.values())
+    def detail(x: Column) -> Column:
+        item, flags = x["item"], x["flags"]
+        record = [F.when(F.coalesce(flags[f], F.lit(True)), item[f]) for f in ("value", "value_name", "label")]
         names = F.array(*[F.lower(item[f]) for f in ("id", "name", "label", "key")])
-        return F.transform(F.filter(F.array_distinct(names), lambda n: n.isNotNull()),
-                           lambda n: F.struct(n.alias("key"), value.alias("value")))
+        return F.struct(names.alias("names"), truthy_coalesce(*record).alias("value"))
+
+    return F.transform(items, detail)
 
-    found = F.flatten(F.transform(texts, pairs))
-    keys = F.transform(found, lambda e: e["key"])
-    first = F.filter(found, lambda e, i: F.array_position(keys, e["key"]) == i + 1)
-    return F.struct(
-        *[ad[f].alias(f) for f in _TOP], _false_names(flags, _TOP).alias("untrue"),
-        first.alias("details"))
+
+def parse_ads(df: DataFrame, text: str = "ad_json") -> DataFrame:
+    """Column ``text`` of ad objects replaced by ``ad``: the fields as text, the names of those that are
+    ``false`` in ``untrue``, and the items of the detail lists in ``details``.
+
+    An item's value is the first truthy of its value, value name and label, even if none is. Items that
+    are no object are skipped. Each step passes an ``inline`` of one element, behind which its result is a column,
+    not an expression to be evaluated again.
+    """
+    rest = [F.col(c) for c in df.columns if c != text]
+    parsed = df.select(*rest, F.inline(F.array(F.struct(
+        F.from_json(F.col(text), _AD_TEXT).alias("_ad"), _parsed_or_null(F.col(text), _AD_FLAGS).alias("_flags")))))
+    ad = F.col("_ad")
+    return parsed.select(*rest, F.inline(F.array(F.struct(F.struct(
+        *[ad[f].alias(f) for f in _TOP], _false_names(F.col("_flags"), _TOP).alias("untrue"), _details(ad).alias("details")).alias("ad")))))
 
 
 def read_ad_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -100,18 +113,16 @@ def read_ad_pages(spark: SparkSession, path: str, multi_line: bool = False) -> D
     return spark.read.schema(PAGE_SCHEMA).option("multiLine", multi_line).json(path)
 
 
-def explode_ad_pages(pages: DataFrame) -> DataFrame:
+def explode_ad_pages(pages: DataFrame, place: str | None = None) -> DataFrame:
     """One row per ad object: ``ads`` if it has elements, else ``data``.
 
-    Other columns of ``pages`` stay. Elements that are no object are skipped.
+    Other columns of ``pages`` stay. Elements that are no object are skipped. ``place`` names a
+    column for the ad's place in its page.
     """
     chosen = F.when(F.size("ads") > 0, F.col("ads")).otherwise(F.col("data"))
     rest = [c for c in pages.columns if c not in ("ads", "data")]
-    return (
-        pages.select(*rest, F.explode(chosen).alias("ad_json"))
-        .where(F.ltrim("ad_json").startswith("{"))
-        .select(*rest, F.inline(F.array(F.struct(parse_ad(F.col("ad_json")).alias("ad")))))
-    )
+    found = F.posexplode(chosen).alias(place, "ad_json") if place else F.explode(chosen).alias("ad_json")
+    return parse_ads(pages.select(*rest, found).where(F.ltrim("ad_json").startswith("{")))
 
 
 def extract_param(ad: Column, keys: Sequence[str]) -> Column:
@@ -123,7 +134,7 @@ def extract_param(ad: Column, keys: Sequence[str]) -> Column:
     """
     top = [F.nullif(ad[k], F.lit("")) for k in keys if k in _TOP]
     wanted = F.array(*[F.lit(k.lower()) for k in keys])
-    found = F.filter(ad["details"], lambda e: F.array_contains(wanted, e["key"]))
+    found = F.filter(ad["details"], lambda e: F.arrays_overlap(e["names"], wanted))
     return F.coalesce(*top, F.get(found, F.lit(0))["value"])
 
 

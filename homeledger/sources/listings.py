@@ -12,6 +12,7 @@ from homeledger.operators.dedupe import keep_first
 from homeledger.operators.selection import first_rows
 from homeledger.operators.standardize import standardize
 from homeledger.session import cut_lineage, drop_folder, scratch_path
+from homeledger.sources.records import has_broken_records, place_in_files, read_records
 
 # --- fixed values: words a headered CSV uses for "no value" ---
 NULL_WORDS = [
@@ -24,26 +25,29 @@ HEADER_WORDS = ["name", "title", "tên tin"]
 CORRUPT = "_corrupt_record"
 
 
-def place_in_files() -> Column:
-    """Where a row stands: file, start of its block, place in the task that reads the block. The
-    order is that of the files whatever the number of cores and the size of splits."""
-    return F.struct(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("place"))
+_CSV = {"escape": '"', "mode": "PERMISSIVE"}
 
 
-def read_headered_csv(spark: SparkSession, path: str, multi_line: bool = False, numbered: bool = False) -> DataFrame:
+def read_headered_csv(spark: SparkSession, path: str, numbered: bool = False) -> DataFrame:
     """Headered UTF-8 CSV, all columns text, null words as null.
 
-    Names come from the header line alone; nothing is inferred from the data.
-    ``multi_line`` allows line breaks inside quotes, at the price of one task per file.
-    ``numbered`` adds ``row_id``, the place in the files.
+    Names come from the header line alone; nothing is inferred from the data. Quoted fields may hold line
+    breaks, and files stay split: where a look at the lines finds such a field, records are
+    put together from lines (``records``), else lines are read as they are. ``numbered`` adds
+    ``row_id``, the place in the files.
     """
-    raw = (spark.read.option("header", True).option("multiLine", multi_line)
-           .option("escape", '"').option("inferSchema", False).csv(path))
-    place = [place_in_files().alias("row_id")] if numbered else []
-    return raw.select(*place, *[
-        F.when(~F.col(f"`{c}`").isin(NULL_WORDS), F.col(f"`{c}`")).alias(c) for c in raw.columns])
+    raw = spark.read.options(**_CSV, header=True, inferSchema=False).csv(path)
+    names = raw.columns
+    if has_broken_records(spark, path):
+        fields = ", ".join(f"_{i} string" for i in range(len(names)))
+        parsed = read_records(spark, path).where(~F.col("first")).select(
+            "row_id", F.inline(F.array(F.from_csv("record", fields, _CSV))))
+        place = F.col("row_id")
+        columns = [F.col(f"_{i}") for i in range(len(names))]
+    else:
+        parsed, place, columns = raw, place_in_files(), [F.col(f"`{c}`") for c in names]
+    return parsed.select(*[place.alias("row_id")] * numbered, *[
+        F.when(~c.isin(NULL_WORDS), c).alias(name) for name, c in zip(names, columns)])
 
 
 def _or_empty(read, spark: SparkSession, missing: str) -> DataFrame:
@@ -110,7 +114,7 @@ def numeric_columns(df: DataFrame, columns: list[str]) -> list[str]:
 
 
 def scan_listing_csv(spark: SparkSession, path: str, variant: str = "fixed", price: str = "number",
-                     missing: str = "empty", multi_line: bool = False) -> DataFrame:
+                     missing: str = "empty") -> DataFrame:
     """Headered CSV of flat ads to the common schema, standardised, duplicates kept.
 
     ``price`` says how money and area are stored: ``number``, ``text``, or ``infer``,
@@ -118,7 +122,7 @@ def scan_listing_csv(spark: SparkSession, path: str, variant: str = "fixed", pri
     ``row_id`` is the place in the files, which settles which duplicate came first.
     """
     def read() -> DataFrame:
-        raw = read_headered_csv(spark, path, multi_line, numbered=True)
+        raw = read_headered_csv(spark, path, numbered=True)
         money = ["PriceVND", "AreaM2"]
         if price == "infer":
             money = numeric_columns(raw, money)
@@ -131,15 +135,16 @@ def scan_listing_csv(spark: SparkSession, path: str, variant: str = "fixed", pri
     return _or_empty(read, spark, missing)
 
 
-def read_ragged_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_ragged_csv(spark: SparkSession, path: str) -> DataFrame:
     """Headerless CSV with 13 text columns; a row of another width is kept whole in
-    ``_corrupt_record``. ``multi_line`` as for headered files."""
+    ``_corrupt_record``. Line breaks in fields as for headered files."""
     schema = T.StructType([*S.POSITIONAL_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
+    options = {**_CSV, "columnNameOfCorruptRecord": CORRUPT}
+    if has_broken_records(spark, path):
+        fields = ", ".join(f"{f.name} string" for f in schema)
+        return read_records(spark, path).select(F.inline(F.array(F.from_csv("record", fields, options))), "row_id")
     # every field must be parsed to count them, whichever columns are used
-    raw = (spark.read.schema(schema).option("header", False).option("multiLine", multi_line)
-           .option("columnPruning", False)
-           .option("escape", '"').option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+    raw = spark.read.schema(schema).options(**options, header=False, columnPruning=False).csv(path)
     return raw.select("*", place_in_files().alias("row_id"))
 
 
@@ -173,11 +178,10 @@ def map_positional_columns(raw: DataFrame) -> DataFrame:
         F.lit("mogi").alias("source"), F.col("url").alias("source_link"), *extra)
 
 
-def scan_ragged_csv(spark: SparkSession, path: str, missing: str = "empty", check: bool = True,
-                    multi_line: bool = False) -> DataFrame:
+def scan_ragged_csv(spark: SparkSession, path: str, missing: str = "empty", check: bool = True) -> DataFrame:
     """Ragged CSV to the common schema, standardised, duplicates kept."""
     def read() -> DataFrame:
-        valid = ragged_valid(read_ragged_csv(spark, path, multi_line))
+        valid = ragged_valid(read_ragged_csv(spark, path))
         if check and valid.isEmpty():
             raise ValueError(f"no row with {len(S.POSITIONAL_COLUMNS)} fields in {path}")
         return standardize(map_positional_columns(valid), "mogi")
@@ -219,10 +223,10 @@ def bounded_filtered_scan(df: DataFrame, province: str = S.HCMC, property_type:
     return kept
 
 
-def scan_clean_cache(spark: SparkSession, path: str, variant: str = "fixed", multi_line: bool = False) -> DataFrame:
+def scan_clean_cache(spark: SparkSession, path: str, variant: str = "fixed") -> DataFrame:
     """A clean table written earlier, parquet or headered CSV, standardised again."""
     if path.endswith(".csv"):
-        df = type_numbers(read_headered_csv(spark, path, multi_line), ["price", "area", *S.NUMERIC_COLUMNS])
+        df = type_numbers(read_headered_csv(spark, path), ["price", "area", *S.NUMERIC_COLUMNS])
     else:
         df = spark.read.parquet(path)
     return standardize(df, "huggingface", variant)

@@ -2,57 +2,102 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from homeledger import schema as S
+from homeledger.operators.dedupe import keep_first
 from homeledger.operators.models import PriceModel
 from homeledger.sources import ads
 
 
+ARRIVAL = "arrival"
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines of a task with their running number: streams have no expression for it."""
+    done = 0
+    for batch in batches:
+        number = pa.array(range(done, done + batch.num_rows), pa.int64())
+        done += batch.num_rows
+        yield pa.RecordBatch.from_arrays([*batch.columns, number], names=[*batch.schema.names, "number"])
+
+
 def read_page_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """New page documents, one per line, as files arrive in a folder."""
-    reader = spark.readStream.schema(ads.PAGE_SCHEMA)
+    """New page documents, one per line, as files arrive in a folder, with ``arrival``, a text that orders
+    them: time of the file, its name, block and line."""
+    reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.json(path)
+    digits = lambda c: F.lpad(c.cast("string"), 20, "0")
+    file = F.concat_ws("/", digits(F.unix_micros(F.col("_metadata.file_modification_time"))), F.col("_metadata.file_path"),
+                       digits(F.col("_metadata.file_block_start")))
+    lines = reader.text(path).select("value", file.alias("file")).mapInArrow(_counted, "value string, file string, number bigint")
+    return lines.select(F.from_json("value", ads.PAGE_SCHEMA).alias("page"), F.concat_ws("/", "file", digits(F.col("number"))).alias(ARRIVAL)).select(
+        "page.ads", "page.data", ARRIVAL)
 
 
-def flat_pages(pages: DataFrame, zone: str = "UTC") -> DataFrame:
+def flat_pages(pages: DataFrame, zone: str = "UTC", crawl_time: Column | None = None) -> DataFrame:
     """Flat ads of a stream or a batch of pages, repeats included."""
-    crawl = F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
-    return ads.flatten_ad(ads.explode_ad_pages(pages), crawl, zone)
+    crawl = F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss") if crawl_time is None else crawl_time
+    if ARRIVAL not in pages.columns:
+        return ads.flatten_ad(ads.explode_ad_pages(pages), crawl, zone)
+    place = F.lpad(F.col("place").cast("string"), 10, "0")
+    flat = ads.flatten_ad(ads.explode_ad_pages(pages, "place"), crawl, zone)
+    return flat.withColumn(ARRIVAL, F.concat_ws("/", ARRIVAL, place)).drop("place")
+
+
+def ingest_ads(pages: DataFrame, zone: str = "UTC", crawl_time: Column | None = None) -> DataFrame:
+    """Flat ads without repeats, on a batch of pages with ``arrival``: of repeats the first stays."""
+    return keep_first(flat_pages(pages, zone, crawl_time), S.DEDUPE_KEYS["crawl"], [ARRIVAL]).select(*S.FLAT_AD_COLUMNS)
 
 
-def ingest_ads(pages: DataFrame, zone: str = "UTC") -> DataFrame:
-    """Flat ads without repeats, on a batch of pages."""
-    return flat_pages(pages, zone).dropDuplicates(S.DEDUPE_KEYS["crawl"])
+class FirstArrival(StatefulProcessor):
+    """Lets the first row of a key pass, once. The state of a key is when that row arrived."""
 
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.first = handle.getValueState("first", f"{ARRIVAL} string")
 
-def land_ads(pages: DataFrame, path: str, checkpoint: str, zone: str = "UTC") -> StreamingQuery:
-    """Work off the pages that have arrived, append the ads that the table lacks, and stop.
+    def handleInputRows(self, key, rows, timerValues) -> Iterator:
+        best = None
+        for part in rows:
+            row = part.sort_values(ARRIVAL).head(1)
+            if best is None or row[ARRIVAL].iat[0] < best[ARRIVAL].iat[0]:
+                best = row
+        if best is not None and not self.first.exists():
+            self.first.update((best[ARRIVAL].iat[0],))
+            yield best.drop(columns=[ARRIVAL])
 
-    A batch is compared with the keys already written, so a repeat is recognised however late
-    it comes, an ad of any age is kept, and a batch that is run again adds nothing twice. The
-    comparison reads the key columns alone.
+    def close(self) -> None:
+        pass
+
+
+def first_arrivals(flat: DataFrame) -> DataFrame:
+    """A stream of flat ads, each ad (AdId, ListId, Subject) once, as it came first."""
+    return flat.groupBy(*S.DEDUPE_KEYS["crawl"]).transformWithStateInPandas(
+        FirstArrival(), outputStructType=flat.drop(ARRIVAL).schema, outputMode="append", timeMode="none")
+
+
+def land_ads(pages: DataFrame, path: str, checkpoint: str, zone: str = "UTC", crawl_time: Column | None = None) -> StreamingQuery:
+    """Work off the pages that have arrived, append the ads that are new, and stop.
+
+    Each key's first arrival is held in a keyed state (RocksDB, in the checkpoint), so an ad
+    of any age is recognised, nothing that landed is read again, and a batch costs what it
+    brings. Of repeats the first stays, within a batch and across batches and restarts. The sink's log keeps a batch
+    that is run again from adding rows. The state grows with the number of ads ever seen.
     """
-    keys = S.DEDUPE_KEYS["crawl"]
-
-    def append(batch: DataFrame, _: int) -> None:
-        fresh = ingest_ads(batch, zone)
-        try:
-            known = batch.sparkSession.read.parquet(path).select(*keys)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-        else:
-            same = [fresh[k].eqNullSafe(known[k]) for k in keys]
-            fresh = fresh.join(known, same, "left_anti")
-        fresh.write.mode("append").parquet(path)
-
-    return (pages.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+    spark = pages.sparkSession
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKS_DB)  # a query takes its settings when it starts
+    try:
+        return write_stream(first_arrivals(flat_pages(pages, zone, crawl_time)), path, checkpoint)
+    finally:
+        spark.conf.set(STATE_STORE, before)
 
 
 def daily_coverage(listings: DataFrame, delay: str = "1 day", time: str = "published_at") -> DataFrame:

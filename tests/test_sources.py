@@ -20,7 +20,7 @@ def test_headered_csv(spark, tmp_path):
         'Subject,PriceVND,AreaM2,District,CrawlDate,Link\n'
         '"Căn hộ ""A"", đẹp\ncó sân",2000000000,50,Quận 7,2026-01-02 03:04:05,http://x\n'
         'N/A,abc,NULL,none,,\n'), "utf-8-sig")
-    rows = listings.scan_listing_csv(spark, path, multi_line=True).orderBy("row_id").collect()
+    rows = listings.scan_listing_csv(spark, path).orderBy("row_id").collect()
     a, b = rows
     assert a["name"] == 'Căn hộ "A", đẹp có sân' and a["price"] == 2e9 and a["area"] == 50.0 and a["district_name"] == "7"
     assert a["ward_name"] == "Unknown" and a["province_name"] == "Hồ Chí Minh" and a["published_at"].year == 2026
@@ -59,12 +59,12 @@ RAGGED = (
 
 def test_ragged_csv(spark, tmp_path):
     path = write(tmp_path / "r.csv", RAGGED.encode("utf-8-sig") + b"D\xff,d,t,p,q,w,s,1 t\xe1\xbb\xb7,50,1,1,07/12/2025,u\n")
-    profile = listings.ragged_profile(listings.read_ragged_csv(spark, path, multi_line=True)).first()
+    profile = listings.ragged_profile(listings.read_ragged_csv(spark, path)).first()
     assert (profile["valid_rows"], profile["header_rows"], profile["skipped_rows"]) == (3, 1, 3)
-    rows = listings.scan_ragged_csv(spark, path, multi_line=True).orderBy("row_id").collect()
+    rows = listings.scan_ragged_csv(spark, path).orderBy("row_id").collect()
     assert [r["name"] for r in rows] == ["A", "A", "D�"]
     assert rows[0]["description"] == 'mô tả, "x" dòng 2' and rows[0]["price"] == 6.6e9 and rows[0]["published_at"].month == 12
-    kept = listings.dedupe_source(listings.scan_ragged_csv(spark, path, multi_line=True), "mogi").where("name = 'A'").collect()
+    kept = listings.dedupe_source(listings.scan_ragged_csv(spark, path), "mogi").where("name = 'A'").collect()
     assert [r["source_link"] for r in kept] == ["http://a"]  # the first in the file
 
 
@@ -139,20 +139,21 @@ def test_ad_details(spark):
 
 # ---- streams and runs ---------------------------------------------------------------
 
-def test_stream_keeps_older_newer_and_repeated_ads(spark, tmp_path):
-    ad = lambda i, day: {"ad_id": i, "list_id": i, "subject": "s", "list_time": 1767225600 + day * 86400}
-    batches = [[ad(i, 10) for i in range(20)] + [{"ad_id": 99, "subject": "no time"}],
-               [ad(i, 5) for i in range(10, 40)] + [ad(7, 20)], [ad(i, 1) for i in range(30, 60)] + [ad(0, 10), {"ad_id": 99, "subject": "no time"}]]
+def test_stream_keeps_the_first_of_repeats_at_any_age(spark, tmp_path):
+    """Three batches, each a new start of the query from its checkpoint."""
+    ad = lambda i, day, **more: {"ad_id": i, "list_id": i, "subject": "s", "list_time": 1767225600 + day * 86400, **more}
+    no_id = lambda text: {"subject": "no id", "price_string": text}
+    batches = [[[ad(i, 10, date="1") for i in range(20)] + [ad(3, 10, date="later in the page"), no_id("a"), no_id("b")]],
+               [[ad(i, 5, date="2") for i in range(10, 40)], [ad(7, 20, date="2"), ad(39, 5, date="next page")]],
+               [[ad(i, 1, date="3") for i in range(30, 60)] + [ad(0, 10, date="3"), no_id("c")]]]
     (tmp_path / "in").mkdir()
-    for n, batch in enumerate(batches):
-        write(tmp_path / "in" / f"p{n}.json", "\n".join(json.dumps({"ads": [x]}) for x in batch))
+    for n, pages in enumerate(batches):
+        write(tmp_path / "in" / f"p{n}.json", "\n".join(json.dumps({"ads": page}) for page in pages))
         jobs.land_ads(jobs.read_page_stream(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
-    batch = jobs.ingest_ads(ads.read_ad_pages(spark, str(tmp_path / "in")))
-    keys = S.DEDUPE_KEYS["crawl"]
-    key = lambda r: tuple(map(str, r))
-    streamed = spark.read.parquet(str(tmp_path / "out")).select(*keys).collect()
-    assert sorted(streamed, key=key) == sorted(batch.select(*keys).collect(), key=key)
-    assert {r[0] for r in streamed} >= {str(i) for i in range(60)}
+    got = {(r["AdId"], r["PostDateText"], r["PriceString"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    want = {(str(i), "1" if i < 20 else "2" if i < 40 else "3", None) for i in range(60)} | {(None, None, "a")}
+    assert got == want and spark.read.parquet(str(tmp_path / "out")).count() == len(want)
+    assert not (tmp_path / "out" / "_temporary").exists()
 
 
 def test_row_order_over_files_of_unequal_size(spark, tmp_path):
@@ -197,3 +198,69 @@ def test_run_summary_maps(spark):
     row = runs.run_summary(df, df.where("source = 'mogi'"), "label", "Random_Forest", {"mode": "merged"}).first()
     assert row["train_source_distribution"] == {"chotot": 1, "mogi": 2} and row["train_rows"] == 4
     assert row["test_source_distribution"] == {"mogi": 2} and row["mode"] == "merged" and row["test_end"].day == 3
+
+
+# ---- records with line breaks -------------------------------------------------------
+
+def broken(path, rows):
+    import csv
+    with open(path, "w", newline="") as f:
+        csv.writer(f, lineterminator="\n").writerows(rows)
+
+
+def test_records_with_line_breaks_from_split_files(spark, tmp_path):
+    """Files in many blocks, quoted line breaks over their borders, lone quotes inside plain fields."""
+    import csv
+    import random
+    rng = random.Random(7)
+    kinds = ["a,b", 'x "y" z', 'l1\nl2,\n\n"q"\nl3', "", ',"', "\n".join(f"m{i}" for i in range(70)), "plain"]
+    want = []
+    for name in "ab":
+        rows = [["id", "one", "two"]] + [[f"{name}{i}", rng.choice(kinds), rng.choice(kinds)] for i in range(300)]
+        broken(tmp_path / f"{name}.csv", rows)
+        with open(tmp_path / f"{name}.csv", "a") as f:
+            f.write('z,5" pipe,plain "x" y\n\n')
+        with open(tmp_path / f"{name}.csv", newline="") as f:
+            want += [tuple(x or None for x in r) for r in csv.reader(f) if r][1:]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+    try:
+        df = listings.read_headered_csv(spark, str(tmp_path), numbered=True)
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 10
+        assert [tuple(r)[1:] for r in df.orderBy("row_id").collect()] == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_plain_and_broken_files_parse_alike(spark, tmp_path):
+    rows = [["Subject", "a b"], ["x", "1"], ["N/A", ""], ["short"], ["long", "2", "3"], [' pad ', '"q"']]
+    broken(tmp_path / "plain.csv", rows)
+    broken(tmp_path / "broken.csv", rows + [["x\ny", "z"]])
+    read = lambda name: [tuple(r) for r in listings.read_headered_csv(spark, str(tmp_path / name), numbered=True).orderBy("row_id").drop("row_id").collect()]
+    assert read("broken.csv") == [*read("plain.csv"), ("x\ny", "z")]
+
+
+def test_ends_inside(spark):
+    from homeledger.sources.records import ends_inside
+    cases = {'a,b': False, '"a': True, '"a","b': True, '"a""b"': False, '"a"",': True, 'a"b': False, 'a,"b,c': True, '""': False, '"': True, 'x,""': False, '"""': True}
+    df = spark.createDataFrame(list(cases.items()), "line string, want boolean")
+    assert df.where(ends_inside(F.col("line")) != F.col("want")).collect() == []
+
+
+def test_ads_cost_grows_with_their_items(spark):
+    """Sixteen items cost little more than four times four: no item is parsed once for each other."""
+    import time
+
+    def seconds(n):
+        page = json.dumps({"ads": [{"ad_id": 1, "params": [{"id": f"p{i}", "value": i} for i in range(n)]}]})
+        pages = spark.range(3000).select(F.from_json(F.lit(page), ads.PAGE_SCHEMA).alias("p")).select("p.*")
+        flat = ads.flatten_ad(ads.explode_ad_pages(pages), F.lit("now"), "UTC")
+        best = []
+        for _ in range(3):
+            start = time.perf_counter()
+            flat.write.format("noop").mode("overwrite").save()
+            best.append(time.perf_counter() - start)
+        return min(best)
+
+    seconds(1)
+    assert seconds(64) <= 5 * seconds(16) + 1
