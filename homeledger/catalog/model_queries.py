@@ -286,7 +286,7 @@ def stream_ad_ingest(spark, sf):
         for part in batch:
             part.select(F.col("page").alias("value")).write.mode("append").text(landed)
         jobs.land_ads(jobs.read_page_stream(spark, landed), out, state, crawl_time=F.lit(I.CRAWL_TIME)).awaitTermination()
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).select(*S.FLAT_AD_COLUMNS)
 
 
 def listing_stream(spark, sf, columns):

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from homeledger import schema as S
 from homeledger.operators.dedupe import keep_first
@@ -57,45 +57,37 @@ def ingest_ads(pages: DataFrame, zone: str = "UTC", crawl_time: Column | None =
     return keep_first(flat_pages(pages, zone, crawl_time), S.DEDUPE_KEYS["crawl"], [ARRIVAL]).select(*S.FLAT_AD_COLUMNS)
 
 
-class FirstArrival(StatefulProcessor):
-    """Lets the first row of a key pass, once. The state of a key is when that row arrived."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.first = handle.getValueState("first", f"{ARRIVAL} string")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator:
-        best = None
-        for part in rows:
-            row = part.sort_values(ARRIVAL).head(1)
-            if best is None or row[ARRIVAL].iat[0] < best[ARRIVAL].iat[0]:
-                best = row
-        if best is not None and not self.first.exists():
-            self.first.update((best[ARRIVAL].iat[0],))
-            yield best.drop(columns=[ARRIVAL])
-
-    def close(self) -> None:
-        pass
-
-
 def first_arrivals(flat: DataFrame) -> DataFrame:
-    """A stream of flat ads, each ad (AdId, ListId, Subject) once, as it came first."""
-    return flat.groupBy(*S.DEDUPE_KEYS["crawl"]).transformWithStateInPandas(
-        FirstArrival(), outputStructType=flat.drop(ARRIVAL).schema, outputMode="append", timeMode="none")
+    """A stream of flat ads, each ad (AdId, ListId, Subject) once, as it came first; in update mode.
+
+    The state of a key is its first row by (time of the batch, arrival). In update mode a batch brings out
+    the keys it touches; those whose first row is of this very batch are new. The time of a batch is in
+    the checkpoint, so a batch that is run again finds the same.
+    """
+    row = F.struct(*[c for c in flat.columns if c != ARRIVAL])
+    timed = flat.withColumn("since", F.current_timestamp())  # in a stream: the time of the batch
+    state = timed.groupBy(*S.DEDUPE_KEYS["crawl"]).agg(
+        F.min_by(row, F.struct("since", ARRIVAL)).alias("first"), F.min("since").alias("since"))
+    return state.where(F.col("since") == F.current_timestamp()).select("first.*")
 
 
 def land_ads(pages: DataFrame, path: str, checkpoint: str, zone: str = "UTC", crawl_time: Column | None = None) -> StreamingQuery:
     """Work off the pages that have arrived, append the ads that are new, and stop.
 
-    Each key's first arrival is held in a keyed state (RocksDB, in the checkpoint), so an ad
-    of any age is recognised, nothing that landed is read again, and a batch costs what it
-    brings. Of repeats the first stays, within a batch and across batches and restarts. The sink's log keeps a batch
-    that is run again from adding rows. The state grows with the number of ads ever seen.
+    Each key's first row is held in a keyed state (RocksDB, in the checkpoint), so an ad of any age is
+    recognised, nothing that landed is read again, and a batch costs what it brings. Of repeats the
+    first stays, within a batch and across batches and restarts. Each batch has a folder of its own, which a batch that is
+    run again replaces. The state grows with the number of ads ever seen; the clock must not run backwards between batches.
     """
+    def append(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
     spark = pages.sparkSession
     before = spark.conf.get(STATE_STORE)
     spark.conf.set(STATE_STORE, ROCKS_DB)  # a query takes its settings when it starts
     try:
-        return write_stream(first_arrivals(flat_pages(pages, zone, crawl_time)), path, checkpoint)
+        return (first_arrivals(flat_pages(pages, zone, crawl_time)).writeStream.outputMode("update").foreachBatch(append)
+                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     finally:
         spark.conf.set(STATE_STORE, before)
 
