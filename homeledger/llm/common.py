@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from homeledger.session import cut_lineage, scratch_path, scratch_run
@@ -33,6 +34,13 @@ def scratched(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     return run
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that Python objects are held for few of them at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, or the first of ``name_1``, ``name_2`` ... that is no column of ``df``; case does not count."""
     taken = {c.lower() for c in df.columns}

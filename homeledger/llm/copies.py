@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from homeledger.llm.common import BROADCAST_ROWS, free_name, scratched, within_rows
+from homeledger.llm.common import BROADCAST_ROWS, free_name, scratched, slices, within_rows
 from homeledger.llm.components import components
 from homeledger.llm.simhash import LOWER, Forest
 from homeledger.operators.joins import attach
@@ -105,13 +105,15 @@ def coded(docs: DataFrame, row: str, text: str, width: int, tables: int) -> Data
     longs = max(CHECKED // 64, -(-width * tables // 64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            found = [shingles(t) for t in texts]
-            codes = np.array([code(x, longs) for x in found]).reshape(-1, longs)
+        for batch in slices(batches):
+            texts, digests = batch.column(1).to_pylist(), []
+            codes = np.zeros((len(texts), longs), dtype=np.uint64)
+            for i, t in enumerate(texts):
+                found = shingles(t)
+                digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
+                codes[i] = code(found, longs)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in found], pa.binary()),
-                 pa.array([len(t or "") for t in texts], pa.int64()),
+                [batch.column(0), pa.array(digests, pa.binary()), pa.array([len(t or "") for t in texts], pa.int64()),
                  *(pa.array(codes[:, k].copy().view(np.int64)) for k in (0, 1)),
                  pa.array([segments(c, width, tables) for c in codes], pa.list_(pa.int64()))],
                 names=["row", "digest", "bytes", "high", "low", "keys"])

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from homeledger.llm.bpe import codec
-from homeledger.llm.common import ddl
+from homeledger.llm.common import ddl, slices
 
 WINDOW = 2048
 OPEN_BINS = 4096
@@ -81,7 +81,7 @@ def cut_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str = "
     """Pieces of at most ``window`` ids: key, piece, start, length, ids_crc32, and the ids if wanted."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, end = codec(path), END_ID.to_bytes(4, "little")
-        for batch in batches:
+        for batch in slices(batches):
             at, rows = [], []
             for i, ids in enumerate(own.encode_many(batch.column(1).to_pylist())):
                 ids, start = ids + end, 0

@@ -2,10 +2,12 @@
 
 Base kinds are regular expressions over the whole text, leftmost and non-overlapping per
 kind. Beyond them, runs of base64 or hex digits are decoded, and reported only if what they
-hold parses as a key or token. A key in base64 ends where its own length says:
+hold parses as a key or token. A key in base64 ends where its own length says, and only so much is
+decoded, so the time is linear in the text; what says it is larger than ``LARGEST`` is no key:
 
-* ``key``: base64 or hex whose bytes are nested ASN.1 elements with lengths that add up, in
-  the shape of a private key (RSA, EC or PKCS #8), or an OpenSSH key container;
+* ``key``: base64 or hex (also after 0x, or in pairs with colons) whose bytes are nested ASN.1 elements with lengths
+  that add up, in the shape of a private key (RSA, EC or PKCS #8), or an OpenSSH key container; or a
+  key file in base64 that holds one;
 * ``jwt``: three base64url parts of which the first is a JSON header naming an algorithm
   and the second a JSON object.
 
@@ -26,7 +28,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from homeledger.llm.common import ddl
+from homeledger.llm.common import ddl, slices
 
 BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "jwt", "key")
@@ -45,7 +47,14 @@ BREAK = r"(?:\r?\n|\r|(?:\\+[rn])+)[ \t]*"
 ALPHABETS = [  # a digit, which must not follow a key, and lines of them
     (re.compile(f"[{digits}]"), re.compile(rf"[{digits}]+(?:{BREAK}[{digits}]+)*")) for digits in ("A-Za-z0-9+/", "A-Za-z0-9_-")]
 BREAKS = re.compile(BREAK)
-HEX_ANY = re.compile(r"(?<![A-Za-z0-9])[0-9A-Fa-f]{64,}(?![A-Za-z0-9])")
+HEX_ANY = re.compile(r"(?:(?<![A-Za-z0-9])|(?<=\b0[xX]))[0-9A-Fa-f]{64,}(?![A-Za-z0-9])")
+HEX_PAIRS = re.compile(r"(?<![A-Za-z0-9:])(?:[0-9A-Fa-f]{2}:\s{0,40})++(?:[0-9A-Fa-f]{2}(?![A-Za-z0-9:]))?")  # never given up once begun
+NOT_HEX = re.compile(r"[:\s]+")
+# "-----BEGIN" in base64: a key file that was encoded once more, as cluster secrets are
+ENCODED_AGAIN = re.compile(r"(?<![A-Za-z0-9+/_-])LS0tLS1CRUdJTi[A-Za-z0-9+/]{40,}={0,2}")
+LARGEST = 1 << 16  # bytes of a key; real ones have some thousand
+FIRST_LOOK = 512  # characters
+CUT_BREAK = 80  # a line break that the look cuts through ends the run before
 SEQUENCE, INTEGER, OCTETS, OID = 0x30, 0x02, 0x04, 0x06
 OPENSSH = b"openssh-key-v1\x00"
 
@@ -144,21 +153,28 @@ def encoded_key_end(text: str, start: int) -> int | None:
     """Where the key in base64 or base64url ends that begins at ``start``, padding included. Its own
     length says how far it goes; line breaks, also escaped ones, may stand between its digits."""
     for digit, lines in ALPHABETS:
-        run = lines.match(text, start)
+        room, data, size = FIRST_LOOK, b"", None
+        while True:  # no further than the key's own length asks for
+            run = lines.match(text, start, start + room)
+            if not run:
+                break
+            places, at = [], start  # pieces between breaks
+            for gap in BREAKS.finditer(text, start, run.end()):
+                places.append((at, gap.start()))
+                at = gap.end()
+            places.append((at, run.end()))
+            body = "".join(text[a:b] for a, b in places).replace("-", "+").replace("_", "/")
+            whole = body[:len(body) - (len(body) % 4 == 1)]
+            data = base64.b64decode(whole + "=" * (-len(whole) % 4))
+            size, cut = key_size(data), start + room < len(text) and run.end() >= start + room - CUT_BREAK
+            if not cut or (size is not None and not len(data) < size <= LARGEST) or room > 3 * LARGEST:
+                break
+            room *= 4
         if not run:
             continue
-        places, at = [], start  # pieces between breaks
-        for gap in BREAKS.finditer(text, start, run.end()):
-            places.append((at, gap.start()))
-            at = gap.end()
-        places.append((at, run.end()))
-        body = "".join(text[a:b] for a, b in places).replace("-", "+").replace("_", "/")
-        whole = body[:len(body) - (len(body) % 4 == 1)]
-        data = base64.b64decode(whole + "=" * (-len(whole) % 4))
-        size = key_size(data)
         if size is None and data.startswith(OPENSSH):
             size = len(data)
-        if size is None or size > len(data) or not is_private_key(data[:size]):
+        if size is None or size > min(len(data), LARGEST) or not is_private_key(data[:size]):
             continue
         left = -(-size * 4 // 3)
         for a, b in places:
@@ -192,6 +208,14 @@ def confirmed_spans(text: str) -> list[Span]:
     for m in HEX_ANY.finditer(text):
         if len(m[0]) % 2 == 0 and is_private_key(bytes.fromhex(m[0])):
             found.append(("key", *m.span()))
+    for m in HEX_PAIRS.finditer(text):
+        if m.end() - m.start() >= 95 and m[0][-1] not in ": \t\r\n" and is_private_key(bytes.fromhex(NOT_HEX.sub("", m[0]))):
+            found.append(("key", *m.span()))
+    for m in ENCODED_AGAIN.finditer(text):
+        body = m[0].rstrip("=")
+        inner = base64.b64decode(body[:len(body) - (len(body) % 4 == 1)] + "==").decode("latin-1")
+        if any(kind == "key" for kind, _, _ in confirmed_spans(inner)):
+            found.append(("key", *m.span()))
     return found
 
 
@@ -220,7 +244,7 @@ def redact(text: str, spans: list[Span], mark: str) -> str:
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: key, counts of the base kinds, digest of the base spans, and all spans."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for value in batch.column(1).to_pylist():
                 value = value or ""
@@ -240,16 +264,17 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
 def redacted(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars", mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every span replaced by ``mark`` and ``n_chars`` counted anew; null texts stay null."""
+    at, counted = docs.columns.index(text), docs.columns.index(n_chars) if n_chars in docs.columns else None
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            clean = [t and redact(t, all_spans(t), mark) for t in batch.column(text).to_pylist()]
-            columns = dict(zip(batch.schema.names, batch.columns))
-            columns[text] = pa.array(clean, batch.schema.field(text).type)
-            if n_chars in columns:
-                field = batch.schema.field(n_chars)
-                old = columns[n_chars].to_pylist()
-                same = batch.column(text).to_pylist()
-                columns[n_chars] = pa.array([o if c == t else len(c) for o, c, t in zip(old, clean, same)], field.type)
-            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
-
-    return docs.mapInArrow(run, docs.schema)
+        for batch in slices(batches):
+            same, columns = batch.column(at).to_pylist(), list(batch.columns)
+            clean = [t and redact(t, all_spans(t), mark) for t in same]
+            columns[at] = pa.array(clean, columns[at].type)
+            if counted is not None:
+                old = columns[counted].to_pylist()
+                columns[counted] = pa.array([o if c == t else len(c) for o, c, t in zip(old, clean, same)], columns[counted].type)
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # whatever their names
+    return numbered.mapInArrow(run, numbered.schema).toDF(*docs.columns)

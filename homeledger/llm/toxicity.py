@@ -6,14 +6,15 @@ words, punctuation rates, and obfuscation rates (look-alike characters, signs in
 spelled-out letters). No label, language, source or id is a feature.
 
 The learning rows are dealt into folds by hash. The trees see each row with the lexicon of the
-other folds, and a fifth of the rows is kept from them for the calibration, so neither is fitted
+other folds, and a fifth of the rows of each label is kept from them for the calibration, so neither is fitted
 to what it is applied to; scoring uses the lexicon of all folds. Equal texts with equal labels
-count once a fold for the lexicon. At most about ``TRAIN_ROWS`` labelled rows are
-used, chosen by hash (a documented bound); every document is scored.
+count once a fold for the lexicon. At most about ``TRAIN_ROWS`` labelled ids are used, chosen by
+hash, up to half of them of the rarer label (a documented bound), and the learned lexicon has at most ``LEARNED_WORDS``
+words and stems (the size of the model); every document is scored.
 
 Null and empty texts have all-zero features and get the score of those. With labels of one
-class only, or none, all scores are 0. Repeated labels of a document count once, toxic if one
-is. Null labels are not used. Other columns are not read.
+class only, or none, all scores are 0; with a single row of a class the trees stay uncalibrated. Repeated labels of
+a document count once, toxic if one is; of texts with one id, one is learned from. Null labels are not used. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -25,14 +26,16 @@ import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from homeledger.llm.common import slices
 from homeledger.session import cut_lineage
 
 TRAIN_ROWS = 20_000
 LEARNED_WORDS = 1000
 LEAST_DOCS = 3
 FOLDS = 4
+HELD = 2  # of five parts, the one for the calibration: a label's second row is in it
 LEAST_Z = 3.0
 STEMS = (4, 5)  # letters of a stem; the lexicon writes it with a star
 NEAR = 5  # words between a second-person word and a hit
@@ -117,16 +120,19 @@ def features(text: str | None, lexicon: Lexicon) -> list[float]:
 
 
 def with_features(docs: DataFrame, lexicons: list[Lexicon], keep: list[str], text: str = "text", part: str | None = None) -> DataFrame:
-    """``keep`` columns and ``features``, a vector; ``part`` says which of several lexicons a row takes."""
+    """``keep`` columns and ``features``, a vector; ``part`` says which of several lexicons a row takes. The text is a
+    column, or a field of the first column of ``keep``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(0).to_pylist()
+        for batch in slices(batches):
+            column = batch.column(0)
+            texts = (column.field(text) if pa.types.is_struct(column.type) else batch.column(text)).to_pylist()
             which = batch.column(part).to_pylist() if part else [0] * len(texts)
             rows = [features(t, lexicons[i]) for t, i in zip(texts, which)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(rows, pa.list_(pa.float64()))], names=[*keep, "features"])
+            kept = [batch.column(i) for i in range(len(keep))]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(rows, pa.list_(pa.float64()))], names=[*keep, "features"])
 
-    rows = docs.select(text, *keep)
-    out = rows.mapInArrow(run, T.StructType([*rows.schema.fields[1:], T.StructField("features", T.ArrayType(T.DoubleType()))]))
+    rows = docs.select(*keep, *[text] * (text in docs.columns))
+    out = rows.mapInArrow(run, T.StructType([*rows.schema.fields[:len(keep)], T.StructField("features", T.ArrayType(T.DoubleType()))]))
     return out.withColumn("features", array_to_vector("features"))
 
 
@@ -182,33 +188,50 @@ class Toxicity:
         if self.trees is None:
             return docs.select(*rest, F.lit(0.0).alias(into))
         # the models add columns of fixed names; those of the rows travel in a struct
-        narrow = docs.select(F.col(f"`{text}`").alias("text"), F.struct(*rest).alias("kept"))
-        raw = self.trees.transform(with_features(narrow, [self.lexicon], ["kept"])).select(
+        narrow = docs.select(F.struct(*rest, *[F.col(f"`{text}`")] * (text not in keep)).alias("kept"))
+        raw = self.trees.transform(with_features(narrow, [self.lexicon], ["kept"], text)).select(
             "kept", vector_to_array("probability")[1].alias("raw"))
+        if self.calibration is None:
+            return raw.select(*[F.col("kept")[c].alias(c) for c in keep], F.col("raw").alias(into))
         score = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("calibrated") * 0.999 + F.col("raw") * 0.001))
         return self.calibration.transform(raw).select(*[F.col("kept")[c].alias(c) for c in keep], score.alias(into))
 
 
+def sample_share(known: DataFrame, bound: int) -> Column:
+    """The share of keys taken of each label: all of the rarer one up to half of ``bound``, and what is left for the other."""
+    sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    rarer, other = sorted((0.0, 1.0), key=lambda x: sizes.get(x, 0))
+    taken = min(sizes.get(rarer, 0), bound // 2)
+    shares = {rarer: taken / max(1, sizes.get(rarer, 0)), other: (bound - taken) / max(1, sizes.get(other, 0))}
+    return F.when(F.col("label") == 1.0, F.lit(float(shares[1.0]))).otherwise(F.lit(float(shares[0.0])))
+
+
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", label: str = "toxic",
         bound: int = TRAIN_ROWS) -> Toxicity:
     """Learn from labelled rows where ``learn``, a condition on the key, holds."""
-    known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & learn).groupBy(key).agg(
-        F.max(F.col(label).cast("double")).alias("label"))
-    share = min(1.0, bound / max(1, known.count()))
-    chosen = known.where(F.xxhash64(F.col(key), F.lit("train")) / F.lit(2.0 ** 64) + 0.5 < share).limit(2 * bound)
-    rows = cut_lineage(
-        docs.select(key, F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(chosen), key)
-        .withColumns({"fold": fold(F.col(key), FOLDS, "fold"), "part": fold(F.col(key), 5, "part")}), "train")
+    known = cut_lineage(labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & learn).groupBy(key).agg(
+        F.max(F.col(label).cast("double")).alias("label")), "known")
+    chosen = cut_lineage(known.where(F.xxhash64(F.col(key), F.lit("train")) / F.lit(2.0 ** 64) + 0.5 < sample_share(known, bound)).limit(2 * bound), "chosen")
+    text = F.coalesce(F.col(text), F.lit(""))
+    rows = docs.select(key, text.alias("text")).join(F.broadcast(chosen), key).groupBy(key, "label").agg(
+        F.min_by("text", F.sha2(F.encode("text", "UTF-8"), 256)).alias("text"))
+    place = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64(F.col(key), F.lit("part")), key)) % 5
+    rows = cut_lineage(rows.select("text", "label", fold(F.col(key), FOLDS, "fold").alias("fold"), place.alias("part")), "train")
     counts = cut_lineage(word_counts(rows), "words")
     lexicons = [learned_lexicon(counts, k) for k in range(FOLDS)]
     table = cut_lineage(with_features(rows, lexicons, ["label", "part", "fold"], part="fold").coalesce(8), "features")
     lexicon = learned_lexicon(counts)
-    fitting, held = table.where("part < 4"), table.where("part = 4")
-    if any({r["label"] for r in part.select("label").distinct().collect()} != {0.0, 1.0} for part in (fitting, held)):
+    fitting, held = table.where(F.col("part") != HELD), table.where(F.col("part") == HELD)
+    both = lambda part: {r["label"] for r in part.select("label").distinct().collect()} == {0.0, 1.0}
+    if not both(fitting):
         return Toxicity(lexicon, None, None)
     trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=11, minInstancesPerNode=5).fit(fitting)
+    if not both(held):
+        return Toxicity(lexicon, trees, None)
     raw = trees.transform(held).select("label", vector_to_array("probability")[1].alias("raw"))
-    calibration = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="calibrated").fit(raw)
+    # equal scores are one row with a weight, so no task of the fit gets them all
+    steps = raw.groupBy("raw").agg(F.avg("label").alias("label"), F.count("*").cast("double").alias("weight"))
+    calibration = IsotonicRegression(featuresCol="raw", labelCol="label", weightCol="weight", predictionCol="calibrated").fit(steps)
     return Toxicity(lexicon, trees, calibration)
 
 

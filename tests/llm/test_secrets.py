@@ -111,3 +111,43 @@ def test_keys_in_json_and_base64url():
         assert "-" in text or "_" in text
         for own in (text, text.rstrip("=")):
             assert ("key", 1, 1 + len(own)) in secrets.all_spans(f'"{own}"\nnext')
+
+
+def test_hex_in_other_forms():
+    text = "key = 0x" + RSA.hex() + ";"
+    assert ("key", 8, 8 + 2 * len(RSA)) in secrets.all_spans(text)
+    pairs = ":".join(f"{b:02x}" for b in PKCS8 + b"")
+    lines = "\n    ".join(":".join(pairs.split(":")[i:i + 15]) + ":" for i in range(0, len(PKCS8), 15)).rstrip(":")
+    for form in (pairs, pairs.upper(), lines):
+        assert ("key", 2, 2 + len(form)) in secrets.all_spans(f"( {form})"[0:2] + form + " end"), form
+    assert not [s for s in secrets.all_spans("aa:" * 40 + "zz") if s[0] == "key"]
+
+
+def test_key_files_encoded_again():
+    pem = "-----BEGIN PRIVATE KEY-----\n" + base64.b64encode(PKCS8).decode() + "\n-----END PRIVATE KEY-----\n"
+    again = base64.b64encode(pem.encode()).decode()
+    assert ("key", 9, 9 + len(again)) in secrets.all_spans(f"tls.key: {again}\n")
+    public = base64.b64encode(pem.replace("PRIVATE", "PUBLIC").replace(base64.b64encode(PKCS8).decode(), "A" * 60).encode()).decode()
+    assert not [s for s in secrets.all_spans(public) if s[0] == "key"]
+
+
+def test_long_base64_takes_linear_time():
+    import random
+    import time
+    rng = random.Random(1)
+
+    def seconds(lines):
+        text = "\n".join("MIIE" + base64.b64encode(rng.randbytes(45)).decode() for _ in range(lines))
+        start = time.perf_counter()
+        secrets.all_spans(text)
+        return time.perf_counter() - start
+
+    seconds(500)
+    assert seconds(16_000) <= 40 * seconds(2000) + 2
+
+
+def test_large_keys_are_read_to_their_end():
+    big = der(0x30, b"".join(integer(x) for x in (0, *([3 ** 9000] * 8))))
+    text = base64.b64encode(big).decode()
+    lines = "\n".join(text[i:i + 64] for i in range(0, len(text), 64))
+    assert len(big) > 10_000 and ("key", 3, 3 + len(lines)) in secrets.all_spans(f"x: {lines}\nend")

@@ -74,3 +74,30 @@ def test_texts_with_the_same_beginning_are_all_counted(frame):
     counts = {(r["word"], r["fold"]): (r["bad"], r["all"]) for r in toxicity.word_counts(frame(rows, "text string, label double, fold int")).collect()}
     assert counts["shared", 0] == counts["", 0] == (5, 5) and counts["shared", 1] == (5, 5)
     assert all(counts[f"word{i}", i % 2] == (1, 1) for i in range(10))
+
+
+def test_parts_are_dealt_within_labels_and_rare_labels_are_kept(frame):
+    """Five toxic rows among many: the trees and the calibration both see some, whatever the bound."""
+    rng = random.Random(3)
+    rows = [(i, row(rng, i < 5), int(i < 5)) for i in range(600)]
+    docs = frame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = frame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    scorer = toxicity.fit(docs, labels, F.lit(True), bound=200)
+    assert scorer.trees is not None and scorer.calibration is not None
+    one = toxicity.fit(docs, labels.where("doc_id <> 0 OR toxic = 1").where("doc_id = 0 OR toxic = 0"), F.lit(True), bound=200)
+    assert one.trees is not None and one.calibration is None
+    assert all(0 <= r["score"] <= 1 for r in one.score(docs, ["doc_id"]).collect())
+
+
+def test_columns_of_any_name_stay(corpus):
+    docs, labels = corpus
+    odd = docs.select("doc_id", "text", F.lit(1).alias("score"), F.lit(2).alias("raw"), F.lit(3).alias("prediction"), F.lit("x").alias("a.b"))
+    scorer = toxicity.fit(odd, labels, F.lit(True))
+    got = scorer.score(odd, odd.columns, into="score_1")
+    assert got.columns == [*odd.columns, "score_1"] and got.where("score = 1 AND raw = 2 AND prediction = 3").count() == odd.count()
+
+
+def test_repeated_ids_count_once(frame):
+    docs = frame([(1, f"text {i}") for i in range(300)] + [(2, "idiot")], "doc_id long, text string")
+    labels = frame([(1, 0), (2, 1)], "doc_id long, toxic int")
+    assert toxicity.fit(docs, labels, F.lit(True)).calibration is None
