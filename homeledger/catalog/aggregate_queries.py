@@ -9,6 +9,8 @@ from homeledger.catalog import duck as D, inputs as I, views as V
 from homeledger.catalog.registry import query
 from homeledger.catalog.source_queries import METRICS, rounded
 from homeledger.operators import charts, cleaning, coverage, dedupe, features, legacy, metrics, ranking, selection
+from homeledger.session import scratch_path
+from homeledger.sources import outputs
 
 FACTS = V.cte(V.facts_sql)
 LISTINGS = V.cte(V.listings_sql)
@@ -35,6 +37,22 @@ def cleaning_funnel(spark, sf):
     return cleaning.cleaning_funnel(I.raw_standard(spark, sf))
 
 
+@query("observed_funnel", f"""
+WITH s AS ({D.raw_standard()}), f AS (SELECT
+ published_at IS NOT NULL AND price IS NOT NULL AND area IS NOT NULL AS a, price BETWEEN 1e8 AND 1e11 AS b,
+ area BETWEEN 10 AND 500 AS c, price / nullif(area, 0) BETWEEN 5e6 AND 1e9 AS d FROM s)
+SELECT 0 AS step_no, 'input' AS step, count(*) AS "rows", count(*) FILTER (a AND b AND c AND d) AS written FROM f
+UNION ALL SELECT 1, 'required', count(*) FILTER (a), count(*) FILTER (a AND b AND c AND d) FROM f
+UNION ALL SELECT 2, 'price', count(*) FILTER (a AND b), count(*) FILTER (a AND b AND c AND d) FROM f
+UNION ALL SELECT 3, 'area', count(*) FILTER (a AND b AND c), count(*) FILTER (a AND b AND c AND d) FROM f
+UNION ALL SELECT 4, 'price_per_m2', count(*) FILTER (a AND b AND c AND d), count(*) FILTER (a AND b AND c AND d) FROM f""")
+def observed_funnel(spark, sf):
+    """The funnel's counts, taken while the clean table is written, beside the rows written."""
+    clean, funnel = cleaning.observed_funnel(I.raw_standard(spark, sf))
+    _, rows = outputs.write_counted({"clean": clean}, scratch_path(spark, "counted"))
+    return cleaning.funnel_table(spark, funnel.get).withColumn("written", F.lit(rows["clean"]).cast("bigint"))
+
+
 @query("time_range", f"SELECT min(published_at) AS first_time, max(published_at) AS last_time FROM ({FACTS})")
 def time_range(spark, sf):
     return coverage.time_range(I.facts(spark, sf))
@@ -161,6 +179,17 @@ _keep_first("distinct_by_key", "mogi")
 _keep_first("first_per_key", "merged", dedupe.first_per_key)
 
 
+@query("incremental_keep_first", D.first_of(f"SELECT {COMMON}, row_id FROM ({DOUBLED})", S.DEDUPE_KEYS["merged"], D.LISTING_ORDER))
+def incremental_keep_first(spark, sf):
+    """Three loads, the middle of the table first, merged bucket to bucket."""
+    df = I.doubled(spark, sf).select(*S.COMMON_COLUMNS, "row_id")
+    name = scratch_path(spark, "first")
+    table = dedupe.FirstTable(spark, "first_" + name.rsplit("-", 1)[-1], name, S.DEDUPE_KEYS["merged"], buckets=8)
+    for load in ("row_id % 5 = 2", "row_id % 5 < 2", "row_id % 5 > 2"):
+        rows = table.merge(df.where(load))
+    return rows
+
+
 @query("dedupe_crawl", D.first_of(
     f"SELECT * FROM ({D.flat_ads()}) UNION ALL SELECT * REPLACE (page_id + 1 AS page_id) FROM ({D.flat_ads()})",
     S.DEDUPE_KEYS["crawl"], "page_id"))

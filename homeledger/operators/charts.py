@@ -162,13 +162,13 @@ def report_tables(predictions: DataFrame, train: DataFrame, test: DataFrame, met
     """
     needed = ["price_billion", "predicted_billion", "error_billion", "area", "district_name", "source", "published_at"]
     predictions = cut_lineage(predictions.select(*needed), "charts")
-    narrow = [df.select(*[c for c in ("published_at", "source") if c in df.columns]) for df in (train, test)]
-    both = cut_lineage(union_splits(*narrow).groupBy("published_at", "source", "split").agg(F.count("*").alias("rows")), "months")
     month = dates.month_label(F.col("published_at")).alias("month")
+    narrow = [df.select(month, *["source"] * ("source" in df.columns)) for df in (train, test)]
+    both = cut_lineage(union_splits(*narrow).groupBy("month", "source", "split").agg(F.count("*").alias("rows")), "months")
 
     def pivot(column: str, values: list[str]) -> DataFrame:
         counts = [F.coalesce(F.sum(F.when(F.col(column) == v, F.col("rows"))), F.lit(0)).alias(v) for v in values]
-        return both.where(F.col("published_at").isNotNull()).groupBy(month).agg(*counts)
+        return both.where(F.col("month").isNotNull()).groupBy("month").agg(*counts)
 
     bins = F.format_string("%02d", F.col("bin"))
     parts = [

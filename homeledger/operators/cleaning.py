@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from homeledger import schema as S
 from homeledger.functions import dates, text
@@ -87,18 +87,39 @@ def filter_segment(df: DataFrame, province: str = "", property_type: str = "",
     return df
 
 
-def cleaning_funnel(df: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
-    """Rows left after each cleaning step, in one pass: ``step_no``, ``step``, ``rows``."""
+def _funnel_steps(limits: Limits) -> list[tuple[str, Column]]:
     present = F.lit(True)
     for c in REQUIRED:
         present = present & F.col(c).isNotNull()
     priced = present & F.col("price").between(limits.min_price, limits.max_price)
     sized = priced & F.col("area").between(limits.min_area, limits.max_area)
     rated = sized & price_per_m2().between(limits.min_price_per_m2, limits.max_price_per_m2)
-    steps = [("input", F.lit(True)), ("required", present), ("price", priced),
-             ("area", sized), ("price_per_m2", rated)]
+    return [("input", F.lit(True)), ("required", present), ("price", priced),
+            ("area", sized), ("price_per_m2", rated)]
+
+
+def cleaning_funnel(df: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
+    """Rows left after each cleaning step, in one pass: ``step_no``, ``step``, ``rows``."""
+    steps = _funnel_steps(limits)
     counts = df.agg(*[F.count_if(cond).alias(name) for name, cond in steps])
     rows = F.array(*[
         F.struct(F.lit(i).alias("step_no"), F.lit(name).alias("step"), F.col(name).alias("rows"))
         for i, (name, _) in enumerate(steps)])
     return counts.select(F.inline(rows))
+
+
+def observed_funnel(df: DataFrame, limits: Limits = DEFAULT_LIMITS) -> tuple[DataFrame, Observation]:
+    """The cleaned rows, and an observation that has the funnel's counts once they have been written.
+
+    The counts are taken by the tasks that write, so the funnel costs no scan of its own. Write without a
+    shuffle in between: a task of an earlier stage that runs again after a lost executor would count twice.
+    """
+    counts = Observation()
+    seen = df.observe(counts, *[F.count_if(cond).alias(name) for name, cond in _funnel_steps(limits)])
+    return clean_for_model(seen, limits), counts
+
+
+def funnel_table(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """``step_no``, ``step``, ``rows`` from the counts of an observation."""
+    return spark.createDataFrame([(i, name, counts[name]) for i, (name, _) in enumerate(_funnel_steps(DEFAULT_LIMITS))],
+                                 "step_no int, step string, rows bigint")

@@ -8,9 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from homeledger import schema as S
+from homeledger.session import drop_folder
+
+
+KEY_DIGEST = "_key_digest"
 
 
 def source_rank(c: Column) -> Column:
@@ -46,6 +50,51 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     )
 
 
+class FirstTable:
+    """Keep-first over loads that come one after another: a bucketed table of the first row of each key.
+
+    A load is cut to one row per key, shuffled into the table's buckets and joined bucket to bucket: the stored rows
+    are not shuffled, whatever their number. Each merge writes a new version and drops the version before the last one,
+    so a merge that fails leaves the table as it was. ``folder`` lies in the shared folder. Keys are compared by a digest of their JSON, in which null and empty differ.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, folder: str, keys: Sequence[str],
+                 order: Sequence[str | Column] | None = None, buckets: int = 200):
+        self.spark, self.name, self.folder, self.keys, self.order, self.buckets = spark, name, folder, list(keys), order, buckets
+        self.version = 0
+
+    def _table(self, version: int) -> str:
+        return f"{self.name}_{version}"
+
+    def rows(self) -> DataFrame:
+        """The first rows of all loads so far."""
+        return self.spark.table(self._table(self.version)).drop(KEY_DIGEST)
+
+    def joined(self, load: DataFrame) -> DataFrame:
+        """First rows of the stored table and ``load`` together."""
+        digest = F.sha2(F.to_json(F.struct(*[F.col(k) for k in self.keys]), {"ignoreNullFields": "false"}), 256)
+        first = keep_first(load, self.keys, self.order).withColumn(KEY_DIGEST, digest)
+        if not self.version:
+            return first
+        names = first.columns
+        rank = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(_order_columns(self.order))])
+        one, other = (df.select(KEY_DIGEST, F.struct(*names).alias(side), rank.alias(f"{side}_rank"))
+                      for df, side in ((self.spark.table(self._table(self.version)), "old"), (first, "new")))
+        both = one.hint("merge").join(other, KEY_DIGEST, "full")
+        earlier = F.when(F.col("old").isNull() | (F.col("new_rank") < F.col("old_rank")), F.col("new")).otherwise(F.col("old"))
+        return both.select(earlier.alias("row")).select("row.*")
+
+    def merge(self, load: DataFrame) -> DataFrame:
+        """Take in a load; the rows as of now."""
+        (self.joined(load).write.bucketBy(self.buckets, KEY_DIGEST).sortBy(KEY_DIGEST).format("parquet").mode("overwrite")
+         .option("path", f"{self.folder}/{self.version + 1}").saveAsTable(self._table(self.version + 1)))
+        self.version += 1
+        if self.version > 2:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._table(self.version - 2)}")
+            drop_folder(self.spark, f"{self.folder}/{self.version - 2}")
+        return self.rows()
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] | None = None) -> DataFrame:
     """The same rows by ranking.
 

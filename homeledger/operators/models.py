@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
@@ -25,6 +26,7 @@ from homeledger.operators.joins import attach
 from homeledger.operators.ranking import chronological_rank
 from homeledger.session import cut_lineage
 
+BROADCAST_CATEGORIES = 200_000  # of all features; some ten megabytes
 NORMAL_SOLVER_WIDTH = 4096  # Spark's limit for the exact solver
 REPORT_COLUMNS = [
     "published_at", "source", "property_type_name", "province_name", "district_name",
@@ -61,6 +63,11 @@ class FeatureSpec:
     def categorical(self) -> list[str]:
         return [c for c in S.CATEGORICAL_FEATURES if c in self.modes]
 
+    @cached_property
+    def category_rows(self) -> int:
+        """Known categories; the count of a written table."""
+        return self.categories.count()
+
     @property
     def width(self) -> int:
         return len(self.numeric) + sum(self.slots[c] for c in self.categorical)
@@ -112,16 +119,27 @@ def category_slots(rows: DataFrame, spec: FeatureSpec, key: str) -> DataFrame:
         for c in spec.categorical])
 
 
+def with_slots(rows: DataFrame, spec: FeatureSpec) -> DataFrame:
+    """``rows`` and an ``i_<feature>`` column for each category, by one broadcast table a feature: rows stay where they are."""
+    for c in spec.categorical:
+        table = spec.categories.where(F.col("feature") == c).select(F.col("category").alias("_category"), F.col("slot").alias("_slot"))
+        rows = rows.join(F.broadcast(table), F.coalesce(F.col(c), F.lit(spec.modes[c])) == F.col("_category"), "left").withColumn(
+            f"i_{c}", F.coalesce("_slot", F.lit(spec.slots[c])).cast("double")).drop("_category", "_slot")
+    return rows
+
+
 def prepare_features(df: DataFrame, spec: FeatureSpec, keep: Sequence[str] = (), key: str | None = None) -> DataFrame:
     """Imputed numbers in ``f_`` columns and category slots in ``i_`` columns beside the ``keep``
-    columns. ``key`` names a column without repeats or nulls; without one, the rows are written
-    once with a number of their own."""
+    columns. Up to ``BROADCAST_CATEGORIES`` known categories are broadcast; more are joined by a shuffle, for which ``key`` names
+    a column without repeats or nulls; without one, the rows are written once with a number of their own."""
     wanted = list(dict.fromkeys([*keep, *spec.numeric, *spec.categorical, *([key] if key else [])]))
     rows = df.select(*wanted)
+    numbers = [F.coalesce(F.col(c).cast("double"), F.lit(spec.medians[c])).alias(f"f_{c}") for c in spec.numeric]
+    if spec.categorical and spec.category_rows <= BROADCAST_CATEGORIES:
+        return with_slots(rows, spec).select(*keep, *numbers, *[f"i_{c}" for c in spec.categorical])
     if not key:
         key = "_row"
         rows = cut_lineage(rows.withColumn(key, F.monotonically_increasing_id()), "rows")
-    numbers = [F.coalesce(F.col(c).cast("double"), F.lit(spec.medians[c])).alias(f"f_{c}") for c in spec.numeric]
     if not spec.categorical:
         return rows.select(*keep, *numbers)
     slots = category_slots(rows, spec, key)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from homeledger.functions import dates, numbers
 from homeledger.sources.listings import read_headered_csv
@@ -31,6 +31,19 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tu
     return path
 
 
+def write_counted(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet") -> tuple[dict[str, str], dict[str, int]]:
+    """Each named table below ``folder``, and its number of rows as the writing tasks counted them: no scan counts again.
+
+    The tables are written as they come, without gathering months, so that the counts are of the last stage.
+    """
+    paths, counts = {}, {}
+    for name, df in tables.items():
+        rows = Observation()
+        paths[name] = write_table(df.observe(rows, F.count(F.lit(1)).alias("rows")), f"{folder}/{name}", fmt)
+        counts[name] = rows.get["rows"]
+    return paths, counts
+
+
 def write_datasets(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet") -> dict[str, str]:
     """Each named table below ``folder``. Cleaned tables are partitioned by month."""
     written = {}

@@ -105,6 +105,29 @@ def daily_coverage(listings: DataFrame, delay: str = "1 day", time: str = "publi
     return counted.select(F.to_date("window.start").alias("day"), "source", "rows")
 
 
+def land_daily_coverage(listings: DataFrame, path: str, changes: str, checkpoint: str, time: str = "published_at") -> StreamingQuery:
+    """Keep a table of rows per day and source, partitioned by day, up to date with rows of any lateness, and stop.
+
+    A batch's own counts are a change, stored under its number, so a batch that is run again
+    replaces its change. Days that the batch touches are then summed anew from their changes, which the partitioning finds
+    without reading other days, and only these days' folders are replaced. Rows without a time are not counted.
+    """
+    def repair(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        counted = batch.where(F.col(time).isNotNull()).groupBy(F.to_date(time).alias("day"), "source").agg(F.count("*").alias("rows"))
+        change = f"{changes}/batch={number}"
+        counted.write.mode("overwrite").partitionBy("day").parquet(change)
+        schema = "source string, rows bigint, batch bigint, day date"
+        touched = spark.read.schema(schema).parquet(change).select("day").distinct()
+        # as many days as a batch brings; the join prunes the folders of all others
+        every = spark.read.schema(schema).parquet(changes).join(F.broadcast(touched), "day", "left_semi")
+        totals = every.groupBy("day", "source").agg(F.sum("rows").alias("rows"))
+        totals.repartition("day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+
+    return (listings.writeStream.foreachBatch(repair).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
 def land_scores(listings: DataFrame, model: PriceModel, path: str, checkpoint: str, key: str | None = None) -> StreamingQuery:
     """Price the listings that have arrived, into parquet, and stop.
 

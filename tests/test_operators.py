@@ -288,3 +288,20 @@ def test_legacy_errors_and_aliases(spark):
     assert [(r["PriceVND"], r["AreaM2"], r["District"], r["PostedMonth"]) for r in rows] == [
         (2e9, 62.0, "Quận 3", 1), (3e9, None, None, 1)]
     assert legacy.prune_null_features(legacy.legacy_clean(df)) == (["AreaM2", "PostedYear", "PostedMonth"], ["District"])
+
+
+def test_first_rows_over_several_loads(spark, tmp_path):
+    """Three loads equal one load, in any order of loads; the stored side is not shuffled."""
+    from homeledger.session import shared_dir
+    rows = [(k % 7 if k % 7 else None, "a" if k % 2 else None, k * 37 % 60, k) for k in range(60)]
+    df = spark.createDataFrame(rows, "k int, s string, at int, row_id int")
+    want = sorted(dedupe.keep_first(df, ["k", "s"], ["at", "row_id"]).collect(), key=str)
+    for name, loads in (("one", [(40, 60), (0, 20), (20, 40)]), ("two", [(0, 1), (1, 60), (0, 60)])):
+        table = dedupe.FirstTable(spark, f"first_{name}", f"{shared_dir(spark)}/first-{tmp_path.name}-{name}", ["k", "s"], ["at", "row_id"], buckets=4)
+        for a, b in loads:
+            part = df.where(F.col("row_id").between(a, b - 1))
+            if table.version:
+                plan = table.joined(part)._jdf.queryExecution().executedPlan().toString()
+                assert plan.count("SortMergeJoin") == 1 and plan.count("Exchange hashpartitioning(_key_digest") == 1
+            got = table.merge(part)
+        assert sorted(got.collect(), key=str) == want and got.columns == df.columns

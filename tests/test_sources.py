@@ -264,3 +264,35 @@ def test_ads_cost_grows_with_their_items(spark):
 
     seconds(1)
     assert seconds(64) <= 5 * seconds(16) + 1
+
+
+def test_late_rows_are_counted_and_other_days_are_left(spark, tmp_path):
+    """Three batches, the last ones late by years and started anew; a day that no row touches keeps its files."""
+    def land(name, rows):
+        spark.createDataFrame(rows, "published_at string, source string").select(
+            F.col("published_at").cast("timestamp_ntz").alias("published_at"), "source").write.parquet(str(tmp_path / "in" / name))
+        arriving = spark.readStream.schema("published_at timestamp_ntz, source string").option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+        jobs.land_daily_coverage(arriving, *(str(tmp_path / x) for x in ("daily", "changes", "state"))).awaitTermination()
+
+    def files(day):
+        return {p.name for p in (tmp_path / "daily" / f"day={day}").glob("*.parquet")}
+
+    (tmp_path / "in").mkdir()
+    land("a", [("2026-01-02 23:59:59", "mogi"), ("2026-01-02 00:00:00", "mogi"), ("2026-01-03 05:00:00", None), (None, "mogi")])
+    kept, redone = files("2026-01-03"), files("2026-01-02")
+    land("b", [("2019-05-05 01:00:00", "chotot"), ("2026-01-02 12:00:00", "mogi"), ("2026-01-02 12:00:00", "chotot")])
+    land("c", [("2019-05-05 02:00:00", "chotot")])
+    assert files("2026-01-03") == kept and not files("2026-01-02") & redone
+    got = spark.read.parquet(str(tmp_path / "daily")).select(F.col("day").cast("string"), "source", "rows").collect()
+    assert sorted(map(tuple, got), key=str) == [
+        ("2019-05-05", "chotot", 2), ("2026-01-02", "chotot", 1), ("2026-01-02", "mogi", 3), ("2026-01-03", None, 1)]
+
+
+def test_counts_are_taken_while_writing(spark, tmp_path):
+    from homeledger.operators import cleaning
+    rows = [(2e9, 50.0, "2026-01-01"), (2e9, None, "2026-01-01"), (1.0, 50.0, "2026-01-01"), (2e9, 5.0, "2026-01-01"), (1e11, 10.0, "2026-01-01")]
+    df = spark.createDataFrame(rows, "price double, area double, published_at string").withColumn("published_at", F.col("published_at").cast("timestamp_ntz"))
+    clean, funnel = cleaning.observed_funnel(df)
+    paths, counts = outputs.write_counted({"clean": clean, "none": df.limit(0)}, str(tmp_path))
+    assert counts == {"clean": 1, "none": 0} and spark.read.parquet(paths["clean"]).count() == 1
+    assert cleaning.funnel_table(spark, funnel.get).collect() == cleaning.cleaning_funnel(df).collect()
