@@ -22,7 +22,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tu
     """Overwrite one table. CSV has a header, no byte-order mark, and is for export."""
     writer = df.write.mode("overwrite")
     if fmt == "csv":
-        writer.option("header", True).option("escape", '"').csv(path)
+        # without the last two, Spark would cut outer spaces and line breaks off the values
+        writer.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
     else:
         if partition_by:
             # gathers each month, and lets Spark split one that is far larger than others
