@@ -14,11 +14,13 @@ fetched for the matched captures alone.
 
 Null URLs have no canonical form and resolve with nothing; a null time is later than nothing
 and earlier than nothing. Equal times are ordered by capture id; repeated ids are captures
-of their own. Header names are compared in lower case. An empty table gives no rows.
+of their own. Times count in whole seconds. Header names are compared in lower case. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from homeledger.llm.common import lower_ascii
@@ -29,6 +31,9 @@ SLICES = 1024
 # What a not-modified answer must not change (framing and the body's own description).
 KEPT = ("connection", "content-encoding", "content-length", "content-md5", "content-range", "content-type", "etag",
         "keep-alive", "proxy-authenticate", "proxy-connection", "te", "trailer", "transfer-encoding", "upgrade")
+# Fields that have one value.
+SINGLE = ("age", "content-length", "content-location", "content-md5", "content-range", "content-type", "date", "etag", "expires", "host",
+          "last-modified", "location", "retry-after", "server", "user-agent")
 
 
 def canonical_url(url: Column) -> Column:
@@ -43,16 +48,35 @@ def canonical_url(url: Column) -> Column:
     return F.when(rest != "", F.concat(host, path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit(""))))
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once: an expression inside a lambda is evaluated wherever it stands."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def header_fields(block: Column) -> Column:
-    """Fields of a header block, names in lower case; the first of a repeated one counts. Lines
-    without a colon (the status or version line) are not fields."""
+    """Fields of a header block, names in lower case. Of a repeated field the values are joined in order, by a comma, cookies by
+    a line break; of one that can have a single value, and of WARC's own, the first counts. Lines without a colon (the
+    status or version line) are not fields."""
     lines = F.filter(F.split(block, "\r?\n"), lambda x: F.instr(x, ":") > 1)
     pairs = F.transform(lines, lambda x: F.struct(
         lower_ascii(F.trim(F.substring_index(x, ":", 1))).alias("key"),
         F.trim(F.regexp_replace(x, "^[^:]*:", "")).alias("value")))
-    names = F.transform(pairs, lambda p: p["key"])
-    first = F.filter(pairs, lambda p, i: F.array_position(names, p["key"]) == i + 1)
-    return F.map_from_entries(first)
+    single = F.array(*map(F.lit, SINGLE))
+
+    def value_of(name: Column, fields: Column) -> Column:
+        values = F.transform(F.filter(fields, lambda p: p["key"] == name), lambda p: p["value"])
+        joined = F.when(name == "set-cookie", F.array_join(values, "\n")).otherwise(F.array_join(values, ", "))
+        return F.when(F.array_contains(single, name) | name.startswith("warc-"), F.get(values, F.lit(0))).otherwise(joined)
+
+    return _bound(pairs, lambda fields: _bound(
+        F.array_distinct(F.transform(fields, lambda p: p["key"])),
+        lambda names: F.map_from_arrays(names, F.transform(names, lambda name: value_of(name, fields)))))
+
+
+def record_time(text: Column) -> Column:
+    """Seconds of a WARC date, with or without seconds and fractions; null for other forms."""
+    forms = ("yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS]X", "yyyy-MM-dd'T'HH:mmX", "yyyy-MM-dd")
+    return F.unix_seconds(F.coalesce(*[F.try_to_timestamp(text, F.lit(form)) for form in forms]))
 
 
 def read_records(records: DataFrame) -> DataFrame:
@@ -62,7 +86,7 @@ def read_records(records: DataFrame) -> DataFrame:
     kind = lower_ascii(warc["warc-type"])
     return records.select(
         F.col("record_id").alias("capture_id"), warc["warc-target-uri"].alias("url"),
-        F.unix_timestamp(F.try_to_timestamp(warc["warc-date"], F.lit("yyyy-MM-dd'T'HH:mm:ssX"))).alias("at"),
+        record_time(warc["warc-date"]).alias("at"),
         F.when((kind == "revisit") & ~F.coalesce(warc["warc-profile"], F.lit("")).contains("server-not-modified"), "other")
         .otherwise(kind).alias("kind"),
         ((F.regexp_extract(F.coalesce("http", F.lit("")), r"^HTTP/\S+ +(\d{3})(?!\d)", 1) == "200") & warc["warc-truncated"].isNull()).alias("complete"),

@@ -88,3 +88,33 @@ def test_only_complete_responses_are_sources(frame):
 
 def rows_without_status(at):
     return f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Target-URI: http://a.org/x\r\nWARC-Date: 2024-01-02T03:04:{at:02d}Z"
+
+
+def test_repeated_fields_are_joined(frame):
+    block = "HTTP/1.1 200 OK\r\nSet-Cookie: a=1\r\nVary: x\r\nset-cookie: b=2, c\r\nVARY: y\r\nETag: \"1\"\r\nETag: \"2\"\r\nEmpty:"
+    got = frame([(block,), ("",)], "b string").select(warc.header_fields(F.col("b"))).collect()
+    assert got[0][0] == {"set-cookie": "a=1\nb=2, c", "vary": "x, y", "etag": '"1"', "empty": ""} and got[1][0] == {}
+
+
+def test_dates_with_fractions(frame):
+    cases = {"2024-01-02T03:04:05Z": 1704164645, "2024-01-02T03:04:05.5Z": 1704164645, "2024-01-02T03:04:05.123456789Z": 1704164645,
+             "2024-01-02T03:04Z": 1704164640, "2024-01-02": 1704153600, "soon": None, None: None}
+    df = frame([(k,) for k in cases], "t string")
+    assert {r[0]: r[1] for r in df.select("t", warc.record_time(F.col("t"))).collect()} == cases
+
+
+def test_many_fields_take_little_longer(frame):
+    import time
+
+    def seconds(n):
+        block = "\r\n".join(f"X-Field-{i}: {i}" for i in range(n))
+        df = frame([(block,)], "b string").crossJoin(frame([(i,) for i in range(2000)], "i int")).select(warc.header_fields(F.col("b")).alias("m"))
+        best = []
+        for _ in range(2):
+            start = time.perf_counter()
+            df.write.format("noop").mode("overwrite").save()
+            best.append(time.perf_counter() - start)
+        return min(best)
+
+    seconds(5)
+    assert seconds(80) <= 12 * seconds(20) + 1
