@@ -128,6 +128,20 @@ def scan_ad_pages(spark, sf):
     return ads.flatten_ad(ads.explode_ad_pages(ads.read_ad_pages(spark, landed)), F.lit(I.CRAWL_TIME), zone="UTC")
 
 
+@query("scan_crawls", """
+WITH p AS (SELECT o_orderkey AS page, o_orderkey // 64 AS crawl, o_orderkey % 4 = 3 AND o_orderkey % 9 <> 0 AS empty,
+ o_orderkey % 9 = 0 AS failed FROM orders),
+e AS (SELECT crawl, min(page) FILTER (empty) AS stopped_at FROM p GROUP BY crawl)
+SELECT p.crawl, p.page, stopped_at FROM p JOIN e USING (crawl) WHERE NOT failed AND (stopped_at IS NULL OR page < stopped_at)""")
+def scan_crawls(spark, sf):
+    """Crawls of up to 64 pages: a page in nine is no JSON, and the first page without ads ends its crawl."""
+    text = F.when(F.col("page_id") % 9 == 0, F.concat(F.lit('<html>'), "page")).otherwise(F.col("page"))
+    captured = I.page_texts(spark, sf).select(
+        F.expr("page_id div 64").alias("crawl"), F.col("page_id").alias("number"), text.alias("page_text"))
+    pages = ads.parse_pages(captured).withColumnRenamed("number", "page")
+    return ads.until_empty(pages).join(ads.crawl_ends(pages), "crawl").select("crawl", "page", "stopped_at")
+
+
 @query("scan_csv_order", f"""SELECT price, arg_min(published_at, k) AS published_at, arg_min(row_id, k) AS row_id FROM (
 SELECT *, CASE WHEN row_id % 7 = 0 THEN 1180591620717411303424::HUGEINT ELSE 0 END + row_id AS k FROM ({FACTS})) GROUP BY price""")
 def scan_csv_order(spark, sf):

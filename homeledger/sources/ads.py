@@ -113,6 +113,43 @@ def read_ad_pages(spark: SparkSession, path: str, multi_line: bool = False) -> D
     return spark.read.schema(PAGE_SCHEMA).option("multiLine", multi_line).json(path)
 
 
+def parse_pages(df: DataFrame, text: str = "page_text") -> DataFrame:
+    """Column ``text`` of captured answers replaced by ``ads``, ``data`` and ``failed``, which marks what is no JSON object."""
+    rest = [F.col(c) for c in df.columns if c != text]
+    whole = F.ltrim(F.coalesce(F.col(text), F.lit(""))).startswith("{") & F.try_parse_json(F.col(text)).isNotNull()
+    parsed = df.select(*rest, F.inline(F.array(F.struct(F.from_json(F.col(text), PAGE_SCHEMA).alias("_page"), (~whole).alias("failed")))))
+    return parsed.select(*rest, "_page.ads", "_page.data", "failed")
+
+
+def read_page_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """(crawl, page, ads, data, failed) of folders of captured answers, a file a page: the page is the last number in the
+    file's name, the crawl is its folder."""
+    name = F.col("_metadata.file_path")
+    files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True)
+    return parse_pages(files.select(
+        F.regexp_extract(name, "^(.*)/[^/]*$", 1).alias("crawl"),
+        F.regexp_extract(name, r"(\d+)\D*$", 1).cast("bigint").alias("page"), F.col("value").alias("page_text")))
+
+
+def until_empty(pages: DataFrame, crawl: Sequence[str] = ("crawl",), page: str = "page", first: int = 0) -> DataFrame:
+    """The pages that a crawl takes, from page ``first`` on: failed ones are skipped, and the first answer without ads ends it.
+
+    One number a crawl is aggregated and joined back; a crawl goes on later from ``crawl_ends``.
+    """
+    taken = pages.where(F.col(page) >= first)
+    ends = crawl_ends(pages, crawl, page, first).select(*crawl, "stopped_at")
+    return taken.join(ends, list(crawl), "left").where(
+        ~F.col("failed") & (F.col("stopped_at").isNull() | (F.col(page) < F.col("stopped_at")))).drop("stopped_at", "failed")
+
+
+def crawl_ends(pages: DataFrame, crawl: Sequence[str] = ("crawl",), page: str = "page", first: int = 0) -> DataFrame:
+    """Per crawl: ``stopped_at``, its first empty page or null, and ``next_page``, where to go on."""
+    empty = ~F.col("failed") & ~(F.coalesce(F.size("ads") > 0, F.lit(False)) | F.coalesce(F.size("data") > 0, F.lit(False)))
+    ends = pages.where(F.col(page) >= first).groupBy(*crawl).agg(
+        F.min(F.when(empty, F.col(page))).alias("stopped_at"), F.max(page).alias("_last"))
+    return ends.select(*crawl, "stopped_at", F.coalesce("stopped_at", F.col("_last") + 1).alias("next_page"))
+
+
 def explode_ad_pages(pages: DataFrame, place: str | None = None) -> DataFrame:
     """One row per ad object: ``ads`` if it has elements, else ``data``.
 

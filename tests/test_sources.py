@@ -296,3 +296,19 @@ def test_counts_are_taken_while_writing(spark, tmp_path):
     paths, counts = outputs.write_counted({"clean": clean, "none": df.limit(0)}, str(tmp_path))
     assert counts == {"clean": 1, "none": 0} and spark.read.parquet(paths["clean"]).count() == 1
     assert cleaning.funnel_table(spark, funnel.get).collect() == cleaning.cleaning_funnel(df).collect()
+
+
+def test_crawls_skip_failed_pages_and_stop_at_the_first_empty_one(spark, tmp_path):
+    answers = {"a": [{"ads": [{"ad_id": 1}]}, None, {"data": [{"ad_id": 2}, "x"]}, {"ads": [], "data": None}, {"ads": [{"ad_id": 9}]}], "b": [{"ads": [{"ad_id": 5}]}]}
+    for crawl, pages in answers.items():
+        (tmp_path / crawl).mkdir()
+        for n, page in enumerate(pages):
+            write(tmp_path / crawl / f"page-{n:04}.json", json.dumps(page, indent=1) if page else '{"ads": [')
+    pages = ads.read_page_folder(spark, str(tmp_path))
+    got = ads.flatten_ad(ads.explode_ad_pages(ads.until_empty(pages)), F.lit("now"), "UTC")
+    assert sorted((r["page"], r["AdId"]) for r in got.collect()) == [(0, "1"), (0, "5"), (2, "2")]
+    ends = {r["crawl"][-1]: (r["stopped_at"], r["next_page"]) for r in ads.crawl_ends(pages).collect()}
+    assert ends == {"a": (3, 3), "b": (None, 1)}
+    # a crawl that goes on takes what has come since
+    write(tmp_path / "a" / "page-0003.json", json.dumps({"ads": [{"ad_id": 3}]}))
+    assert sorted(r["page"] for r in ads.until_empty(ads.read_page_folder(spark, str(tmp_path)), first=3).collect()) == [3, 4]
