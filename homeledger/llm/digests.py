@@ -263,36 +263,44 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - half] + following[:half]
 
 
+def place(ids: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Sixteen bytes that order as descending ids, then ascending hashes."""
+    high, low = ~ids.astype(np.int64), hashes.astype(np.int64)
+    both = np.stack([high, low], axis=1).view(np.uint64) ^ np.uint64(1 << 63)  # signed order as unsigned
+    return np.ascontiguousarray(both.astype(">u8")).view("S16").reshape(-1)
+
+
 def in_order(docs: DataFrame, key: str, text: str, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Rows (key, text, bucket, guest) in descending order of the key, dealt out by ranges.
+    """Rows (key, text, bucket, guest) in descending order of the key, then by a hash of the text, dealt out by ranges of both.
 
     Each bucket also gets, as a guest, the first row of the next one; the last bucket gets the
-    first row of all. Ranges come from a pass over the keys alone; one pair per range comes
-    to the driver. Null keys come last. Equal keys share a bucket.
+    first row of all. Ranges come from a pass over the keys and hashes alone; one pair per range comes
+    to the driver, that is one per ``bucket_rows`` rows. Null keys come last. Rows of one key and different texts
+    go to different buckets; equal rows share a bucket.
     """
     order = F.coalesce(F.col(key).cast("bigint"), F.lit(-(1 << 63)))
-    keys = docs.select(order.alias("k"))
-    ranges = max(1, -(-keys.count() // bucket_rows))
-    tops = sorted((r["top"] for r in keys.repartitionByRange(ranges, F.desc("k")).groupBy(F.spark_partition_id()).agg(
-        F.max("k").alias("top")).collect()), reverse=True)
-    n, high = len(tops), np.array(tops, dtype=np.int64)
-    back = np.flip(high)  # ascending
-
-    def buckets(ids):
+    keys = docs.select(order.alias("k"), F.xxhash64(text).alias("h"))
+    ranges = max(1, -(-docs.count() // bucket_rows))
+    firsts = keys.repartitionByRange(ranges, F.desc("k"), F.asc("h")).groupBy(F.spark_partition_id()).agg(
+        F.min_by(F.struct("k", "h"), F.struct(F.bitwise_not("k"), "h")).alias("top")).collect()
+    tops = np.sort(place(np.array([r["top"]["k"] for r in firsts], dtype=np.int64), np.array([r["top"]["h"] for r in firsts], dtype=np.int64)))
+    n = len(tops)
+
+    def buckets(ids, hashes):
         """Own bucket, and the one to visit as a guest."""
         import pandas as pd
 
-        own = n - np.searchsorted(back, ids.to_numpy(), side="left") - 1
-        first = high[own] == ids.to_numpy()
-        return pd.Series([[int(b), int((b - 1) % n)] if f else [int(b)] for b, f in zip(own, first)])
+        at = place(ids.to_numpy(), hashes.to_numpy())
+        own = np.searchsorted(tops, at, side="right") - 1
+        return pd.Series([[int(b), int((b - 1) % n)] if f else [int(b)] for b, f in zip(own, tops[own] == at)])
 
     where = F.pandas_udf(buckets, "array<int>")
     dealt = (
-        docs.select(F.col(key), F.col(text), order.alias("k"))
-        .select(key, text, "k", F.posexplode(where("k")).alias("guest", "bucket")))
+        docs.select(F.col(key), F.col(text), order.alias("k"), F.xxhash64(text).alias("h"))
+        .select(key, text, "k", "h", F.posexplode(where("k", "h")).alias("guest", "bucket")))
     return (
         dealt.repartitionById(max(1, n), F.col("bucket"))
-        .sortWithinPartitions("bucket", "guest", F.desc("k"), F.xxhash64(text), text).select(key, text, "bucket", "guest"))
+        .sortWithinPartitions("bucket", "guest", F.desc("k"), "h", text).select(key, text, "bucket", "guest"))
 
 
 def compare_with_next(docs: DataFrame, rarity: np.ndarray, key: str = "doc_id", text: str = "text",

@@ -91,7 +91,7 @@ placed AS (
     ((((summed.doc_id::HUGEINT + 18446744073709551616) % 18446744073709551616) * 2862933555777941757 + 1) % 18446744073709551616) AS s1
   FROM summed JOIN shards USING (doc_id)),
 chunked AS (
-  SELECT *, ((((s1 * 2862933555777941757 + 1) % 18446744073709551616) * 2862933555777941757 + 1) % 18446744073709551616) // 8589934592 % chunks AS chunk
+  SELECT *, ((((((s1 * 2862933555777941757 + 1) % 18446744073709551616) * 2862933555777941757 + 1) % 18446744073709551616) // 8589934592)::BIGINT + size + text_crc32) % chunks AS chunk
   FROM placed)
 SELECT doc_id, size, text_crc32, 'key' AS law, shard,
   row_number() OVER (PARTITION BY shard ORDER BY chunk, doc_id, size, text_crc32) - 1 AS slot, grown_shard

@@ -8,8 +8,9 @@ Signed 64-bit columns refuse to overflow, so the generator's product modulo 2^64
 from two 32-bit halves.
 
 Slots are places inside a shard, counted without gaps from 0. Rows that agree in all
-returned columns are counted before any shuffle, so a key or a text with a third of all
-rows is one row there; each shard is numbered in chunks, whose offsets are added.
+returned columns are counted before any shuffle, so copies under one key are one row there,
+whatever their number; each shard is numbered in chunks by key and text, whose offsets are added, so a
+key with a third of all rows and different texts is many chunks of its shard.
 
 Null texts have no bytes. A null key is hashed as 0 and stays null. Repeated rows get slots
 of their own. An empty table gives no rows. Other columns are not read.
@@ -63,12 +64,13 @@ def jump_shard(key: Column, shards: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(shards)), begin, step, lambda s: s["b"].cast("int"))
 
 
-def chunk_of(key: Column, chunks: int) -> Column:
-    """Chunk of a key inside its shard: the upper bits of the third draw."""
+def chunk_of(key: Column, size: Column, crc: Column, chunks: int) -> Column:
+    """Chunk of a row inside its shard: the upper bits of its key's third draw, moved on by its text, so that
+    rows of one key and different texts are spread."""
     state = _halves(key)
     for _ in range(3):
         state = _draw(*state)
-    return (F.shiftright(state[0], 1) % F.lit(chunks)).cast("int")
+    return ((F.shiftright(state[0], 1) + size + crc) % F.lit(chunks)).cast("int")
 
 
 def shard_rows(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text", overhead: int = 16) -> DataFrame:
@@ -81,7 +83,7 @@ def shard_rows(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "t
     chunks = min(MOST_CHUNKS, max(1, -(-rows // (shards * CHUNK_ROWS))))
     placed = counted.withColumns({
         "shard": jump_shard(F.col(key), shards), "grown_shard": jump_shard(F.col(key), shards + 1),
-        "chunk": chunk_of(F.col(key), chunks)})
+        "chunk": chunk_of(F.col(key), F.col("size"), F.col("text_crc32"), chunks)})
     chunk_sizes = placed.groupBy("shard", "chunk").agg(F.sum("n").alias("n"))  # at most shards * MOST_CHUNKS rows
     before = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = chunk_sizes.select("shard", "chunk", before(Window.partitionBy("shard").orderBy("chunk")).alias("offset"))

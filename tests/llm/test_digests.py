@@ -1,5 +1,6 @@
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -98,6 +99,21 @@ def test_one_row_repeats_and_empty(frame):
     assert digests.compare_with_next(frame([], schema), zero).collect() == []
 
 
+def test_a_hot_id_is_dealt_by_its_texts(frame):
+    rows = [(5, f"hot text {i}") for i in range(600)] + [(i, "x") for i in range(10, 610)] + [(None, f"none {i}") for i in range(90)]
+    dealt = digests.in_order(frame(rows, "doc_id long, text string"), "doc_id", "text", 50).collect()
+    own = [r for r in dealt if not r["guest"]]
+    sizes = Counter(r["bucket"] for r in own)
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"]) for r in own) == sorted((k is None, k or 0, t) for k, t in rows)
+    assert max(sizes.values()) < 200 and len({r["bucket"] for r in own if r["doc_id"] == 5}) > 6
+    ids = [r["doc_id"] for r in sorted(own, key=lambda r: r["bucket"])]
+    by_bucket = [{i for i, b in zip(ids, sorted(r["bucket"] for r in own)) if b == n} for n in sorted(sizes)]
+    low = lambda s: min(-1 if i is None else i for i in s)
+    high = lambda s: max(-1 if i is None else i for i in s)
+    assert all(low(a) >= high(b) for a, b in zip(by_bucket, by_bucket[1:]))
+    assert Counter(r["bucket"] for r in dealt if r["guest"]) == dict.fromkeys(sizes, 1)
+
+
 def test_the_most_voted_window_stands_in(monkeypatch):
     texts = [b"a" * 1000, b"ab" * 400, bytes(range(97, 105)) * 50, some_texts()[-2]]
     for block in (digests.BLOCK, 300):

@@ -44,6 +44,19 @@ def test_slots_sizes_and_hot_rows(frame, monkeypatch):
     assert all(r["shard"] == jump(r["doc_id"] or 0, 4) and r["grown_shard"] == jump(r["doc_id"] or 0, 5) and r["law"] == "key" for r in out)
 
 
+def test_a_hot_key_with_different_texts_is_spread_over_chunks(spark, frame, monkeypatch):
+    hot = spark.range(4000).select(F.lit(7).cast("long").alias("k"), (F.col("id") % 90 + 16).alias("size"), F.crc32(F.col("id").cast("string")).alias("crc"))
+    chunks = [r["count"] for r in hot.groupBy(sharding.chunk_of(F.col("k"), F.col("size"), F.col("crc"), 16)).count().collect()]
+    assert len(chunks) == 16 and max(chunks) < 400
+    monkeypatch.setattr(sharding, "CHUNK_ROWS", 50)
+    rows = [(7, f"text {i}") for i in range(600)] + [(i, "x") for i in range(600)]
+    out = sharding.shard_rows(frame(rows, "doc_id long, text string"), 4).collect()
+    for shard in range(4):
+        mine = [r["slot"] for r in out if r["shard"] == shard]
+        assert sorted(mine) == list(range(len(mine)))
+    assert {r["shard"] for r in out if r["doc_id"] == 7} == {jump(7, 4)}
+
+
 def test_no_python_in_the_plan(frame):
     df = sharding.shard_rows(frame([(1, "a")], "doc_id long, text string"), 4)
     plan = df._jdf.queryExecution().toString()
