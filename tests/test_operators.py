@@ -73,6 +73,31 @@ def test_median_on_many_rows(spark):
     assert got == pytest.approx(df.agg(F.median("v")).first()[0], rel=1e-15)
 
 
+@pytest.mark.parametrize("slack", [0.004, -0.2])
+def test_sketches_choose_brackets_and_a_miss_is_made_good(spark, monkeypatch, slack):
+    """With a slack below zero the brackets are empty, so every rank is sought from the whole range."""
+    monkeypatch.setattr(selection, "SLACK", slack)
+    scans = []
+    whole = selection._pass
+    monkeypatch.setattr(selection, "_pass", lambda data, *rest: scans.append("_c" in data.columns) or whole(data, *rest))
+    rng = np.random.default_rng(5)
+    values = np.concatenate([rng.lognormal(21, 1, 30_000), np.full(15_000, 2.5e9), rng.integers(-9, 9, 5000)])
+    df = spark.createDataFrame([("a" if i % 3 else "b", float(v)) for i, v in enumerate(values)], "g string, v double").repartition(6)
+    probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
+    got = {r["prob"]: r["quantile"] for r in selection.exact_quantiles(df, "v", probs).collect()}
+    assert got == {p: pytest.approx(np.quantile(values, p), rel=1e-12) for p in probs}
+    assert set(scans) <= {slack > 0}  # all values are never read again once a bracket holds the rank
+    by = {(r["g"], r["prob"]): r["quantile"] for r in selection.exact_quantiles(df, "v", probs, ["g"], few_groups=True).collect()}
+    for g, own in (("a", values[np.arange(len(values)) % 3 > 0]), ("b", values[::3])):
+        assert {p: by[g, p] for p in probs} == {p: pytest.approx(np.quantile(own, p), rel=1e-12) for p in probs}
+
+
+def test_brackets_are_narrow(spark):
+    data = spark.range(0, 200_000, 1, 6).select(F.pmod(F.xxhash64("id"), F.lit(10**9)).cast("double").alias("_v"))
+    (one,) = selection._brackets(data, F.array(F.lit(100_000).cast("bigint")), [], "double")
+    assert 0 < data.where(F.col("_v").between(one["lo"], one["hi"])).count() < 4000
+
+
 def test_median_of_nothing(spark):
     assert selection.exact_median(spark.createDataFrame([], "v double"), "v").first()["median"] is None
 
