@@ -232,6 +232,49 @@ def test_records_with_line_breaks_from_split_files(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_lines_of_records_stay_where_they_are(spark, tmp_path):
+    """Bytes that are no UTF-8 over the borders of blocks, a file that ends inside quotes, and no shuffle or sort above the lines."""
+    record = lambda i: f'r{i},"' + "\n".join(f"{i}-{k}" for k in range(9)) + '"'
+    body = "\n".join(["id,note", *map(record, range(200)), 'last,"open', "", " x"]).encode()
+    (tmp_path / "a.csv").write_bytes(body.replace(b"-4", b"-\xff"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        df = listings.read_headered_csv(spark, str(tmp_path / "a.csv"), numbered=True)
+        got = [(r["id"], r["note"]) for r in df.orderBy("row_id").collect()]
+        plan = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = [(f"r{i}", "\n".join(f"{i}-{k}" for k in range(9)).replace("-4", "-\ufffd")) for i in range(200)]
+    assert got == [*want, ("last", "open\n\n x")]
+
+    def depth(line):
+        return len(line) - len(line.lstrip(" :+-*()0123456789"))
+
+    scans = [i for i, line in enumerate(plan) if "FileScan text" in line]
+    assert len(scans) == 1
+    above, at = [], depth(plan[scans[0]])
+    for line in reversed(plan[:scans[0]]):
+        if depth(line) < at:
+            above.append(line)
+            at = depth(line)
+    assert not [line for line in above if any(word in line for word in ("Exchange", "Sort", "Window", "Aggregate"))]
+
+
+def test_ordered_files_are_not_one_task(spark, monkeypatch):
+    """The files of the order query: several a side, in the order of their names."""
+    from homeledger.catalog import source_queries
+    seen = []
+    monkeypatch.setattr(source_queries.outputs, "write_table", lambda df, path, fmt: seen.append(df) or path)
+    monkeypatch.setattr(source_queries.I, "facts", lambda spark, sf: spark.range(50_000).select(
+        F.col("id").alias("row_id"), F.col("id").cast("double").alias("price"), F.current_timestamp().alias("published_at")).repartition(3))
+    monkeypatch.setattr(source_queries.listings, "read_headered_csv", lambda spark, path, numbered: spark.range(1).select(
+        *[F.lit("1").alias(c) for c in ("price", "published_at", "number", "row_id")]))
+    source_queries.scan_csv_order(spark, "")
+    monkeypatch.undo()
+    assert len(seen) == 2 and all("Coalesce" not in df._jdf.queryExecution().executedPlan().toString() for df in seen)
+
+
 def test_plain_and_broken_files_parse_alike(spark, tmp_path):
     rows = [["Subject", "a b"], ["x", "1"], ["N/A", ""], ["short"], ["long", "2", "3"], [' pad ', '"q"']]
     broken(tmp_path / "plain.csv", rows)
