@@ -97,6 +97,28 @@ def test_forest_beats_the_baseline(train):
     assert [r["Model"] for r in table.collect()][-1] == "Baseline_Median" and set(fitted) == {"Random_Forest", "Ridge_Regression"}
 
 
+def test_forest_rows_are_dealt_by_their_size_in_memory(spark, train, ridge, monkeypatch):
+    """A frame packed into one small file is one part as it is read, whatever its rows take once encoded."""
+    monkeypatch.setattr(models, "SPREAD_BYTES", 1000)
+    frame = spark.read.parquet(models.cut_lineage(models.training_frame(train, ridge.spec).coalesce(1)).inputFiles()[0])
+    rows = frame.count()
+    monkeypatch.setattr(models, "FOREST_PART_BYTES", rows * (4 * (ridge.spec.width + 5) + 100) // 7)
+    dealt = models.spread(frame, ridge.spec, 5).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in dealt) == rows and max(r["count"] for r in dealt) <= rows // 6
+    model = models.train_random_forest(train, ridge.spec, trees=5, depth=6, frame=frame)
+    assert model.score(frame, ["label"]).where("predicted_price >= 0").count() == rows
+    monkeypatch.setattr(models, "SPREAD_BYTES", 1 << 40)
+    assert models.spread(frame, ridge.spec, 5) is frame
+
+
+def test_training_frames_have_files_of_few_rows(train, ridge, monkeypatch):
+    """A narrow table of millions of rows may fit one file and one task."""
+    monkeypatch.setattr(models, "ROWS_PER_FILE", 50)
+    frame = models.training_frame(train.coalesce(1), ridge.spec)
+    per_file = frame.groupBy(F.input_file_name()).count().collect()
+    assert len(per_file) > 1 and max(r["count"] for r in per_file) <= 50
+
+
 def test_save_and_load(spark, train, ridge, tmp_path):
     ridge.save(str(tmp_path / "m"))
     again = models.PriceModel.load(spark, str(tmp_path / "m"))
