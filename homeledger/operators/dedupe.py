@@ -55,12 +55,16 @@ class FirstTable:
 
     A load is cut to one row per key, shuffled into the table's buckets and joined bucket to bucket: the stored rows
     are not shuffled, whatever their number. Each merge writes a new version and drops the version before the last one,
-    so a merge that fails leaves the table as it was. ``folder`` lies in the shared folder. Keys are compared by a digest of their JSON, in which null and empty differ.
+    so a merge that fails leaves the table as it was. ``folder`` lies in the shared folder. Keys are compared by 16 bytes of
+    a SHA-256 digest of their JSON, in which null and empty differ. The table has as many buckets as the session has shuffle
+    partitions when it begins, ``buckets`` at least: the aggregate of a load then leaves its rows in the table's buckets, and what a task
+    sorts is bounded by the setting that bounds every other shuffle.
     """
 
     def __init__(self, spark: SparkSession, name: str, folder: str, keys: Sequence[str],
                  order: Sequence[str | Column] | None = None, buckets: int = 200):
-        self.spark, self.name, self.folder, self.keys, self.order, self.buckets = spark, name, folder, list(keys), order, buckets
+        self.spark, self.name, self.folder, self.keys, self.order = spark, name, folder, list(keys), order
+        self.buckets = max(buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))
         self.version = 0
 
     def _table(self, version: int) -> str:
@@ -72,8 +76,12 @@ class FirstTable:
 
     def joined(self, load: DataFrame) -> DataFrame:
         """First rows of the stored table and ``load`` together."""
-        digest = F.sha2(F.to_json(F.struct(*[F.col(k) for k in self.keys]), {"ignoreNullFields": "false"}), 256)
-        first = keep_first(load, self.keys, self.order).withColumn(KEY_DIGEST, digest)
+        types = dict(load.dtypes)
+        # equal keys have one text: zero has no sign, and JSON would round times
+        whole = load.withColumns({k: F.col(k) + F.lit(0).cast(types[k]) for k in self.keys if types[k] in ("double", "float")})
+        texts = [F.col(k).cast("string").alias(k) if types[k].startswith("timestamp") else F.col(k) for k in self.keys]
+        digest = F.sha2(F.to_json(F.struct(*texts), {"ignoreNullFields": "false"}), 256)
+        first = keep_first(whole.withColumn(KEY_DIGEST, F.substring(F.unhex(digest), 1, 16)), [KEY_DIGEST], self.order)
         if not self.version:
             return first
         names = first.columns

@@ -315,6 +315,21 @@ def test_legacy_errors_and_aliases(spark):
     assert legacy.prune_null_features(legacy.legacy_clean(df)) == (["AreaM2", "PostedYear", "PostedMonth"], ["District"])
 
 
+def test_a_load_is_shuffled_once_into_the_buckets(spark, tmp_path):
+    """The aggregate of a load deals it like the table, with as many buckets as the session has partitions; keys that differ
+    by microseconds are two, zeros of either sign are one."""
+    from homeledger.session import shared_dir
+    rows = [(0.0, "2026-01-01 00:00:00.000001", 5), (-0.0, "2026-01-01 00:00:00.000001", 4), (0.0, "2026-01-01 00:00:00.000002", 3), (None, None, 2), (None, None, 1)]
+    df = spark.createDataFrame(rows, "k double, t string, row_id int").withColumn("t", F.col("t").cast("timestamp_ntz"))
+    table = dedupe.FirstTable(spark, "first_dealt", f"{shared_dir(spark)}/first-{tmp_path.name}-dealt", ["k", "t"], ["row_id"], buckets=2)
+    assert table.buckets == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table.merge(df.where("row_id in (2, 3, 5)"))
+    load = df.where("row_id in (1, 4)")
+    assert table.joined(load)._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    got = sorted((str(r["k"]), str(r["t"])[-6:], r["row_id"]) for r in table.merge(load).collect())
+    assert got == [("0.0", "000001", 4), ("0.0", "000002", 3), ("None", "None", 1)]
+
+
 def test_first_rows_over_several_loads(spark, tmp_path):
     """Three loads equal one load, in any order of loads; the stored side is not shuffled."""
     from homeledger.session import shared_dir
