@@ -328,10 +328,9 @@ def stream_daily_repair(spark, sf):
 
 @query("stream_scoring", f"SELECT row_id, price, true AS same FROM ({CLEAN})")
 def stream_scoring(spark, sf):
-    clean = cut_lineage(I.clean_listings(spark, sf), "clean")
-    model = models.train_ridge(clean)
     landed, out, state = (scratch_path(spark, n) for n in ("landed", "scored", "state"))
-    clean.write.parquet(landed)
+    clean = cut_lineage(I.clean_listings(spark, sf), path=landed)
+    model = models.train_ridge(clean)
     arriving = spark.readStream.schema(clean.schema).parquet(landed)
     jobs.land_scores(arriving, model, out, state, key="row_id").awaitTermination()
     return same_prices(spark.read.parquet(out), model.predict(clean, key="row_id"))

@@ -14,8 +14,9 @@ from functools import cached_property
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, VectorAssembler
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel, VectorAssembler
+from pyspark.ml.regression import (
+    GeneralizedLinearRegression, GeneralizedLinearRegressionModel, LinearRegression, LinearRegressionModel, RandomForestRegressor)
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from homeledger import schema as S
@@ -157,6 +158,37 @@ def encoding_stages(spec: FeatureSpec, output: str = "features", skip: Sequence[
     return [*(hot if cats else []), joined]
 
 
+def linear_prediction(stages: PipelineModel) -> Column | None:
+    """The prediction of a linear model behind ``encoding_stages`` as a column; None for another model.
+
+    A weight a number and one weight a slot, looked up by place, instead of a vector built for each row. What has no
+    weight, an unseen category, adds nothing.
+    """
+    model = stages.stages[-1]
+    if not isinstance(model, (GeneralizedLinearRegressionModel, LinearRegressionModel)):
+        return None
+    places, weights = {}, iter(model.coefficients.toArray().tolist())
+    for stage in stages.stages[:-1]:
+        if isinstance(stage, OneHotEncoderModel):
+            places |= {h: (i, int(n)) for h, i, n in zip(stage.getOutputCols(), stage.getInputCols(), stage.categorySizes)}
+        elif not isinstance(stage, VectorAssembler):
+            return None
+    out = F.lit(float(model.intercept))
+    for c in assembled(stages):
+        if c in places:
+            slot, n = places[c]
+            known = F.array(*[F.lit(next(weights)) for _ in range(n)])
+            out = out + F.coalesce(F.get(known, F.col(slot).cast("int")), F.lit(0.0))
+        else:
+            out = out + F.col(c) * F.lit(next(weights))
+    return out
+
+
+def assembled(stages: PipelineModel) -> list[str]:
+    """The columns of the feature vector, in order."""
+    return next(s.getInputCols() for s in stages.stages if isinstance(s, VectorAssembler))
+
+
 @dataclass
 class PriceModel:
     """A fitted model with the feature facts it was fitted on."""
@@ -171,7 +203,9 @@ class PriceModel:
 
     def score(self, ready: DataFrame, keep: Sequence[str], floor: bool = True) -> DataFrame:
         """The same from prepared features; works on streams too."""
-        return self.stages.transform(ready).select(*keep, price_of_log(F.col("prediction"), floor).alias("predicted_price"))
+        linear = linear_prediction(self.stages)
+        scored = ready.withColumn("prediction", linear) if linear is not None else self.stages.transform(ready)
+        return scored.select(*keep, price_of_log(F.col("prediction"), floor).alias("predicted_price"))
 
     def save(self, path: str) -> None:
         spark = SparkSession.active()
@@ -234,8 +268,9 @@ def train_ridge(train: DataFrame, spec: FeatureSpec | None = None, alpha: float
 
     ``solver`` is ``normal`` (exact, up to 4096 features) or ``l-bfgs`` (iterative, any width).
 
-    Spark divides the penalty by rows and by the label's deviation, and scales by the
-    sample deviation; ``regParam`` undoes all three, so that the solution is that of
+    The deviations are those that the solvers take in their own pass: the exact one is the normal
+    equation of the Gaussian linear model, which divides by the population's, ``l-bfgs`` by the sample's. Spark divides the
+    penalty by rows and by the label's deviation; ``regParam`` undoes both, so that the solution is that of
     penalty ``alpha`` on population-scaled features.
     """
     spec = spec or fit_features(train)
@@ -252,12 +287,13 @@ def train_ridge(train: DataFrame, spec: FeatureSpec | None = None, alpha: float
     # exact solver's matrix singular.
     constant = [c for c in names if facts[c]]
     spread = facts["pop"] if exact else facts["samp"]
-    scaler = StandardScaler(withMean=False, withStd=True, inputCol="raw_features", outputCol="features")
-    ridge = LinearRegression(
-        featuresCol="features", labelCol="label", elasticNetParam=0.0, standardization=False,
-        solver=solver,
-        regParam=alpha * (n - 1) / n * (spread or 0.0) / n, maxIter=1000, tol=1e-12)
-    stages = Pipeline(stages=[*encoding_stages(spec, "raw_features", constant), scaler, ridge]).fit(frame)
+    penalty = alpha * (spread or 0.0) / n
+    columns = {"featuresCol": "raw_features", "labelCol": "label"}
+    if exact:  # the same solver as LinearRegression's, whose fit reads the rows once more to sum up its errors
+        ridge = GeneralizedLinearRegression(family="gaussian", link="identity", regParam=penalty, **columns)
+    else:
+        ridge = LinearRegression(solver=solver, regParam=penalty * (n - 1) / n, maxIter=1000, tol=1e-12, **columns)
+    stages = Pipeline(stages=[*encoding_stages(spec, "raw_features", constant), ridge]).fit(frame)
     return PriceModel(M.RIDGE, spec, stages)
 
 

@@ -89,6 +89,29 @@ def test_ridge_is_the_closed_form(train, ridge):
     assert np.allclose([r["prediction"] for r in rows], want, rtol=0, atol=1e-7)
 
 
+def test_ridge_reads_its_frame_twice_and_builds_no_vector_to_score(spark, train, ridge):
+    """One pass for the deviations of the label, one for the normal equation; none for scaling or for errors nobody asked for."""
+    frame = models.training_frame(train, ridge.spec)
+    spark.sparkContext.setJobGroup("ridge", "jobs of one fit")
+    models.train_ridge(train, ridge.spec, frame=frame)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("ridge")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 4, jobs  # an aggregate is two jobs; the schema of the vector one
+    ready = models.prepare_features(train, ridge.spec, ["row_id"])
+    ready = ready.unionByName(ready.withColumns({"row_id": F.lit(-1).cast("bigint"), "i_street_name": F.lit(3.0)}).limit(1))
+    plan = ridge.score(ready, ["row_id"])._jdf.queryExecution().executedPlan().toString()
+    assert "UDF" not in plan
+    ours = {r[0]: r[1] for r in ridge.score(ready, ["row_id"]).collect()}
+    theirs = {r[0]: np.expm1(r[1]) for r in ridge.stages.transform(ready).select("row_id", "prediction").collect()}
+    assert len(ours) == 601 and all(ours[k] == pytest.approx(theirs[k], rel=1e-12) for k in theirs)
+
+
+def test_both_solvers_find_the_same_ridge(train, ridge):
+    other = models.train_ridge(train, ridge.spec, solver="l-bfgs")
+    a, b = ({r[0]: r[1] for r in m.predict(train).select("row_id", "predicted_price").collect()} for m in (ridge, other))
+    assert all(a[k] == pytest.approx(b[k], rel=1e-4) for k in a)
+
+
 def test_forest_beats_the_baseline(train):
     table, fitted = models.compare_models(train, train, trees=5, depth=6)
     mae = {r["Model"]: r["MAE_VND"] for r in table.collect()}
