@@ -164,3 +164,19 @@ def test_sql_functions_equal_column_functions(spark):
     places = spark.createDataFrame([("Quận 2 (TP. Thủ Đức)",), ("Q.",), (None,), ("Quận Huyện X",)], "x string")
     got = [r[0] for r in places.selectExpr("normalize_district(x)").collect()]
     assert got == ["2", "Unknown", "Unknown", "X"]
+
+
+def test_squeeze_takes_every_space_and_leaves_single_ones(spark):
+    """Each character of the plane alone, doubled and beside a space, against the class with the Unicode flag."""
+    chars = [chr(c) for c in range(1, 0x10000) if not 0xD800 <= c <= 0xDFFF]
+    df = spark.createDataFrame([(f"a{c}b {c}{c}d{c}",) for c in chars], "x string")
+    plain = F.trim(F.regexp_replace("x", rf"(?U){text.WS}+", " "))
+    assert df.where(~text._squeeze(F.col("x")).eqNullSafe(plain)).count() == 0
+    assert text._RUNS != text.WS and df.where(F.regexp_count(F.lit("one two three"), F.lit(text._RUNS)) > 0).isEmpty()
+
+
+def test_form_numbers_in_one_pattern(spark):
+    check(spark, numbers.parse_or_default, [
+        ("1__2", None), ("_1", None), ("1_", None), ("1_.5", None), ("1._5", None), ("1_0.2_5e1_0", 10.25e10), (".5_0", 0.5),
+        ("\u00a0+1_2\u3000", 12.0), ("-inf", float("-inf")), ("e1", None), ("1e", None), ("1 2", None), ("9" * 20_000 + "x", None)])
+    check(spark, numbers.try_number, [("1_0", None), ("\u2003-1.5E2 ", -150.0), ("1.", 1.0), (".", None), ("infinity", float("inf"))])
