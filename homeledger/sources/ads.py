@@ -29,6 +29,7 @@ AD_FIELDS = [
     "region_name", "region", "price", "price_string", "list_time", "date_timestamp",
     "created_at", "account_type", "seller_type", "date", "ad_link", "webp_image", "url",
 ]
+KEY_FIELDS = {"AdId": "ad_id", "ListId": "list_id", "Subject": "subject"}
 URL_FIELDS = ["ad_link", "webp_image", "url"]
 AD_URL = ("https://www.chotot.com/", ".htm")
 # --- end of fixed values ---
@@ -150,8 +151,8 @@ def crawl_ends(pages: DataFrame, crawl: Sequence[str] = ("crawl",), page: str =
     return ends.select(*crawl, "stopped_at", F.coalesce("stopped_at", F.col("_last") + 1).alias("next_page"))
 
 
-def explode_ad_pages(pages: DataFrame, place: str | None = None) -> DataFrame:
-    """One row per ad object: ``ads`` if it has elements, else ``data``.
+def ad_texts(pages: DataFrame, place: str | None = None) -> DataFrame:
+    """One row per ad object, its JSON text in ``ad_json``: of ``ads`` if it has elements, else of ``data``.
 
     Other columns of ``pages`` stay. Elements that are no object are skipped. ``place`` names a
     column for the ad's place in its page.
@@ -159,7 +160,19 @@ def explode_ad_pages(pages: DataFrame, place: str | None = None) -> DataFrame:
     chosen = F.when(F.size("ads") > 0, F.col("ads")).otherwise(F.col("data"))
     rest = [c for c in pages.columns if c not in ("ads", "data")]
     found = F.posexplode(chosen).alias(place, "ad_json") if place else F.explode(chosen).alias("ad_json")
-    return parse_ads(pages.select(*rest, found).where(F.ltrim("ad_json").startswith("{")))
+    return pages.select(*rest, found).where(F.ltrim("ad_json").startswith("{"))
+
+
+def explode_ad_pages(pages: DataFrame, place: str | None = None) -> DataFrame:
+    """The ads of ``ad_texts``, parsed."""
+    return parse_ads(ad_texts(pages, place))
+
+
+def with_ad_keys(texts: DataFrame, text: str = "ad_json") -> DataFrame:
+    """What tells ads apart (AdId, ListId, Subject) beside their text, without parsing the rest of it."""
+    keys = F.from_json(F.col(text), T.StructType([T.StructField(f, T.StringType()) for f in KEY_FIELDS.values()]))
+    parsed = texts.select(*texts.columns, F.inline(F.array(keys)).alias(*[f"_{k}" for k in KEY_FIELDS]))
+    return parsed.select(*texts.columns, *[F.col(f"_{k}").alias(k) for k in KEY_FIELDS])
 
 
 def extract_param(ad: Column, keys: Sequence[str]) -> Column:
@@ -186,7 +199,7 @@ def flatten_ad(ads: DataFrame, crawl_time: Column, zone: str | None = None) -> D
     ad = F.col("ad")
     listed = first_true(ad, "list_time", "date_timestamp", "created_at")
     flat = {
-        "AdId": ad["ad_id"], "ListId": ad["list_id"], "Subject": ad["subject"],
+        **{name: ad[f] for name, f in KEY_FIELDS.items()},
         "Address": ad["address"],
         "Ward": first_true(ad, "ward_name", "ward"),
         "District": first_true(ad, "area_name", "area"),

@@ -355,3 +355,29 @@ def test_crawls_skip_failed_pages_and_stop_at_the_first_empty_one(spark, tmp_pat
     # a crawl that goes on takes what has come since
     write(tmp_path / "a" / "page-0003.json", json.dumps({"ads": [{"ad_id": 3}]}))
     assert sorted(r["page"] for r in ads.until_empty(ads.read_page_folder(spark, str(tmp_path)), first=3).collect()) == [3, 4]
+
+
+# ---- the ad stream reads a whole ad only when it is new -----------------------------
+
+def test_keys_are_read_without_the_rest_of_an_ad(spark):
+    texts = ['{"ad_id": 7, "list_id": "x", "subject": " s ", "ad_params": {"a": 1}, "price": false}', '{"subject": null, "ad_id": 1.50}',
+             '{"ad_id": {"a": [1, 2]}, "list_id": [], "subject": false, "ad_id": "twice"}', "{}", '{"list_id": true, "params": [1, {"id": "size"}]}']
+    pages = spark.createDataFrame([(texts, None), ([], texts + ["no object", None])], "ads array<string>, data array<string>")
+    keys = S.DEDUPE_KEYS["crawl"]
+    got = ads.with_ad_keys(ads.ad_texts(pages)).select(*keys).collect()
+    want = ads.flatten_ad(ads.explode_ad_pages(pages), F.lit("now"), "UTC").select(*keys).collect()
+    assert sorted(map(str, got)) == sorted(map(str, want)) and len(got) == 10
+
+
+def test_ads_are_parsed_behind_the_state(spark, tmp_path, monkeypatch):
+    from homeledger.streaming import jobs
+    seen, parse = [], ads.parse_ads
+    monkeypatch.setattr(ads, "parse_ads", lambda df, *a: seen.append(df._jdf.queryExecution().analyzed().toString()) or parse(df, *a))
+    page = '{"ads": [{"ad_id": 1, "list_id": 2, "subject": "a", "price": "%s"}]}'
+    (tmp_path / "in").mkdir()
+    for i in range(2):
+        (tmp_path / "in" / f"{i}.txt").write_text(page % i)
+        jobs.land_ads(jobs.read_page_stream(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+    assert len(seen) == 2 and all("Aggregate" in p for p in seen)
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert [(r["AdId"], r["PriceVND"]) for r in rows] == [("1", "0")] and rows[0]["CrawlDate"]
