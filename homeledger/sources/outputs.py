@@ -16,12 +16,19 @@ METRIC_REQUIRED = ["Model", "MAE_BILLION_VND", "RMSE_BILLION_VND", "R2"]
 METRIC_VALUES = ["MAE_VND", "RMSE_VND", "R2", "MAE_BILLION_VND", "RMSE_BILLION_VND"]
 MAIN_MODEL = "Random_Forest"
 # --- end of fixed values ---
+PACKED_ROWS = 250_000  # rows of a packed CSV file, which only one task can read
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ()) -> str:
-    """Overwrite one table. CSV has a header, no byte-order mark, and is for export."""
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = (), packed: bool = False) -> str:
+    """Overwrite one table. CSV has a header, no byte-order mark, and is for export.
+
+    ``packed`` compresses CSV with gzip. Such files cannot be split, so they have at most ``PACKED_ROWS`` rows, each with its header.
+    """
     writer = df.write.mode("overwrite")
     if fmt == "csv":
+        if packed:
+            # the fastest level: the default one takes a quarter off the files but half as much time again
+            writer = writer.options(**{"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": PACKED_ROWS})
         # without the last two, Spark would cut outer spaces and line breaks off the values
         writer.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
     else:
@@ -45,13 +52,14 @@ def write_counted(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet
     return paths, counts
 
 
-def write_datasets(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet") -> dict[str, str]:
-    """Each named table below ``folder``. Cleaned tables are partitioned by month."""
+def write_datasets(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet", packed: bool = True) -> dict[str, str]:
+    """Each named table below ``folder``. Cleaned tables are partitioned by month. CSV, some seven times as large as the
+    same rows in parquet, is packed unless the caller wants plain text."""
     written = {}
     for name, df in tables.items():
         by = ("posted_year", "posted_month")
         by = by if fmt == "parquet" and set(by) <= set(df.columns) else ()
-        written[name] = write_table(df, f"{folder}/{name}", fmt, by)
+        written[name] = write_table(df, f"{folder}/{name}", fmt, by, packed)
     return written
 
 

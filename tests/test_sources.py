@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -186,6 +187,33 @@ def test_write_and_read_back(spark, tmp_path):
     assert (tmp_path / "clean" / "posted_year=2026" / "posted_month=1").exists()
 
 
+@pytest.mark.parametrize("broken", [False, True])
+def test_datasets_in_csv_are_packed_and_bounded(spark, tmp_path, monkeypatch, broken):
+    """Compressed files cannot be split: each holds few rows, and together all of them, in order."""
+    monkeypatch.setattr(outputs, "PACKED_ROWS", 40)
+    note = F.when(F.col("id") % 3 == 0, F.concat(F.lit('a "b",\n' if broken else 'a "b", '), F.col("id").cast("string"), F.lit(" c" * 50)))
+    df = spark.range(0, 210, 1, 2).select(F.col("id").cast("string").alias("id"), note.alias("note"), F.lit(None).cast("double").alias("none"))
+    packed = outputs.write_datasets({"copy": df}, str(tmp_path), "csv")["copy"]
+    plain = outputs.write_datasets({"copy": df}, str(tmp_path / "plain"), "csv", packed=False)["copy"]
+    files = {path: sorted(p for p in os.listdir(path) if p.startswith("part-")) for path in (packed, plain)}
+    assert len(files[packed]) == 6 and all(p.endswith(".csv.gz") for p in files[packed])
+    assert len(files[plain]) == 2 and all(p.endswith(".csv") for p in files[plain])
+    size = {path: sum(os.path.getsize(f"{path}/{p}") for p in files[path]) for path in files}
+    assert size[packed] < size[plain] / 3
+    want = [tuple(r) for r in df.collect()]
+    for path in files:
+        got = listings.read_headered_csv(spark, path, numbered=True).orderBy("row_id").collect()
+        assert [tuple(r)[1:] for r in got] == want
+    for p in files[packed]:
+        assert listings.read_headered_csv(spark, f"{packed}/{p}").count() <= 40
+
+
+def test_packed_csv_of_no_rows_keeps_its_columns(spark, tmp_path):
+    empty = spark.createDataFrame([], "a string, b string")
+    back = listings.read_headered_csv(spark, outputs.write_datasets({"copy": empty}, str(tmp_path), "csv")["copy"])
+    assert back.columns == ["a", "b"] and back.count() == 0
+
+
 def test_merge_run_rejects_unknown_modes(spark):
     empty = spark.createDataFrame([], S.COMMON_SCHEMA)
     with pytest.raises(ValueError):
