@@ -7,10 +7,11 @@ within ``ball`` flipped bits, and pairs within ``reach`` bits over the whole cod
 candidates, each kept in the first table that finds it. Candidates are reranked with the
 original vectors by cosine in double precision; pairs below ``cosine`` never link.
 
-Equal vectors are one entry, whatever their number. Buckets are split over tasks when
-they hold more than ``BUCKET`` entries. Pairs are formed by numpy inside a task and never leave
-it: codes alone first tell which rows of a bucket have candidates; only those are joined with
-their vectors, and what leaves then is a count per vector and a spanning forest. The sample bound (``SAMPLE`` vectors) concerns the rotation alone.
+Equal vectors are one entry, whatever their number. Entries are dealt by hash into blocks of bounded
+size, and a task holds two blocks: it builds the tables of one, and the entries of the other look
+their buckets up in it. So a vector is sent to as many tasks as there are blocks, whatever ``ball`` is, and
+neither lookups nor candidates nor pairs leave a task: what leaves is a count per entry and a spanning
+forest. The sample bound (``SAMPLE`` vectors) concerns the rotation alone.
 
 Vectors that are null, empty, zero, of another length than most, or hold null or non-finite
 components link with nothing and stand alone. An empty table gives no rows. Other columns
@@ -21,10 +22,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from homeledger.llm.common import ddl
 from homeledger.llm.components import components
@@ -38,7 +40,10 @@ SEGMENT = 16
 BALL = 2
 REACH = 24
 ROUNDS = 40
-BUCKET = 5_000
+BUCKET = 100_000  # entries of a block at most
+BLOCK_BYTES = 64 << 20  # of a block's vectors in double precision at most
+SPREAD, LEAST = 8, 1_000  # fewer entries are dealt into so many blocks, for the cores, of so many entries at least
+LOOKUPS, PAIRS = 1 << 17, 1 << 19  # buckets looked up and pairs compared at a time
 
 
 class Rotation:
@@ -106,8 +111,14 @@ def sample_vectors(vectors: DataFrame, column: str, dim: int, bound: int = SAMPL
     return x[good]
 
 
+def unit_vectors(column: pa.Array, dim: int) -> np.ndarray:
+    """The same unit vectors as ``_matrix`` makes, of rows that are all known to have one."""
+    rows = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+    return rows / _norms(rows)[:, None]
+
+
 def coded(vectors: DataFrame, key: str, column: str, rotation: Rotation, dim: int) -> DataFrame:
-    """(key, digest, code, unit): digest and code are null where a vector links with nothing."""
+    """(key, digest, code, vector): all but the key are null where a vector links with nothing."""
     import hashlib
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,12 +126,13 @@ def coded(vectors: DataFrame, key: str, column: str, rotation: Rotation, dim: in
             x, good = _matrix(batch.column(1), dim)
             codes = rotation.code(x)
             digest = [hashlib.blake2b(r.tobytes(), digest_size=16).digest() if g else None for r, g in zip(x, good)]
-            unit = [r.tobytes() if g else None for r, g in zip(x, good)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(digest, pa.binary()), pa.array(codes, pa.int64(), mask=~good), pa.array(unit, pa.binary())],
-                names=[key, "digest", "code", "unit"])
+                [batch.column(0), pa.array(digest, pa.binary()), pa.array(codes, pa.int64(), mask=~good), batch.column(1)],
+                names=[key, "digest", "code", "vector"])
 
-    return vectors.select(key, column).mapInArrow(run, f"{ddl(vectors, key)}, digest binary, code bigint, unit binary")
+    kind = vectors.schema[column].dataType.simpleString()
+    rows = vectors.select(key, column).mapInArrow(run, f"{ddl(vectors, key)}, digest binary, code bigint, vector {kind}")
+    return rows.withColumn("vector", F.when(F.col("digest").isNotNull(), F.col("vector")))
 
 
 def ball_masks(ball: int, width: int = SEGMENT) -> list[int]:
@@ -128,149 +140,116 @@ def ball_masks(ball: int, width: int = SEGMENT) -> list[int]:
     return [sum(1 << b for b in bits) for n in range(ball + 1) for bits in combinations(range(width), n)]
 
 
-def segments(code: Column, tables: int) -> list[Column]:
-    return [F.shiftrightunsigned(code, SEGMENT * t).bitwiseAND((1 << SEGMENT) - 1) for t in range(tables)]
+def block_count(entries: int, dim: int) -> int:
+    """Blocks of at most ``BUCKET`` entries and ``BLOCK_BYTES``; up to ``SPREAD`` where fewer would do."""
+    most = max(1, min(BUCKET, BLOCK_BYTES // (8 * dim)))
+    return max(1, -(-entries // most), min(SPREAD, entries // LEAST))
 
 
-def table_rows(entries: DataFrame, tables: int, ball: int = BALL) -> DataFrame:
-    """Rows (bucket, part, seeker, entry, code): each code in its own bucket of each table, and as a
-    seeker in all buckets within its ball. Large buckets are dealt into parts, which every
-    seeker visits. A bucket's upper bits name its table."""
-    keys = F.array(*[s + F.lit(t << SEGMENT) for t, s in enumerate(segments(F.col("code"), tables))])
-    own = entries.select("entry", "code", F.explode(keys).alias("bucket"))
-    sizes = own.groupBy("bucket").agg(F.count("*").alias("n"))  # at most tables * 2^SEGMENT rows
-    large = sizes.where(F.col("n") > BUCKET).select("bucket", F.ceil(F.col("n") / BUCKET).cast("int").alias("parts"))
-    split = F.coalesce("parts", F.lit(1))
-    masks = F.array(*[F.lit(m).cast("bigint") for m in ball_masks(ball)])
-    members = own.join(F.broadcast(large), "bucket", "left").select(
-        "bucket", F.pmod(F.xxhash64("entry"), split).cast("int").alias("part"), F.lit(0).alias("seeker"), "entry", "code")
-    seekers = (
-        own.withColumn("bucket", F.explode(F.transform(masks, lambda m: F.col("bucket").bitwiseXOR(m))))
-        .join(F.broadcast(large), "bucket", "left")
-        .select("bucket", F.explode(F.sequence(F.lit(0), split - 1)).alias("part"), F.lit(1).alias("seeker"), "entry", "code"))
-    return members.unionByName(seekers)
+MEMBER, SEEKER, BOTH = 0, 1, 2
 
 
-def by_bucket(rows: DataFrame) -> DataFrame:
-    """Members first, then seekers, of one part of a bucket after the other."""
-    return rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part", "seeker", "entry")
+def dealt(entries: DataFrame, blocks: int) -> DataFrame:
+    """Rows (side, entry, code, n, vector), a partition for each two blocks and for each with itself. Of two
+    blocks the entries of one are members and those of the other seekers; of one block they are both."""
+    own, other = F.col("own"), F.col("other")
+    high, low = F.greatest(own, other), F.least(own, other)
+    rows = entries.withColumn("own", F.pmod(F.xxhash64("entry"), F.lit(blocks)).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    pair = F.shiftright(high * (high + 1), 1) + low
+    side = F.when(own == other, BOTH).when(own < other, MEMBER).otherwise(SEEKER)
+    return rows.select(pair.alias("pair"), side.alias("side"), "entry", "code", "n", "vector").repartitionById(
+        blocks * (blocks + 1) // 2, F.col("pair")).drop("pair")
 
 
-class Runs:
-    """Sorted batches as pairs of index arrays (member, seeker) over the rows at hand.
+class Block(NamedTuple):
+    entry: np.ndarray
+    code: np.ndarray
+    n: np.ndarray
+    unit: np.ndarray
 
-    The members of the part that is read are kept, at most ``BUCKET`` and a few; its seekers may
-    go on over many batches. Pairs come in blocks of bounded size.
-    """
 
-    PAIRS = 1 << 19
+def segment(code: np.ndarray, table: int) -> np.ndarray:
+    return ((code.view(np.uint64) >> np.uint64(SEGMENT * table)) & np.uint64((1 << SEGMENT) - 1)).astype(np.int64)
 
-    def __init__(self):
-        self.key, self.held = None, None
 
-    def feed(self, table: dict[str, np.ndarray]) -> Iterator[tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]]:
-        if not len(table["bucket"]):
-            return
-        if self.held is not None:
-            same = self.key == (table["bucket"][0], table["part"][0])
-            if same:
-                table = {c: np.concatenate([self.held[c], v]) for c, v in table.items()}
-        bucket, part, seeker = table["bucket"], table["part"], table["seeker"]
-        first = np.flatnonzero(np.r_[True, (bucket[1:] != bucket[:-1]) | (part[1:] != part[:-1])])
-        last = np.r_[first[1:], len(bucket)]
-        total = np.r_[0, np.cumsum(seeker == 0)]
-        members = total[last] - total[first]
-        yield from self._pairs(table, first, members, last - first - members)
-        tail = slice(first[-1], first[-1] + members[-1])
-        self.key, self.held = (bucket[-1], part[-1]), {c: v[tail] for c, v in table.items()}
-
-    def _pairs(self, table, first, members, seekers):
-        many = members * seekers
-        at = 0
-        while at < len(first):
-            stop = at + max(1, int(np.searchsorted(np.cumsum(many[at:]), self.PAIRS, side="right")))
-            f, m, s = first[at:stop], members[at:stop], seekers[at:stop]
-            at = stop
-            if len(f) == 1 and m[0] * s[0] > self.PAIRS:
-                step = max(1, self.PAIRS // int(m[0]))
-                for k in range(0, int(s[0]), step):
-                    n = min(step, int(s[0]) - k)
-                    i, j = np.divmod(np.arange(int(m[0]) * n), n)
-                    yield table, f[0] + i, f[0] + m[0] + k + j
-                continue
-            count = m * s
-            run = np.repeat(np.arange(len(f)), count)
+def table_pairs(members: np.ndarray, seekers: np.ndarray, table: int, ball: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (member, seeker) of the codes whose segment differs by at most ``ball`` bits, some ``PAIRS`` at a time."""
+    own, sought = segment(members, table), segment(seekers, table)
+    order = np.argsort(own, kind="stable")
+    begins = np.searchsorted(own[order], np.arange((1 << SEGMENT) + 1))
+    masks = np.array(ball_masks(ball))
+    step = max(1, LOOKUPS // max(1, len(sought)))
+    for m in range(0, len(masks), step):
+        bucket = (masks[m:m + step, None] ^ sought).reshape(-1)
+        many = begins[bucket + 1] - begins[bucket]
+        found = np.flatnonzero(many)
+        first, many, found = begins[bucket[found]], many[found], found % len(sought)
+        total, at = np.cumsum(many), 0
+        while at < len(found):
+            stop = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + PAIRS, side="right")))
+            count = many[at:stop]
             k = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-            yield table, f[run] + k // np.maximum(s[run], 1), f[run] + m[run] + k % np.maximum(s[run], 1)
-
-
-def _numpy(batch: pa.RecordBatch, names: list[str]) -> dict[str, np.ndarray]:
-    return {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names}
-
-
-def _is_candidate(table: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, ball: int, reach: int) -> np.ndarray:
-    """Whether the pair is in this table, in none before it, and within reach; each pair once, from
-    its larger entry."""
-    differ = table["code"][i].view(np.uint64) ^ table["code"][j].view(np.uint64)
-    good = (table["entry"][j] > table["entry"][i]) & (np.bitwise_count(differ) <= reach)
-    own = table["bucket"][i] >> SEGMENT
-    for t in range(int(own.max(initial=0))):
-        segment = (differ >> np.uint64(SEGMENT * t)) & np.uint64((1 << SEGMENT) - 1)
-        good &= (own <= t) | (np.bitwise_count(segment) > ball)
-    return good
-
+            yield order[np.repeat(first[at:stop], count) + k], np.repeat(found[at:stop], count)
+            at = stop
 
-ROW = ["bucket", "part", "seeker", "entry", "code"]
-ROW_DDL = "bucket bigint, part int, seeker int, entry bigint, code bigint"
 
+def candidates(members: Block, seekers: Block, tables: int, ball: int, reach: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of pairs that are in a table, each in the first, and within reach; of a block with itself each pair
+    once, from its larger entry."""
+    for t in range(tables):
+        for i, j in table_pairs(members.code, seekers.code, t, ball):
+            differ = (members.code[i] ^ seekers.code[j]).view(np.uint64)
+            good = np.bitwise_count(differ) <= reach
+            if members is seekers:
+                good &= seekers.entry[j] > members.entry[i]
+            i, j, differ = i[good], j[good], differ[good]
+            for earlier in range(t):
+                good = np.bitwise_count((differ >> np.uint64(SEGMENT * earlier)) & np.uint64((1 << SEGMENT) - 1)) > ball
+                i, j, differ = i[good], j[good], differ[good]
+            yield i, j
+
+
+def links(rows: DataFrame, dim: int, tables: int, cosine: float, ball: int = BALL, reach: int = REACH) -> DataFrame:
+    """From ``dealt`` entries: (a, b, linked). Rows with ``linked`` count the vectors that ``a`` links with
+    in a task; rows without are edges that connect what is linked. At most two rows per entry leave a task."""
+    from homeledger.llm.simhash import Forest
 
-def candidates(rows: DataFrame, ball: int = BALL, reach: int = REACH) -> DataFrame:
-    """Of the table rows those that have a candidate pair in their part of a bucket. Pairs stay
-    in the task; a row comes out once per batch at most."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs = Runs()
+    def read(batches: Iterator[pa.RecordBatch]) -> tuple[Block, Block]:
+        parts = {side: [] for side in (MEMBER, SEEKER, BOTH)}
         for batch in batches:
-            for table, i, j in runs.feed(_numpy(batch, ROW)):
-                good = _is_candidate(table, i, j, ball, reach)
-                hit = np.unique(np.concatenate([i[good], j[good]]))
-                yield pa.RecordBatch.from_arrays([pa.array(table[c][hit]) for c in ROW], names=ROW)
-
-    return by_bucket(rows).mapInArrow(run, ROW_DDL).distinct()
-
-
-def links(rows: DataFrame, cosine: float, ball: int = BALL, reach: int = REACH) -> DataFrame:
-    """From candidate rows with ``unit`` and ``n``: (a, b, linked). Rows with ``linked`` count the
-    vectors that ``a`` links with in a batch; rows without are edges that connect what is linked.
-    At most two rows per row and block leave a task, never the pairs."""
-    from homeledger.llm.simhash import Forest
+            sides = batch.column("side").to_numpy(zero_copy_only=False)
+            whole = Block(*[batch.column(c).to_numpy(zero_copy_only=False) for c in ("entry", "code", "n")], unit_vectors(batch.column("vector"), dim))
+            for side, blocks in parts.items():
+                if (sides == side).any():
+                    blocks.append(Block(*[v[sides == side] for v in whole]))
+        none = Block(*[np.zeros(0, dtype=np.int64)] * 3, np.zeros((0, dim)))
+        found = {side: Block(*map(np.concatenate, zip(*blocks))) if blocks else none for side, blocks in parts.items()}
+        return (found[BOTH], found[BOTH]) if parts[BOTH] else (found[MEMBER], found[SEEKER])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs = Runs()
-        for batch in batches:
-            table = _numpy(batch, [*ROW, "n"])
-            table["unit"] = np.frombuffer(b"".join(batch.column("unit").to_pylist()), dtype=np.float64).reshape(len(batch), -1)
-            for table, i, j in runs.feed(table):
-                good = _is_candidate(table, i, j, ball, reach)
-                i, j = i[good], j[good]
-                near = np.concatenate([
-                    np.einsum("ij,ij->i", table["unit"][i[k:k + 65_536]], table["unit"][j[k:k + 65_536]]) >= cosine
-                    for k in range(0, max(1, len(i)), 65_536)])
-                i, j = i[near], j[near]
-                if not len(i):
-                    continue
-                linked = np.bincount(i, table["n"][j], len(table["n"])) + np.bincount(j, table["n"][i], len(table["n"]))
-                who = np.flatnonzero(linked)
-                place = np.zeros(len(linked), dtype=np.int64)
-                place[who] = np.arange(len(who))
-                forest = Forest(len(who))
-                edges = [(a, b) for a, b in zip(i.tolist(), j.tolist()) if forest.join(place[a], place[b])]
-                a, b = np.array(edges).T
-                entry = table["entry"]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.r_[entry[who], entry[a]]), pa.array([None] * len(who) + entry[b].tolist(), pa.int64()),
-                     pa.array(linked[who].astype(np.int64).tolist() + [None] * len(a), pa.int64())], names=["a", "b", "linked"])
-
-    return by_bucket(rows).mapInArrow(run, "a bigint, b bigint, linked bigint")
+        members, seekers = read(batches)
+        if not len(members.entry) or not len(seekers.entry):
+            return
+        m = 0 if members is seekers else len(members.entry)  # where the seekers begin among all entries of the task
+        entry = seekers.entry if members is seekers else np.concatenate([members.entry, seekers.entry])
+        linked, forest, edges = np.zeros(len(entry)), Forest(len(entry)), []
+        for i, j in candidates(members, seekers, tables, ball, reach):
+            near = np.concatenate([
+                np.einsum("ij,ij->i", members.unit[i[k:k + 65_536]], seekers.unit[j[k:k + 65_536]]) >= cosine
+                for k in range(0, max(1, len(i)), 65_536)])
+            i, j = i[near], j[near]
+            if len(i):
+                np.add.at(linked, i, seekers.n[j])
+                np.add.at(linked, m + j, members.n[i])
+                edges += [(a, b) for a, b in zip(i.tolist(), (m + j).tolist()) if forest.join(a, b)]
+        who = np.flatnonzero(linked)
+        a, b = np.array(edges, dtype=np.int64).reshape(-1, 2).T
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.r_[entry[who], entry[a]]), pa.array([None] * len(who) + entry[b].tolist(), pa.int64()),
+             pa.array(linked[who].astype(np.int64).tolist() + [None] * len(a), pa.int64())], names=["a", "b", "linked"])
+
+    return rows.mapInArrow(run, "a bigint, b bigint, linked bigint")
 
 
 def near_duplicate_vectors(vectors: DataFrame, key: str = "vec_id", column: str = "embedding", cosine: float = COSINE,
@@ -287,15 +266,12 @@ def near_duplicate_vectors(vectors: DataFrame, key: str = "vec_id", column: str
     good = rows.where(F.col("digest").isNotNull())
     groups = good.groupBy("digest").agg(F.min("row").alias("entry"), F.min(key).alias("least"), F.count("*").alias("n"))
     groups = cut_lineage(groups, "groups")
-    entries = cut_lineage(
-        groups.select("entry", "least", "n", "digest").join(rows.select(F.col("row").alias("entry"), "code", "unit"), "entry"), "entries")
-    found = cut_lineage(candidates(table_rows(entries.select("entry", "code"), tables, ball), ball, reach), "candidates")
-    wide = found.join(entries.select("entry", "unit", "n"), "entry")  # an entry has a bounded number of rows
-    linked = cut_lineage(links(wide, cosine, ball, reach), "links")
+    entries = groups.select("entry", "n").join(good.select(F.col("row").alias("entry"), "code", "vector"), "entry")
+    linked = cut_lineage(links(dealt(entries, block_count(groups.count(), dim)), dim, tables, cosine, ball, reach), "links")
     degrees = linked.where(F.col("linked").isNotNull()).groupBy(F.col("a").alias("entry")).agg(F.sum("linked").alias("linked"))
     edges = linked.where(F.col("b").isNotNull()).select("a", "b")
     rooted = (
-        entries.select("entry", "least", "n", "digest").join(degrees, "entry", "left")
+        groups.join(degrees, "entry", "left")
         .join(components(edges).withColumnRenamed("node", "entry"), "entry", "left")
         .select("digest", "least", "n", (F.coalesce("linked", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "entry").alias("root")))
     rooted = cut_lineage(rooted, "rooted")

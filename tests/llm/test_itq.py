@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from homeledger.llm import itq
 
@@ -83,3 +84,32 @@ def test_the_query_settings_find_planted_pairs_near_the_limit(frame):
     got = itq.near_duplicate_vectors(frame([(i, v.tolist()) for i, v in enumerate(both)], "vec_id long, embedding array<double>")).collect()
     assert sum(r["n_links"] for r in got) >= 0.985 * want
     assert all(r["n_links"] <= 1 for r in got)
+
+
+def test_a_vector_goes_to_one_task_a_block_and_two_vectors_meet_once(frame, monkeypatch):
+    """Lookups stay in the task: what is shuffled follows from the blocks, not from the ball or the candidates."""
+    monkeypatch.setattr(itq, "BUCKET", 50)
+    assert [itq.block_count(n, 8) for n in (0, 1, 50, 51, 200)] == [1, 1, 1, 2, 4]
+    monkeypatch.setattr(itq, "BLOCK_BYTES", 10 * 8 * 8)
+    assert itq.block_count(200, 8) == 20
+    entries = frame([(i, i * i, 1, [float(i), 1.0]) for i in range(200)], "entry long, code long, n long, vector array<double>")
+    rows = itq.dealt(entries, 4).withColumn("part", F.spark_partition_id()).collect()
+    assert len(rows) == 4 * 200 and len({r["part"] for r in rows}) == 10
+    parts = {}
+    for r in rows:
+        parts.setdefault(r["part"], {}).setdefault(r["side"], []).append(r["entry"])
+    met = sum(([(a, b) for a in p.get(itq.MEMBER, []) for b in p.get(itq.SEEKER, [])]
+               + [(a, b) for a in p.get(itq.BOTH, []) for b in p.get(itq.BOTH, []) if a < b] for p in parts.values()), [])
+    assert len(met) == 200 * 199 // 2 == len({frozenset(p) for p in met})
+
+
+def test_pairs_in_a_table_are_all_found_in_small_steps(monkeypatch):
+    monkeypatch.setattr(itq, "LOOKUPS", 100)
+    monkeypatch.setattr(itq, "PAIRS", 7)
+    codes = np.random.default_rng(3).integers(-(1 << 62), 1 << 62, 300)
+    codes[100:200] = codes[:100] ^ (1 << 20)
+    members, seekers = codes[:180], codes[120:]
+    differ = (members[:, None] ^ seekers[None, :]).view(np.uint64) >> np.uint64(16) & np.uint64(0xFFFF)
+    want = sorted(zip(*(x.tolist() for x in np.nonzero(np.bitwise_count(differ) <= 2))))
+    got = sorted((int(a), int(b)) for i, j in itq.table_pairs(members, seekers, 1, 2) for a, b in zip(i, j))
+    assert got == want and len(want) > 60
